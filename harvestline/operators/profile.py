@@ -10,8 +10,6 @@ from harvestline.operators.dedup import duplicate_stats
 from harvestline.operators.quantiles import quantile_table
 from harvestline.operators.shape import last_n_days, only
 
-N = F.lit(1)
-
 
 def commodity_dimension(df: DataFrame, cap: int = 10) -> DataFrame:
     """Code, varieties (at most ``cap`` listed, all counted) and rows per commodity.
@@ -19,7 +17,7 @@ def commodity_dimension(df: DataFrame, cap: int = 10) -> DataFrame:
     Varieties are made distinct first and limited before the shuffle, so a list never holds more than ``cap`` values.
     """
     per_variety = df.groupBy("commodity", "variety").agg(F.min("commodity_code").alias("code"),
-                                                         F.count(N).alias("rows"))
+                                                         F.count("*").alias("rows"))
     named = F.col("variety").isNotNull()
     listed = (per_variety.filter(named).withColumn(
         "_rn", F.row_number().over(Window.partitionBy("commodity").orderBy("variety"))).filter(F.col("_rn") <= cap)
@@ -43,7 +41,7 @@ def date_range(df: DataFrame, day: str, by: Sequence[str] = ()) -> DataFrame:
 
 
 def value_counts(df: DataFrame, col: str, k: int | None = None) -> DataFrame:
-    counts = df.groupBy(col).agg(F.count(N).alias("rows")).orderBy(F.desc("rows"), F.col(col).asc_nulls_last())
+    counts = df.groupBy(col).agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), F.col(col).asc_nulls_last())
     return counts.limit(k) if k else counts
 
 
@@ -64,7 +62,7 @@ def measure_profile(df: DataFrame, cols: Sequence[str], median: bool = True) ->
 
 def table_summary(df: DataFrame, day: str, uniques: Sequence[str], keys: Sequence[str]) -> DataFrame:
     """Rows, date range, distinct counts and duplicate rows of one table as (metric, value) rows."""
-    base = df.agg(F.count(N).alias("total_rows"), F.min(day).cast("date").cast("string").alias("date_min"),
+    base = df.agg(F.count("*").alias("total_rows"), F.min(day).cast("date").cast("string").alias("date_min"),
                   F.max(day).cast("date").cast("string").alias("date_max"),
                   F.countDistinct(F.to_date(F.col(day))).alias("unique_dates"),
                   *[F.countDistinct(c).alias(f"unique_{c}") for c in uniques])
@@ -81,7 +79,7 @@ def to_metrics(one_row: DataFrame, section: str | None = None) -> DataFrame:
 
 
 def group_stats(df: DataFrame, by: Sequence[str], day: str, uniques: Sequence[str]) -> DataFrame:
-    return df.groupBy(*by).agg(F.count(N).alias("rows"), *[F.countDistinct(c).alias(f"unique_{c}") for c in uniques],
+    return df.groupBy(*by).agg(F.count("*").alias("rows"), *[F.countDistinct(c).alias(f"unique_{c}") for c in uniques],
                                F.min(day).alias("date_min"), F.max(day).alias("date_max"))
 
 
@@ -93,7 +91,7 @@ def price_trend(df: DataFrame, commodity: str, days: int = 30, day: str = "arriv
 
 
 def daily_average(df: DataFrame, by: Sequence[str], price: str = "modal_price") -> DataFrame:
-    return df.groupBy(*by).agg(F.avg(price).alias("avg_price"), F.count(N).alias("rows"))
+    return df.groupBy(*by).agg(F.avg(price).alias("avg_price"), F.count("*").alias("rows"))
 
 
 def top_groups(df: DataFrame, col: str, k: int, **equals: object) -> DataFrame:
@@ -111,7 +109,7 @@ def calibrate(df: DataFrame, y: str, yhat: str, by: Sequence[str] = (),
     """Quantiles, mean and population deviation of the absolute residual."""
     residuals = df.withColumn("residual", F.abs(F.col(y) - F.col(yhat))).filter(F.col("residual").isNotNull())
     spread = residuals.groupBy(*by).agg(F.avg("residual").alias("mean_residual"),
-                                        F.stddev_pop("residual").alias("std_residual"), F.count(N).alias("rows"))
+                                        F.stddev_pop("residual").alias("std_residual"), F.count("*").alias("rows"))
     cells = quantile_table(residuals, ["residual"], probs, by)
     wide = cells.groupBy(*by).agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(f"q{round(p * 100)}")
                                     for p in probs])
@@ -127,11 +125,11 @@ def regression_metrics(df: DataFrame, y: str, yhat: str, by: Sequence[str] = ())
     return ok.groupBy(*by).agg(
         F.avg(F.abs(error)).alias("mae"), F.sqrt(F.avg(error * error)).alias("rmse"),
         (1 - F.try_divide(F.avg(error * error), F.var_pop(y))).alias("r2"),
-        (F.avg(F.abs(error / F.greatest(F.col(y), F.lit(1.0)))) * 100).alias("mape"), F.count(N).alias("n"))
+        (F.avg(F.abs(error / F.greatest(F.col(y), F.lit(1.0)))) * 100).alias("mape"), F.count("*").alias("n"))
 
 
 def confusion(df: DataFrame, y: str, yhat: str) -> DataFrame:
-    return df.groupBy(F.col(y).alias("y"), F.col(yhat).alias("yhat")).agg(F.count(N).alias("n"))
+    return df.groupBy(F.col(y).alias("y"), F.col(yhat).alias("yhat")).agg(F.count("*").alias("n"))
 
 
 def class_report(df: DataFrame, y: str, yhat: str) -> DataFrame:
@@ -165,16 +163,16 @@ def discover(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Every distinct value of the columns with its number of rows, in one scan."""
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])
     return (df.select(F.explode(pairs).alias("p")).select("p.*").filter(F.col("value").isNotNull())
-            .groupBy("column", "value").agg(F.count(N).alias("rows")))
+            .groupBy("column", "value").agg(F.count("*").alias("rows")))
 
 
 def mapping_report(df: DataFrame, raw: str, mapped: str) -> DataFrame:
-    return df.groupBy(F.col(raw).alias("raw"), F.col(mapped).alias("mapped")).agg(F.count(N).alias("rows"))
+    return df.groupBy(F.col(raw).alias("raw"), F.col(mapped).alias("mapped")).agg(F.count("*").alias("rows"))
 
 
 def null_profile(df: DataFrame, critical: Sequence[str] = (), limit_pct: float = 10.0) -> DataFrame:
     """Null count and share per column, one pass; ``warn`` marks critical columns above the limit."""
-    counts = df.agg(F.count(N).alias("_n"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns])
+    counts = df.agg(F.count("*").alias("_n"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns])
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("nulls"),
                               F.coalesce(F.try_divide(F.col(f"`{c}`") * 100.0, F.col("_n")), F.lit(0.0)).alias("null_pct"))
                      for c in df.columns])
@@ -183,12 +181,12 @@ def null_profile(df: DataFrame, critical: Sequence[str] = (), limit_pct: float =
 
 
 def scope_share(df: DataFrame, inside: Column) -> DataFrame:
-    return df.agg(F.count(N).alias("rows"), F.count_if(inside).alias("in_scope"),
+    return df.agg(F.count("*").alias("rows"), F.count_if(inside).alias("in_scope"),
                   F.coalesce(F.avg(F.coalesce(inside, F.lit(False)).cast("int")) * 100, F.lit(0.0)).alias("in_scope_pct"))
 
 
 def dashboard(df: DataFrame) -> DataFrame:
-    return df.agg(F.format_string("%.1fM+", F.count(N) / F.lit(1e6)).alias("total_records"),
+    return df.agg(F.format_string("%.1fM+", F.count("*") / F.lit(1e6)).alias("total_records"),
                   F.countDistinct("market").alias("total_markets"),
                   F.countDistinct("commodity").alias("total_commodities"),
                   F.countDistinct("district").alias("total_districts"))
@@ -201,14 +199,14 @@ def share(df: DataFrame, value: str) -> DataFrame:
 
 
 def snapshot_counts(df: DataFrame, partition: str = "partition_date", k: int = 10) -> DataFrame:
-    counts = df.groupBy(partition).agg(F.count(N).alias("rows"))
+    counts = df.groupBy(partition).agg(F.count("*").alias("rows"))
     return counts.orderBy(F.desc(partition)).limit(k)
 
 
 def file_stats(df: DataFrame, kept: Column, bad: Column) -> DataFrame:
     """Rows read, kept, dropped and unreadable per input file (a ``file`` column names it)."""
     k, b = F.coalesce(kept, F.lit(False)), F.coalesce(bad, F.lit(False))
-    return df.groupBy("file").agg(F.count(N).alias("read"), F.count_if(k & ~b).alias("kept"),
+    return df.groupBy("file").agg(F.count("*").alias("read"), F.count_if(k & ~b).alias("kept"),
                                   F.count_if(~k & ~b).alias("dropped"), F.count_if(b).alias("errors"))
 
 
