@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from harvestline.session import hold_small
 
 BUCKETS = 4096
+# A value range with at most this many rows is ordered directly.
+DIRECT_ROWS = 2_000_000
 # Labels (columns x groups) that one call may serve; quantiles of more groups belong in a plain aggregation.
 MAX_LABELS = 10_000
 
@@ -28,11 +30,11 @@ def _bucket(value: Column, lo: Column, hi: Column) -> Column:
 
 
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
-                   passes: int = 2) -> DataFrame:
+                   passes: int = 4) -> DataFrame:
     """Rows (``*by``, column, n, prob, value): linear-interpolation quantiles of each column, exact at any size.
 
-    Each pass narrows every wanted rank to one of 4096 value ranges, counted map-side. Only distinct values of the
-    final narrow ranges are ordered.
+    While the range that holds a wanted rank has many rows, a pass narrows it to one of 4096 parts counted map-side.
+    Only the distinct values of the final narrow ranges are ordered.
     """
     values = _stacked(df, cols, by)
     # Each span is a value range [lo, hi] whose rows occupy ranks before .. before + n - 1.
@@ -44,9 +46,11 @@ def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], b
     rank = [F.lit(p) * (F.col("n") - 1) for p in probs]
     wanted = F.array_sort(F.array_distinct(F.array(*[F.floor(r) for r in rank], *[F.ceil(r) for r in rank])))
     totals = held.withColumn("wanted", wanted)
-    spans = totals.select("label", "wanted", "lo", "hi", F.lit(0).cast("long").alias("before"),
-                          F.lit(0).alias("span"))
-    for step in range(passes):
+    spans = totals.select("label", "wanted", "lo", "hi", F.lit(0).cast("long").alias("before"), F.lit(0).alias("span"),
+                          F.col("n").alias("size"))
+    for _ in range(passes):
+        if spans.filter((F.col("size") > DIRECT_ROWS) & (F.col("lo") < F.col("hi"))).isEmpty():
+            break
         counted = (values.join(spans, "label").filter(F.col("value").between(F.col("lo"), F.col("hi")))
                    .groupBy("label", "span", _bucket(F.col("value"), F.col("lo"), F.col("hi")).alias("bucket"))
                    .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")))
@@ -56,10 +60,8 @@ def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], b
                     .withColumn("before", F.col("before") + F.coalesce(F.sum("n").over(earlier), F.lit(0)))
                     .filter(F.exists("wanted", lambda w: (w >= F.col("before")) & (w < F.col("before") + F.col("n"))))
                     .withColumn("span", F.row_number().over(Window.partitionBy("label").orderBy("before")))
-                    .select("label", "wanted", "lo", "hi", "before", "span"))
+                    .select("label", "wanted", "lo", "hi", "before", "span", F.col("n").alias("size")))
         spans = hold_small(narrowed, 2 * len(probs) * MAX_LABELS)
-        if spans.filter(F.col("lo") < F.col("hi")).isEmpty():
-            break
     tallied = (values.join(spans, "label").filter(F.col("value").between(F.col("lo"), F.col("hi")))
                .groupBy("label", "span", "value").agg(F.count(F.lit(1)).alias("n")))
     earlier = Window.partitionBy("label", "span").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from harvestline.operators.dedup import upsert
-from harvestline.sources.tables import exists
+from harvestline.sources.paths import exists, glob, remove
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
@@ -40,11 +40,7 @@ def write_snapshot(df: DataFrame, root: str, date: str, force: bool = False, par
 
 def versions(spark: SparkSession, root: str) -> list[int]:
     """Complete versions below a root, oldest first; a version counts once its success marker exists."""
-    if not exists(spark, f"{root}/version=*/_SUCCESS"):
-        return []
-    marks = spark.read.format("binaryFile").load(f"{root}/version=*/_SUCCESS").select(
-        F.regexp_extract("path", r"version=(\d+)", 1).cast("long").alias("v"))
-    return sorted(r["v"] for r in marks.distinct().collect())
+    return sorted(int(m.rsplit("/version=", 1)[1].split("/")[0]) for m in glob(spark, f"{root}/version=*/_SUCCESS"))
 
 
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
@@ -64,7 +60,7 @@ def write_versioned(df: DataFrame, root: str, keep: int = 3, version: int | None
     df.write.mode("overwrite").option("compression", "snappy").parquet(f"{root}/version={number}")
     if delete_old:
         for old in [v for v in known if v != number][:max(0, len(set(known) | {number}) - keep)]:
-            _remove(spark, f"{root}/version={old}")
+            remove(spark, f"{root}/version={old}")
     return number
 
 
@@ -89,12 +85,6 @@ def merge_partitions(updates: DataFrame, path: str, keys: Sequence[str], partiti
     return len(touched)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def cluster_files(df: DataFrame, keys: Sequence[str | Column], files: int) -> DataFrame:
     """Spread rows by sorted ranges so that files carry narrow key ranges, for statistics-based skipping."""
     return df.repartitionByRange(files, *keys).sortWithinPartitions(*keys)

@@ -23,25 +23,6 @@ def read_prices(spark: SparkSession, paths: Sequence[str], source: str, schema:
     return reader.parquet(*paths).withColumn("source", F.lit(source))
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path or glob has any file, asked of the file system that serves it."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load
-    try:
-        return not found(path).select("path").limit(1).isEmpty()
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
-            return False
-        raise
-
-
-def resolve(spark: SparkSession, paths: Sequence[str]) -> str:
-    """The first of several candidate inputs that exists."""
-    for path in paths:
-        if exists(spark, path):
-            return path
-    raise FileNotFoundError(", ".join(paths))
-
-
 def read_csv(spark: SparkSession, path: str | list[str], schema: str | None = None, **options: str) -> DataFrame:
     """CSV with a header; ``#`` lines and blank lines are skipped. Without a schema every column is text."""
     reader = spark.read.options(header=True, comment="#", ignoreLeadingWhiteSpace=True,
@@ -50,17 +31,20 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: str | None = No
 
 
 def read_messy_csv(spark: SparkSession, path: str | list[str], columns: Sequence[str],
-                   encoding: str = "UTF-8") -> tuple[DataFrame, DataFrame]:
+                   encoding: str = "UTF-8", header: bool = True) -> tuple[DataFrame, DataFrame]:
     """Text columns of a large CSV (plain, gzip or bzip2 by suffix), and its malformed lines as a second table.
 
     Splits of plain files are read in parallel; nothing is dropped silently.
     """
     schema = ", ".join(f"`{c}` string" for c in columns) + f", {CORRUPT} string"
+    # Every column is parsed whatever a caller selects: a line is malformed by its whole width.
     rows = (spark.read.schema(schema)
-            .options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, encoding=encoding)
-            .csv(path).withColumn("file", F.col("_metadata.file_name")))
-    return rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), rows.filter(F.col(CORRUPT).isNotNull()).select(
-        "file", F.col(CORRUPT).alias("line"))
+            .options(header=header, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, encoding=encoding,
+                     columnPruning=False)
+            .csv(path).withColumn("file", F.col("_metadata.file_name"))
+            .filter(F.length(F.concat_ws("", CORRUPT, *columns)) >= 0))
+    bad = F.col(CORRUPT).isNotNull()
+    return rows.filter(~bad).drop(CORRUPT), rows.filter(bad).select("file", F.col(CORRUPT).alias("line"))
 
 
 def _zip_rows(columns: Sequence[str]):

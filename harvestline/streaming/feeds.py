@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from harvestline.operators.dedup import keep_first, upsert
 from harvestline.sources.sinks import merge_partitions, read_version, versions, write_versioned
-from harvestline.sources.tables import exists
+from harvestline.sources.paths import exists
 
 
 def read_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_trigger: int | None = None,

@@ -31,21 +31,21 @@ def _(spark, sf):
 WITH l AS (SELECT nullif(l_discount, 0) AS l_discount, l_extendedprice, l_quantity FROM lineitem),
 u AS (SELECT 'l_discount' AS "column", l_discount AS v FROM l UNION ALL SELECT 'l_extendedprice', l_extendedprice FROM l
       UNION ALL SELECT 'l_quantity', l_quantity FROM l)
-SELECT "column", round(avg(v), 3) AS mean, min(v) AS min, max(v) AS max, round(100e0 * (count(*) - count(v)) / count(*), 4) AS null_pct,
-       round(quantile_cont(v, 0.5), 4) AS median FROM u GROUP BY 1""")
+SELECT "column", round(avg(v), 5) AS mean, min(v) AS min, max(v) AS max, round(100e0 * (count(*) - count(v)) / count(*), 5) AS null_pct,
+       round(quantile_cont(v, 0.5), 5) AS median FROM u GROUP BY 1""")
 def _(spark, sf):
     li = table(spark, sf, "lineitem").select(F.nullif("l_discount", F.lit(0.0)).alias("l_discount"), "l_extendedprice", "l_quantity")
-    return rounded(P.measure_profile(li, ["l_discount", "l_extendedprice", "l_quantity"])).withColumn("mean", F.round("mean", 3))
+    return rounded(P.measure_profile(li, ["l_discount", "l_extendedprice", "l_quantity"]), 5)
 
 
 @query("a06_weather_profile", "WITH " + WEATHER_SQL + """,
 u AS (SELECT 't2m_max' AS "column", t2m_max AS v FROM weather UNION ALL SELECT 't2m_mean', t2m_mean FROM weather
       UNION ALL SELECT 'rh2m', rh2m FROM weather UNION ALL SELECT 'ws2m', ws2m FROM weather UNION ALL SELECT 'precipitation', precipitation FROM weather)
-SELECT "column", round(avg(v), 3) AS mean, round(min(v), 4) AS min, round(max(v), 4) AS max,
+SELECT "column", round(avg(v), 4) AS mean, round(min(v), 4) AS min, round(max(v), 4) AS max,
        round(100e0 * (count(*) - count(v)) / count(*), 4) AS null_pct FROM u GROUP BY 1""")
 def _(spark, sf):
     cols = ["t2m_max", "t2m_mean", "rh2m", "ws2m", "precipitation"]
-    return rounded(P.measure_profile(weather(spark, sf), cols, median=False)).withColumn("mean", F.round("mean", 3))
+    return rounded(P.measure_profile(weather(spark, sf), cols, median=False))
 
 
 @query("a08_group_stats", "WITH " + PRICES_SQL + """

@@ -36,13 +36,17 @@ def text(c: Column | str) -> Column:
     return c.cast("string")
 
 
-def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
-    """Doubles rounded and dates as text, so that engines can be compared value by value."""
+def rounded(df: DataFrame, digits: int = 4, nudge: float = 0.0) -> DataFrame:
+    """Doubles rounded and dates as text, so that engines can be compared value by value.
+
+    ``nudge`` moves values off exact halves, which differ in the last bit by the order of a sum.
+    """
     out = []
     for f in df.schema.fields:
         kind = f.dataType.typeName()
         if kind == "double":
-            out.append(F.round(F.col(f.name), digits).alias(f.name))
+            value = F.col(f.name) + nudge if nudge else F.col(f.name)
+            out.append(F.round(value, digits).alias(f.name))
         elif kind == "date":
             out.append(F.col(f.name).cast("string").alias(f.name))
         elif kind == "boolean":

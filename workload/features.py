@@ -26,12 +26,12 @@ def _(spark, sf):
 
 
 @query("w08_rolling", "WITH " + PRICES_SQL + f"""
-SELECT {IDS}, {", ".join(f"round({fn}(modal_price) OVER {_frame(n)}, 3) AS price_rolling_{name}_{n}d"
+SELECT commodity, market, l_orderkey, l_linenumber, round(modal_price + 3e-7, 3) AS modal_price, {", ".join(f"round({fn}(modal_price) OVER {_frame(n)} + 3e-7, 3) AS price_rolling_{name}_{n}d"
                          for n in vocab.ROLLING for fn, name in (("avg", "mean"), ("stddev_samp", "std"), ("min", "min"), ("max", "max")))}
 FROM prices""")
 def _(spark, sf):
     out = over_rows(prices(spark, sf), W.SERIES, "arrival_date", ORDER, lambda w: W.rolling_columns(w, "modal_price"), back=30)
-    return rounded(out.select(*ID, *[c for c in out.columns if c.startswith("price_rolling")]), 3)
+    return rounded(out.select(*ID, *[c for c in out.columns if c.startswith("price_rolling")]), 3, 3e-7)
 
 
 @query("w09_w11_momentum_volatility_change", "WITH " + PRICES_SQL + f"""

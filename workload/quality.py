@@ -105,14 +105,14 @@ s AS (SELECT *, CASE WHEN lo > hi THEN hi ELSE lo END AS low, CASE WHEN lo > hi
 
 
 @query("v05_repair_prices", "WITH " + REPAIRED_SQL + """
-SELECT l_orderkey, l_linenumber, market, round(low, 3) AS min_price, round(high, 3) AS max_price,
-  round(CASE WHEN mid < low THEN low WHEN mid > high THEN high ELSE mid END, 3) AS modal_price,
+SELECT l_orderkey, l_linenumber, market, round(low, 6) AS min_price, round(high, 6) AS max_price,
+  round(CASE WHEN mid < low THEN low WHEN mid > high THEN high ELSE mid END, 6) AS modal_price,
   (CASE WHEN min_price < 0 THEN 1 ELSE 0 END + CASE WHEN max_price < 0 THEN 1 ELSE 0 END + CASE WHEN modal_price < 0 THEN 1 ELSE 0 END) AS negative_prices,
   CASE WHEN lo > hi THEN 1 ELSE 0 END AS min_gt_max, CASE WHEN mid < low OR mid > high THEN 1 ELSE 0 END AS modal_out_of_range FROM s""")
 def _(spark, sf):
     return rounded(Q.repair_prices(faulty(spark, sf)).select(
         "l_orderkey", "l_linenumber", "market", "min_price", "max_price", "modal_price", "negative_prices", "min_gt_max",
-        "modal_out_of_range"), 3)
+        "modal_out_of_range"), 6)
 
 
 @query("a19_price_violation_counts", "WITH " + REPAIRED_SQL + """,
