@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from harvestline import vocab
 from harvestline.functions import measures as M, text as T
 from harvestline.operators.dedup import keep_first, latest
-from harvestline.session import local_table
+from harvestline.operators.ordered import SMALL_ROWS
+from harvestline.session import hold_small, local_table
 
 
 def join_daily(prices: DataFrame, weather: DataFrame, date: str = "arrival_date", weather_date: str = "date",
@@ -156,7 +157,12 @@ def build_dim(districts: DataFrame, aliases: DataFrame, coords: DataFrame, key:
 
 
 def apply_codes(df: DataFrame, codes: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Integer codes of category values from a fitted code table (column, value, code); unseen values get -1."""
+    """Integer codes of category values from a fitted code table (column, value, code); unseen values get -1.
+
+    The code table is brought together first if it is small, so that its true size decides how each column is joined.
+    """
+    held = hold_small(codes, SMALL_ROWS)
+    codes = held if held is not None else codes
     for c in cols:
         side = codes.filter(F.col("column") == c).select(F.col("value").alias("_v"), F.col("code").alias("_code"))
         df = (df.join(side, F.col(c).cast("string") == F.col("_v"), "left")

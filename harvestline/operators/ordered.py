@@ -8,11 +8,11 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from harvestline.session import hold_small
+from harvestline.session import hold_small, work_dir
 
-# A group above this many rows is cut into blocks of about this size.
+# A group above this many rows is cut into blocks of this size.
 HOT_ROWS = 5_000_000
-# Largest pre-aggregated table that is brought together for planning.
+# Largest aggregate that is brought together to plan a job.
 SMALL_ROWS = 1_000_000
 
 
@@ -24,43 +24,54 @@ def total_order(df: DataFrame, first: Sequence[Column | str], skip: Sequence[str
     return [F.col(c) if isinstance(c, str) else c for c in first] + [F.col(c).asc_nulls_last() for c in rest]
 
 
+def _renamed(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    return df.withColumnsRenamed({c: f"_k_{c}" for c in cols})
+
+
+def _same(cols: Sequence[str]) -> Column:
+    """Equality of every column with its renamed twin, null matching null."""
+    return reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in cols])
+
+
 def hot_groups(df: DataFrame, by: Sequence[str], rows: int) -> DataFrame | None:
     """Groups with more than ``rows`` rows. There are at most ``count / rows`` of them, usually none."""
-    hot = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > rows)
+    hot = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > rows).drop("_rows")
     held = hold_small(hot, SMALL_ROWS)
     if held is None:
         return hot
     return None if held.isEmpty() else held
 
 
-def _block_ranges(df: DataFrame, hot: DataFrame, by: list[str], day: str, back: int, ahead: int,
-                  rows: int) -> DataFrame:
-    """Per hot group and day: the first row position of the day and the blocks that need its rows.
+def sorted_index(df: DataFrame, order: Sequence[Column | str], name: str = "_index") -> DataFrame:
+    """0-based index of every row in one global order, whatever the skew.
 
-    Block ``b`` owns positions ``[b*size, (b+1)*size)``; a day also goes to the neighbours whose frames reach into it.
+    Rows are spread over tasks by sampled ranges of the full order, sorted there and written once to the shared folder
+    with their place in the file. The sizes of the ranges, one number per task, turn that into the global index.
     """
-    daily = (df.join(_renamed(hot.select(*by)), _same(by), "left_semi")
-             .groupBy(*by, day).agg(F.count(F.lit(1)).alias("_n")))
-    group = Window.partitionBy(*by)
-    upto = group.orderBy(F.col(day).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    spans = (daily.withColumn("_end", F.sum("_n").over(upto))
-             .withColumn("_total", F.sum("_n").over(group))
-             .withColumn("_size", F.greatest(F.lit(rows), 4 * F.max("_n").over(group)))
-             .withColumn("_start", F.col("_end") - F.col("_n")))
-    last = F.floor((F.col("_total") - 1) / F.col("_size"))
-    return spans.select(
-        *by, day, "_start", "_size",
-        F.greatest(F.lit(0), F.floor((F.col("_start") - ahead) / F.col("_size"))).cast("int").alias("_lo"),
-        F.least(last, F.floor((F.col("_end") - 1 + back) / F.col("_size"))).cast("int").alias("_hi"))
-
-
-def _renamed(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    return df.withColumnsRenamed({c: f"_k_{c}" for c in cols or df.columns})
-
-
-def _same(cols: Sequence[str]) -> Column:
-    """Equality of every column with its renamed twin, null matching null."""
-    return reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in cols])
+    spark = df.sparkSession
+    out = work_dir(spark, "ordered")
+    (df.repartitionByRange(*order).sortWithinPartitions(*order)
+     .withColumn("_place", F.monotonically_increasing_id()).write.parquet(out))
+    rows = spark.read.schema(df.schema.add("_place", "long")).parquet(out)
+    part = F.shiftright("_place", 33).alias("_part")
+    sizes = hold_small(rows.groupBy(part).agg(F.count(F.lit(1)).alias("_n")), SMALL_ROWS)
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    within = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return (rows.join(offsets, F.shiftright("_place", 33) == F.col("_p"))
+            .withColumn(name, F.col("_before") + within).drop("_place", "_p", "_before"))
+
+
+def _group_index(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], name: str) -> DataFrame:
+    """0-based index inside each group of ``by``, by one global order."""
+    rows = sorted_index(df, [*by, *order], "_index")
+    if not by:
+        return rows.withColumnRenamed("_index", name)
+    starts = rows.groupBy(*by).agg(F.min("_index").alias("_first"))
+    held = hold_small(starts, SMALL_ROWS)
+    starts = _renamed(held if held is not None else starts, by)
+    return (rows.join(starts, _same(by)).withColumn(name, F.col("_index") - F.col("_first"))
+            .drop("_index", "_first", *[f"_k_{c}" for c in by]))
 
 
 def over_rows(df: DataFrame, by: Sequence[str], day: str, order: Sequence[Column | str],
@@ -68,43 +79,47 @@ def over_rows(df: DataFrame, by: Sequence[str], day: str, order: Sequence[Column
               hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Add window columns whose frames reach ``back`` rows back and ``ahead`` rows ahead in each group.
 
-    ``day`` is the leading order column. Groups of ordinary size use one plain window: one shuffle, one sort. A group
-    above ``hot_rows`` rows is cut by row position into blocks that overlap by the reach of the frames, so the values
-    are the same and no task holds more than a block. ``hot_rows=None`` skips the check for groups of known size.
+    Groups of ordinary size use one plain window: one shuffle, one sort. The rows of a group above ``hot_rows`` are
+    numbered and cut into blocks of that many rows that overlap by the reach of the frames, so values are the same and
+    no task holds more than a block. ``hot_rows=None`` skips the check for groups of known size.
     """
     by = list(by)
-    hot = hot_groups(df, by, hot_rows) if hot_rows is not None else None
     ordering = [F.col(day).asc_nulls_first(), *order]
+    plain = lambda rows: rows.withColumns(build(Window.partitionBy(*by).orderBy(*ordering)))
+    hot = hot_groups(df, by, hot_rows) if hot_rows is not None else None
     if hot is None:
-        return df.withColumns(build(Window.partitionBy(*by).orderBy(*ordering)))
-    ranges = _block_ranges(df, hot, by, day, back, ahead, hot_rows)
-    held = hold_small(ranges, SMALL_ROWS)
-    ranges = _renamed(held if held is not None else ranges, [*by, day])
-    placed = (df.join(ranges, _same([*by, day]), "left").drop(*[f"_k_{c}" for c in [*by, day]])
-              .withColumn("_blk", F.explode(F.sequence(F.coalesce("_lo", F.lit(0)), F.coalesce("_hi", F.lit(0))))))
-    within = Window.partitionBy(*by, "_blk").orderBy(*ordering)
-    position = F.first("_start").over(within) + F.row_number().over(within) - 1
-    return (placed.withColumns(build(within)).withColumn("_pos", position)
-            .filter(F.col("_size").isNull() | (F.floor(F.col("_pos") / F.col("_size")) == F.col("_blk")))
-            .drop("_start", "_size", "_lo", "_hi", "_blk", "_pos"))
+        return plain(df)
+    hot = _renamed(hot, by)
+    cold_rows, hot_part = df.join(hot, _same(by), "left_anti"), df.join(hot, _same(by), "left_semi")
+    placed = _group_index(hot_part, by, ordering, "_pos")
+    size = max(hot_rows, back, ahead, 1)
+    own = F.floor(F.col("_pos") / size)
+    reach = F.sequence(F.greatest(F.lit(0), F.floor((F.col("_pos") - ahead) / size)),
+                       F.floor((F.col("_pos") + back) / size))
+    within = Window.partitionBy(*by, "_blk").orderBy("_pos")
+    blocks = placed.withColumn("_own", own).withColumn("_blk", F.explode(reach)).withColumns(build(within))
+    return plain(cold_rows).unionByName(blocks.filter(F.col("_own") == F.col("_blk")).drop("_pos", "_own", "_blk"))
 
 
 def with_position(df: DataFrame, chunk: Column, order: Sequence[Column | str], by: Sequence[str] = (),
-                  name: str = "position") -> DataFrame:
+                  name: str = "position", hot_rows: int = HOT_ROWS) -> DataFrame:
     """0-based position of every row in the order ``chunk, *order`` (per group of ``by``).
 
     ``chunk`` is a coarse leading part of the order such as the date. Rows are numbered inside a chunk and shifted by
-    the number of rows in earlier chunks, so a global numbering runs in parallel.
+    the number of rows in earlier chunks, so a global numbering runs in parallel. If a chunk is above ``hot_rows`` rows,
+    the rows are spread by ranges of the whole order instead.
     """
     by = list(by)
     cols = df.columns
-    keyed = df.withColumn("_chunk", F.struct(*by, chunk.alias("_c")))
-    sizes = keyed.groupBy("_chunk").agg(F.count(F.lit(1)).alias("_n"))
+    keyed = df.withColumn("_c", chunk)
+    sizes = keyed.groupBy(*by, "_c").agg(F.count(F.lit(1)).alias("_n"))
     held = hold_small(sizes, SMALL_ROWS)
-    sizes = held if held is not None else sizes
-    earlier = (Window.partitionBy(*[F.col(f"_chunk.{c}") for c in by]).orderBy(F.col("_chunk._c").asc_nulls_first())
+    if held is None or not held.filter(F.col("_n") > hot_rows).isEmpty():
+        return _group_index(keyed, by, [F.col("_c").asc_nulls_first(), *order], name).select(*cols, name)
+    earlier = (Window.partitionBy(*by).orderBy(F.col("_c").asc_nulls_first())
                .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sizes.select("_chunk", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    within = Window.partitionBy("_chunk").orderBy(*order)
-    return (keyed.join(offsets, "_chunk").withColumn(name, F.col("_before") + F.row_number().over(within) - 1)
-            .select(*cols, name))
+    offsets = held.select(*by, "_c", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    offsets = _renamed(offsets, [*by, "_c"])
+    within = Window.partitionBy(*by, "_c").orderBy(*order)
+    return (keyed.join(offsets, _same([*by, "_c"]))
+            .withColumn(name, F.col("_before") + F.row_number().over(within) - 1).select(*cols, name))

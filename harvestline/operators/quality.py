@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -42,6 +44,10 @@ def one_of(col: str, values: list[str]) -> Rule:
     return Rule(f"{col}_allowed", F.col(col).isin(values))
 
 
+def _all_present(*cols: Column) -> Column:
+    return reduce(and_, [c.isNotNull() for c in cols])
+
+
 def price_contract(scope: str | None = None, districts: list[str] | None = None,
                    sources: tuple[str, ...] = ("history", "current"), strict_prices: bool = True) -> list[Rule]:
     """Canonical price table: required text, scope, known districts and sources, consistent prices."""
@@ -54,7 +60,7 @@ def price_contract(scope: str | None = None, districts: list[str] | None = None,
     rules.append(one_of("source", list(sources)))
     if strict_prices:
         rules += [between(c, 0, None) for c in vocab.PRICE_MEASURES]
-        rules += [Rule("min_not_above_max", lo <= hi), Rule("modal_inside", mid.between(lo, hi))]
+        rules += [Rule("min_not_above_max", lo <= hi), Rule("modal_inside", F.when(_all_present(lo, hi, mid), mid.between(lo, hi)))]
     return rules
 
 
@@ -95,7 +101,7 @@ def file_contract(kind: str) -> list[Rule]:
         low, high = MODAL_TOLERANCE
         return [*[not_null(c) for c in ("state", "district", "market", "commodity", "arrival_date", "modal_price")],
                 *[between(c, a, b) for c, (a, b) in FILE_RANGES.items()],
-                Rule("modal_near_range", (mid >= lo * low) & (mid <= hi * high), "warning")]
+                Rule("modal_near_range", F.when(_all_present(lo, hi, mid), mid.between(lo * low, hi * high)), "warning")]
     rain = "precipitation_sum" if kind == "forecast" else "precipitation"
     return [not_null("date"), between(rain, 0, DAILY_RAIN_MAX)]
 
@@ -167,12 +173,13 @@ def dedup_raw_prices(df: DataFrame, order: list[str]) -> DataFrame:
 
 
 def repair_prices(df: DataFrame, flags: bool = True) -> DataFrame:
-    """Negative prices become null, swapped bounds are swapped back, a modal price outside is clamped."""
+    """Negative prices become null, swapped bounds are swapped back, a modal price outside both bounds is clamped."""
     lo, hi, mid = (F.when(F.col(c) >= 0, F.col(c)) for c in vocab.PRICE_MEASURES)
     swapped = lo > hi
     low, high = F.when(swapped, hi).otherwise(lo), F.when(swapped, lo).otherwise(hi)
-    outside = (mid < low) | (mid > high)
-    clamped = F.when(mid < low, low).when(mid > high, high).otherwise(mid)
+    complete = _all_present(low, high, mid)
+    outside = complete & ((mid < low) | (mid > high))
+    clamped = F.when(complete & (mid < low), low).when(complete & (mid > high), high).otherwise(mid)
     count = sum((F.coalesce((F.col(c) < 0).cast("int"), F.lit(0)) for c in vocab.PRICE_MEASURES), F.lit(0))
     fixed = {"min_price": low, "max_price": high, "modal_price": clamped}
     if flags:

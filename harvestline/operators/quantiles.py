@@ -10,7 +10,7 @@ from harvestline.session import hold_small
 
 BUCKETS = 4096
 # A value range with at most this many rows is ordered directly.
-DIRECT_ROWS = 2_000_000
+DIRECT_ROWS = 20_000
 # Labels (columns x groups) that one call may serve; quantiles of more groups belong in a plain aggregation.
 MAX_LABELS = 10_000
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
 import pyarrow as pa
@@ -30,13 +29,10 @@ def get_spark(app: str = "harvestline", master: str | None = None, shuffle_parti
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared checkpoint location of the session.
 
-    The cluster names the location in ``spark.checkpoint.dir``; every executor can reach it. Only a session
-    without that setting (a laptop, a test) gets a folder of its own.
+    The cluster names the location in ``spark.checkpoint.dir``; every executor can reach it. A session without that
+    setting (a laptop, a test) uses a folder of its warehouse.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = os.path.join(os.getcwd(), "spark-warehouse", "work")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_work"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from harvestline.operators import impute as I, joins as J, profile as P
 from workload.base import (JOINED_SQL, ORDER, PRICES_SQL, RAW_DISTRICT_SQL, WEATHER_SQL, nation_aliases, prices, query, r,
-                           raw_names, rounded, table, weather)
+                           raw_names, rounded, stored, table, weather)
 
 
 @query("a02_distinct_counts", "WITH " + PRICES_SQL + """
@@ -165,5 +165,6 @@ SELECT count(*) AS total_rows, count(CASE WHEN has_weather = 1 THEN 1 END) AS ro
        100e0 AS imputation_coverage FROM joined""")
 def _(spark, sf):
     joined = J.join_daily(prices(spark, sf), weather(spark, sf))
-    filled = I.impute(joined.select("district", "arrival_date", *ORDER, "has_weather", *FILL), FILL, order=ORDER)
+    rows = stored(joined.select("district", "arrival_date", *ORDER, "has_weather", *FILL), "joined")
+    filled = I.impute(rows, FILL, order=ORDER)
     return rounded(I.imputation_stats(filled, FILL))

@@ -6,14 +6,14 @@ from harvestline import vocab
 from harvestline.operators import decisions as X, profile as P, windows as W
 from harvestline.operators.ordered import over_rows
 from harvestline.plans import outlook as Ol, reports as R
-from workload.base import NAIVE, ORDER, ORDER_SQL, PREDICTIONS_SQL, PRICES_SQL, prices, query, r, rounded, table
+from workload.base import NAIVE, ORDER, ORDER_SQL, PREDICTIONS_SQL, PRICES_SQL, prices, query, r, rounded, stored, table
 
 
 def predictions(spark, sf):
     lagged = over_rows(prices(spark, sf), W.SERIES, "arrival_date", ORDER, lambda w: W.lag_columns(w, "modal_price", NAIVE), back=14)
     cells = F.array(*[F.struct(F.lit(h).alias("horizon"), F.col(f"price_lag_{h}d").alias("yhat")) for h in NAIVE])
-    return (lagged.select(F.col("modal_price").alias("y"), F.explode(cells).alias("c"))
-            .select("c.horizon", "y", "c.yhat").filter(F.col("yhat").isNotNull()))
+    return stored(lagged.select(F.col("modal_price").alias("y"), F.explode(cells).alias("c"))
+                  .select("c.horizon", "y", "c.yhat").filter(F.col("yhat").isNotNull()), "predictions")
 
 
 @query("a13_calibrate", "WITH " + PREDICTIONS_SQL + """

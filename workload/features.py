@@ -7,7 +7,7 @@ from harvestline.operators import encode as E, impute as I, joins as J, windows
 from harvestline.operators.ordered import over_rows
 from harvestline.plans import datasets as Ds
 from workload.base import (JOINED_SQL, ORDER, ORDER_SQL, PRICES_SQL, WEATHER_SQL, nation_aliases, nations, prices, query, r,
-                           rounded, table, weather)
+                           rounded, stored, table, weather)
 
 ID = ["commodity", "market", "l_orderkey", "l_linenumber", "modal_price"]
 IDS = "commodity, market, l_orderkey, l_linenumber, modal_price"
@@ -113,7 +113,7 @@ def _(spark, sf):
     hole = F.col("district") != "NATION_4"
     gaps = joined.select("district", "arrival_date", "market", *ORDER, "has_weather", F.col("has_weather").alias("was"),
                          F.when(hole, F.col("t2m_max")).alias("t2m_max"), F.when(hole, F.col("humidity")).alias("humidity"))
-    return rounded(I.impute(gaps, ["t2m_max", "humidity"], order=[*ORDER, "market"])
+    return rounded(I.impute(stored(gaps, "gaps"), ["t2m_max", "humidity"], order=[*ORDER, "market"])
                    .drop("district", "arrival_date", "variety", "grade", "source"))
 
 
@@ -204,6 +204,6 @@ SELECT district, extract(year FROM arrival_date) AS arrival_year, count(*) AS ro
 def _(spark, sf):
     p = prices(spark, sf).drop("l_orderkey", "l_linenumber")
     canonical = Ds.canonical_prices([p.filter("source = 'history'"), p.filter("source = 'current'")], nation_aliases(spark, sf))
-    model = Ds.model_table(Ds.joined(canonical, weather(spark, sf).drop("ws2m"), 1997))
+    model = Ds.model_table(stored(Ds.joined(canonical, weather(spark, sf).drop("ws2m"), 1997), "joined"))
     return model.groupBy("district", "arrival_year", "has_weather").agg(
         F.count("*").alias("rows"), F.sum("weather_imputed").alias("imputed"), F.max("modal_price").alias("high"))
