@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -64,8 +65,8 @@ def drop_unmapped(df: DataFrame, col: str) -> DataFrame:
 
 
 def max_null_fraction(df: DataFrame, cols: Sequence[str], fraction: float = 0.3) -> DataFrame:
-    nulls = sum((F.col(c).isNull().cast("int") for c in cols), F.lit(0))
-    return df.filter(nulls <= F.lit(fraction * len(cols)))
+    """Rows in which at most this share of the columns is null."""
+    return df.dropna(thresh=len(cols) - math.floor(fraction * len(cols) + 1e-9), subset=list(cols))
 
 
 def drop_incomplete(df: DataFrame, cols: Sequence[str]) -> DataFrame:

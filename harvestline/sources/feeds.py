@@ -31,7 +31,9 @@ def parse_forecast(df: DataFrame, body: str, keys: list[str], fields: dict[str,
     """``{daily:{time:[...], field:[...]}}`` documents to one row per day."""
     inner = ",".join(["time:array<string>", *[f"{f}:array<{t}>" for f, t in fields.items()]])
     doc = df.select(*keys, F.from_json(body, f"struct<daily:struct<{inner}>>").alias("doc"))
-    zipped = F.arrays_zip(*[F.col(f"doc.daily.{f}").alias(f) for f in ["time", *fields]])
+    # A field that a document lacks is an empty list: zipping pads it, while a null list would drop every day.
+    lists = [F.coalesce(F.col(f"doc.daily.{f}"), F.array().cast(f"array<{t}>")).alias(f) for f, t in fields.items()]
+    zipped = F.arrays_zip(F.col("doc.daily.time").alias("time"), *lists)
     rows = doc.select(*keys, F.explode(zipped).alias("d"))
     return rows.select(*keys, F.col("d.time").try_cast("date").alias("date"), *[F.col(f"d.{f}") for f in fields])
 

@@ -9,10 +9,11 @@ import zipfile
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from harvestline.operators.shape import rename_by_alias
 from harvestline.operators.profile import scope_share, value_counts
+from harvestline.sources.paths import exists
 
 CORRUPT = "_corrupt_record"
 
@@ -118,6 +119,8 @@ def read_snapshots(spark: SparkSession, root: str, schema: str, date: str | None
 def read_newest_per(spark: SparkSession, root: str, schema: str, n: int = 1, by_entity: bool = True,
                     suffix: str = "*.csv") -> DataFrame:
     """Rows of the newest file of every entity folder, or of the ``n`` newest files of all."""
+    if not exists(spark, f"{root}/*/{suffix}"):
+        return spark.createDataFrame([], f"{schema}, entity string")
     files = (spark.read.format("binaryFile").load(f"{root}/*/{suffix}")
              .select("path", "modificationTime", entity_of(F.col("path")).alias("entity")))
     newest = [F.col("modificationTime").desc(), F.col("path").desc()]
@@ -128,8 +131,6 @@ def read_newest_per(spark: SparkSession, root: str, schema: str, n: int = 1, by_
         chosen = files.orderBy(*newest).limit(n).select("path")
     # A list of file names, not of rows: one entry per entity folder.
     paths = [r["path"] for r in chosen.toLocalIterator()]
-    if not paths:
-        return spark.createDataFrame([], T._parse_datatype_string(f"{schema}, entity string"))
     return spark.read.schema(schema).options(header=True, comment="#").csv(paths).select(
         "*", entity_of(F.col("_metadata.file_path")).alias("entity"))
 

@@ -76,10 +76,10 @@ def _(spark, sf):
 
 @query("a11_monthly_stats", "WITH " + PRICES_SQL + """
 SELECT district, extract(year FROM arrival_date) AS year, extract(month FROM arrival_date) AS month,
-       round(avg(modal_price), 3) AS mean, round(stddev_samp(modal_price), 3) AS std, count(modal_price) AS count
+       round(avg(modal_price) + 3e-7, 3) AS mean, round(stddev_samp(modal_price) + 3e-7, 3) AS std, count(modal_price) AS count
 FROM prices GROUP BY 1, 2, 3""")
 def _(spark, sf):
-    return rounded(P.monthly_stats(prices(spark, sf)), 3)
+    return rounded(P.monthly_stats(prices(spark, sf)), 3, 3e-7)
 
 
 @query("a12_medians", "WITH " + WEATHER_SQL + """

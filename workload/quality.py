@@ -102,14 +102,14 @@ REPAIRED_SQL = FAULTY_SQL + """,
 n AS (SELECT *, CASE WHEN min_price >= 0 THEN min_price END AS lo, CASE WHEN max_price >= 0 THEN max_price END AS hi,
       CASE WHEN modal_price >= 0 THEN modal_price END AS mid FROM faulty),
 s AS (SELECT *, CASE WHEN lo > hi THEN hi ELSE lo END AS low, CASE WHEN lo > hi THEN lo ELSE hi END AS high,
-      lo IS NOT NULL AND hi IS NOT NULL AS both FROM n)"""
+      lo IS NOT NULL AND hi IS NOT NULL AS complete FROM n)"""
 
 
 @query("v05_repair_prices", "WITH " + REPAIRED_SQL + """
 SELECT l_orderkey, l_linenumber, market, round(low, 6) AS min_price, round(high, 6) AS max_price,
-  round(CASE WHEN both AND mid < low THEN low WHEN both AND mid > high THEN high ELSE mid END, 6) AS modal_price,
+  round(CASE WHEN complete AND mid < low THEN low WHEN complete AND mid > high THEN high ELSE mid END, 6) AS modal_price,
   (CASE WHEN min_price < 0 THEN 1 ELSE 0 END + CASE WHEN max_price < 0 THEN 1 ELSE 0 END + CASE WHEN modal_price < 0 THEN 1 ELSE 0 END) AS negative_prices,
-  CASE WHEN lo > hi THEN 1 ELSE 0 END AS min_gt_max, CASE WHEN both AND (mid < low OR mid > high) THEN 1 ELSE 0 END AS modal_out_of_range FROM s""")
+  CASE WHEN lo > hi THEN 1 ELSE 0 END AS min_gt_max, CASE WHEN complete AND (mid < low OR mid > high) THEN 1 ELSE 0 END AS modal_out_of_range FROM s""")
 def _(spark, sf):
     return rounded(Q.repair_prices(faulty(spark, sf)).select(
         "l_orderkey", "l_linenumber", "market", "min_price", "max_price", "modal_price", "negative_prices", "min_gt_max",
@@ -118,7 +118,7 @@ def _(spark, sf):
 
 @query("a19_price_violation_counts", "WITH " + REPAIRED_SQL + """,
 c AS (SELECT count(CASE WHEN min_price < 0 THEN 1 END) + count(CASE WHEN max_price < 0 THEN 1 END) + count(CASE WHEN modal_price < 0 THEN 1 END) AS a,
-  count(CASE WHEN lo > hi THEN 1 END) AS b, count(CASE WHEN both AND (mid < low OR mid > high) THEN 1 END) AS d FROM s)
+  count(CASE WHEN lo > hi THEN 1 END) AS b, count(CASE WHEN complete AND (mid < low OR mid > high) THEN 1 END) AS d FROM s)
 SELECT a AS negative_prices, b AS min_gt_max, d AS modal_out_of_range, a + b + d AS rows_fixed FROM c""")
 def _(spark, sf):
     return Q.price_violation_counts(Q.repair_prices(faulty(spark, sf)))
