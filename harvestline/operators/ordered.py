@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from harvestline.session import hold_small, work_dir
 
 # A group above this many rows is cut into blocks of this size.
-HOT_ROWS = 5_000_000
+HOT_ROWS = 20_000_000
 # Largest aggregate that is brought together to plan a job.
 SMALL_ROWS = 1_000_000
 

@@ -161,3 +161,15 @@ def test_manifest(spark, rows):
     r = runlog.summary(m).first()
     assert (r["total_chunks"], r["completed"], r["in_progress"], r["total_rows"]) == (5, 1, 1, 7)
     assert "| rows | 5 |" in runlog.receipt_markdown(spark.createDataFrame([("rows", "5")], "metric string, value string"))
+
+
+def test_streamed_pages_equal_read_pages(spark, tmp_path, rows):
+    os.makedirs(tmp_path / "in")
+    for i in range(3):
+        (tmp_path / "in" / f"p{i}.json").write_text(json.dumps({"total": 1, "records": [{"state": "S", "market": f"m{i}", "modal_price": str(i)}]}))
+    parse = lambda df: feeds.feed_records(feeds.explode_pages(df, "value"), "S").select("market", "modal_price")
+    stream = parse(feeds.stream_pages(spark, str(tmp_path / "in")))
+    (stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "mark"))
+     .trigger(availableNow=True).start().awaitTermination())
+    assert rows(spark.read.parquet(str(tmp_path / "out"))) == rows(parse(feeds.read_pages(spark, str(tmp_path / "in")))) == [
+        ("m0", 0.0), ("m1", 1.0), ("m2", 2.0)]

@@ -230,6 +230,16 @@ def _(spark, sf):
     return rounded(runlog.run_metrics(p, p.filter("source = 'current'"), "arrival_date", ["market"]))
 
 
+@query("k05_observed", """
+SELECT 'rows' AS metric, CAST(count(*) AS VARCHAR) AS value FROM events
+UNION ALL SELECT 'day_max', CAST(CAST(max(ts) AS DATE) AS VARCHAR) FROM events""")
+def _(spark, sf):
+    seen_table, seen = runlog.observed(table(spark, sf, "events"), "events", "ts")
+    seen_table.write.parquet(work_dir(spark, "observed"))
+    got = runlog.receipt(spark, "events", {"rows": seen.get["rows"], "day_max": seen.get["date_max"][:10]}, "2026-01-01 00:00:00", "2026-01-01 00:01:00")
+    return got.select(F.explode("metrics").alias("metric", "value"))
+
+
 MANIFEST_SQL = """
 manifest AS (SELECT event_type AS session, CAST(user_id AS VARCHAR) AS chunk,
   CASE event_id % 5 WHEN 0 THEN 'pending' WHEN 1 THEN 'in_progress' WHEN 2 THEN 'completed' WHEN 3 THEN 'failed' ELSE 'skipped' END AS status,

@@ -3,8 +3,10 @@
 from pyspark.sql import functions as F
 
 from harvestline.operators import joins as J, quality as Q
+from harvestline.operators.dedup import keep_first
+from harvestline.operators.impute import impute
 from harvestline.plans import reports as R
-from workload.base import (JOINED_SQL, PRICES_SQL, RAW_DISTRICT_SQL, WEATHER_SQL, nations, prices, query, r, rounded, table,
+from workload.base import (JOINED_SQL, ORDER, PRICES_SQL, RAW_DISTRICT_SQL, WEATHER_SQL, nations, prices, query, r, rounded, stored, table,
                            weather)
 
 # Prices with planted faults, made from columns of the fact.
@@ -163,3 +165,52 @@ UNION ALL SELECT 'recommendation', 'weather', 'Complete coverage - missing ' ||
 def _(spark, sf):
     few = prices(spark, sf).filter((F.col("arrival_date") >= "2001-10-25") & (F.col("grade") == "R"))
     return R.coverage_report(nations(spark, sf), few, weather(spark, sf))
+
+
+def _metrics(section, cols, source):
+    names = ", ".join(f"'{n}'" for n, _ in cols)
+    values = ", ".join(f"CAST({e} AS VARCHAR)" for _, e in cols)
+    return f"SELECT '{section}' AS section, unnest([{names}]) AS metric, unnest([{values}]) AS value FROM {source}"
+
+
+_DUPS = [("total_rows", "coalesce(sum(n), 0)"), ("unique_rows", "count(*)"), ("duplicate_rows", "coalesce(sum(CASE WHEN n > 1 THEN n END), 0)"),
+         ("duplicate_keys", "count(CASE WHEN n > 1 THEN 1 END)"), ("rows_to_remove", "coalesce(sum(n), 0) - count(*)")]
+
+
+@query("g15_dedup_report", "WITH g AS (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber), h AS (SELECT 1 AS n FROM g) "
+       + _metrics("before", _DUPS, "g") + " UNION ALL " + _metrics("after", _DUPS, "h"))
+def _(spark, sf):
+    li, key = table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"]
+    return R.dedup_report(li, keep_first(li, key, ["l_shipdate"]), key).filter(F.col("metric") != "dedup_pct")
+
+
+@query("g15_weather_report", "WITH " + WEATHER_SQL + ", g AS (SELECT count(*) AS n FROM weather GROUP BY date, district) "
+       + _metrics("summary", [("total_rows", "count(*)"), ("date_min", "min(date)"), ("date_max", "max(date)"),
+                              ("unique_dates", "count(DISTINCT date)"), ("unique_district", "count(DISTINCT district)")], "weather")
+       + " UNION ALL " + _metrics("summary", _DUPS[2:], "g"))
+def _(spark, sf):
+    return R.weather_report(weather(spark, sf)).filter(F.col("section") == "summary")
+
+
+@query("g15_imputation_report", "WITH " + JOINED_SQL + ", " + """i AS (SELECT count(*) AS n, sum(has_weather) AS w, count(t2m_max) AS t FROM joined) """
+       + _metrics("imputation", [("total_rows", "n"), ("rows_with_weather_before", "w"), ("rows_missing_before", "n - w"), ("rows_with_weather_after", "n"),
+                                 ("missing_values_before", "n - t"), ("missing_values_after", "0"), ("imputation_coverage", "'100.0'")], "i"))
+def _(spark, sf):
+    joined = J.join_daily(prices(spark, sf), weather(spark, sf)).select("district", "arrival_date", *ORDER, "has_weather", "t2m_max")
+    return R.imputation_report(impute(stored(joined, "joined"), ["t2m_max"], order=ORDER), ["t2m_max"])
+
+
+@query("g15_violations_report", "WITH " + FAULTY_SQL + " SELECT 'violations' AS section, rule AS metric, CAST(broken AS VARCHAR) AS value FROM ("
+       + " UNION ALL ".join(_rule(n, b) for n, b in PRICE_RULES_SQL) + ") WHERE broken > 0")
+def _(spark, sf):
+    return R.violations_report(faulty(spark, sf), Q.price_contract(scope="Home"))
+
+
+@query("v07_completeness", "WITH " + PRICES_SQL + """
+SELECT 'late' AS "table", n_name AS missing FROM nation WHERE n_name NOT IN (SELECT district FROM prices WHERE arrival_date >= DATE '2001-10-28')
+UNION ALL SELECT 'returned', n_name FROM nation WHERE n_name NOT IN (SELECT district FROM prices WHERE arrival_date >= DATE '2001-10-25' AND grade = 'R')""")
+def _(spark, sf):
+    p = prices(spark, sf)
+    late = p.filter(F.col("arrival_date") >= "2001-10-28")
+    returned = p.filter((F.col("arrival_date") >= "2001-10-25") & (F.col("grade") == "R"))
+    return R.completeness({"late": late, "returned": returned}, nations(spark, sf))
