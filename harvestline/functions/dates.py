@@ -3,23 +3,39 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from harvestline import vocab
 
 
+def _shape(fmt: str) -> str:
+    """A pattern for the texts a format can read: counts of digits and letters around its separators."""
+    parts = re.findall(r"y+MM+d+|[a-zA-Z]+|[^a-zA-Z]+", fmt)
+    shapes = {"yyyyMMdd": r"\d{8}", "yyyy": r"\d{4}", "MMM": r"\p{L}{3,4}", "MMMM": r"\p{L}{3,}"}
+    return "^" + "".join(shapes.get(p, r"\d{1,2}") if p.isalpha() else re.escape(p) for p in parts) + "$"
+
+
+def try_format(text: Column, fmt: str) -> Column:
+    """Timestamp read with one format, null if it does not fit.
+
+    The cheap look at the shape comes first: a failed parse raises and catches an exception for every row.
+    """
+    return F.when(text.rlike(_shape(fmt)), F.try_to_timestamp(text, F.lit(fmt)))
+
+
 def parse_date(c: Column, formats: list[str] = vocab.PRICE_DATE_FORMATS) -> Column:
     """First format that reads the text, tried in order for every row; null when none does."""
     text = F.trim(c)
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)).cast("date") for f in formats],
+    return F.coalesce(*[try_format(text, f).cast("date") for f in formats],
                       F.try_to_timestamp(text).cast("date"))
 
 
 def format_shares(df: DataFrame, col: str, formats: list[str]) -> DataFrame:
     """One row: the share of rows each format can read, by one pass over the column."""
     text = F.trim(F.col(col).cast("string"))
-    hits = [F.try_divide(F.count(F.try_to_timestamp(text, F.lit(f))), F.count(F.lit(1))).alias(f) for f in formats]
+    hits = [F.try_divide(F.count(try_format(text, f)), F.count(F.lit(1))).alias(f) for f in formats]
     return df.agg(*hits)
 
 
@@ -34,7 +50,7 @@ def parse_date_by_consensus(df: DataFrame, col: str, formats: list[str] = vocab.
     if chosen is None and (shares[formats[-1]] or 0.0) > 0.0:
         chosen = formats[-1]
     text = F.trim(F.col(col).cast("string"))
-    parsed = F.try_to_timestamp(text, F.lit(chosen)) if chosen else F.try_to_timestamp(text)
+    parsed = try_format(text, chosen) if chosen else F.try_to_timestamp(text)
     return df.withColumn(col, parsed.cast("date"))
 
 

@@ -26,10 +26,12 @@ def before_paren(c: Column) -> Column:
 
 
 def title_words(c: Column) -> Column:
-    """Title case in which every run of letters starts a word (``initcap`` only splits at blanks)."""
-    runs = F.regexp_extract_all(c, F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
-    cased = F.transform(runs, lambda run: F.concat(F.upper(F.left(run, F.lit(1))), F.lower(F.substr(run, F.lit(2)))))
-    return F.array_join(cased, "")
+    """Title case in which every run of letters starts a word.
+
+    ``initcap`` only splits at blanks, so a marked blank is set after every run of other characters and taken out again.
+    """
+    marked = F.regexp_replace(c, r"(\P{L}+)", "$1\u0001 ")
+    return F.replace(F.initcap(marked), F.lit("\u0001 "), F.lit(""))
 
 
 def snake_case(c: Column) -> Column:

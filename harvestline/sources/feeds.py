@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamReader
 
-from harvestline.functions import measures as M, text as T
+from harvestline.functions import dates as D, measures as M, text as T
 
 # --- fixed values: weather parameters of the daily observation feed ---------------------------------------
 PARAMETERS = ["PRECTOTCORR", "T2M", "T2M_MAX", "T2M_MIN", "RH2M"]
@@ -55,7 +55,7 @@ def feed_records(records: DataFrame, scope: str) -> DataFrame:
         "state": F.lit(scope),
         "market_original": F.col("market"),
         "market": T.market_name(F.col("market")),
-        "arrival_date": F.try_to_timestamp("arrival_date", F.lit("d/M/yyyy")).cast("date"),
+        "arrival_date": D.try_format(F.trim("arrival_date"), "d/M/yyyy").cast("date"),
         **{c: M.number(F.col(c)) for c in ("min_price", "max_price", "modal_price")},
     }))
 
