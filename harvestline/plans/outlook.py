@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from harvestline import vocab
 from harvestline.operators import decisions as X, joins as J
+from harvestline.session import hold_small
 
 SERIES = ["commodity", "market"]
 
@@ -16,8 +17,13 @@ def outlook(forecasts: DataFrame, history: DataFrame, live: DataFrame, calibrati
             horizons: Sequence[int] = vocab.HORIZONS, as_of: Column | None = None) -> DataFrame:
     """Advice, curve, trend and key forecasts per (commodity, market).
 
-    ``forecasts`` has rows (commodity, market, horizon, price); ``history`` and ``live`` hold observed prices.
+    ``forecasts`` has rows (commodity, market, horizon, price) and should be a stored table, as it is used several times;
+    ``history`` and ``live`` hold observed prices. ``calibration`` is the one row of residual quantiles.
     """
+    held = hold_small(calibration, 1)
+    if held is None:
+        raise ValueError("calibration must have one row")
+    calibration = held
     now = J.current_value(forecasts, live, history, SERIES, "arrival_date", "modal_price")
     bounded = X.with_intervals(forecasts, calibration)
     advice = X.recommend(bounded.join(now.select(*SERIES, "current_price"), SERIES), SERIES).drop("current_price")

@@ -89,8 +89,8 @@ forecasts AS (SELECT a.commodity, a.market, h.horizon, a.modal_price AS price, b
 STEPS = [1, 2, 7, 14, 21]
 
 
-def forecasts(spark, sf):
-    last = W.latest_features(prices(spark, sf), ORDER)
+def forecasts(spark, sf, last=None):
+    last = W.latest_features(prices(spark, sf), ORDER) if last is None else last
     cells = F.array(*[F.struct(F.lit(h).alias("horizon"), F.col(f"price_lag_{h}d").alias("price")) for h in STEPS])
     return (last.select("commodity", "market", F.col("modal_price").alias("current_price"), F.explode(cells).alias("c"))
             .select("commodity", "market", "c.horizon", "c.price", "current_price"))
@@ -154,11 +154,11 @@ SELECT commodity, market, round(current_price + 3e-7, 0) AS current_price, CASE
   round(gain, 4) AS expected_gain_pct, round(f7 + 3e-7, 0) AS forecast_7d, round(f14 + 3e-7, 0) AS forecast_14d, 14 AS days
 FROM adv JOIN f USING (commodity, market)""")
 def _(spark, sf):
-    p = prices(spark, sf).withColumn("modal_price", F.col("modal_price") + 3e-7)
-    f = forecasts(spark, sf).withColumn("price", F.col("price") + 3e-7).drop("current_price")
-    newest = W.latest_features(prices(spark, sf), ORDER).select("commodity", "market", "arrival_date", "modal_price")
+    last = stored(W.latest_features(prices(spark, sf), ORDER), "latest")
+    f = forecasts(spark, sf, last).withColumn("price", F.col("price") + 3e-7).drop("current_price")
+    newest = last.select("commodity", "market", "arrival_date", (F.col("modal_price") + 3e-7).alias("modal_price"))
     calibration = P.calibrate(predictions(spark, sf), "y", "yhat")
-    out = Ol.outlook(f, newest, p.limit(0), calibration, 14, STEPS)
+    out = Ol.outlook(f, newest, newest.limit(0), calibration, 14, STEPS)
     return out.select("commodity", "market", "current_price", "recommendation", "best_sell_day", r("expected_gain_pct").alias("expected_gain_pct"),
                       "forecast_7d", "forecast_14d", F.size("forecasts").alias("days"))
 
