@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from harvestline import vocab
 from harvestline.operators import quality as Q, shape as S

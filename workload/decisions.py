@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from harvestline import vocab
 from harvestline.operators import decisions as X, profile as P, windows as W
 from harvestline.operators.ordered import over_rows
 from harvestline.plans import outlook as Ol, reports as R

@@ -6,8 +6,8 @@ from harvestline import vocab
 from harvestline.operators import encode as E, impute as I, joins as J, windows as W
 from harvestline.operators.ordered import over_rows
 from harvestline.plans import datasets as Ds
-from workload.base import (JOINED_SQL, ORDER, ORDER_SQL, PRICES_SQL, WEATHER_SQL, nation_aliases, nations, prices, query, r,
-                           rounded, stored, table, weather)
+from workload.base import (JOINED_SQL, ORDER, ORDER_SQL, PRICES_SQL, WEATHER_SQL, nation_aliases, prices, query, r,
+                           rounded, stored, weather)
 
 ID = ["commodity", "market", "l_orderkey", "l_linenumber", "modal_price"]
 IDS = "commodity, market, l_orderkey, l_linenumber, modal_price"

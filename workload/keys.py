@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from harvestline.operators import dedup
-from workload.base import ORDER, PRICES_SQL, WEATHER_SQL, prices, query, r, rounded, table, weather
+from workload.base import ORDER, PRICES_SQL, WEATHER_SQL, prices, query, rounded, table, weather
 
 KEY = ["l_orderkey", "l_linenumber"]
 LINE = ["l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",

@@ -6,7 +6,7 @@ from harvestline.operators import joins as J, quality as Q
 from harvestline.operators.dedup import keep_first
 from harvestline.operators.impute import impute
 from harvestline.plans import reports as R
-from workload.base import (JOINED_SQL, ORDER, PRICES_SQL, RAW_DISTRICT_SQL, WEATHER_SQL, nations, prices, query, r, rounded, stored, table,
+from workload.base import (JOINED_SQL, ORDER, PRICES_SQL, WEATHER_SQL, nations, prices, query, rounded, stored, table,
                            weather)
 
 # Prices with planted faults, made from columns of the fact.

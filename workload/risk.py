@@ -2,11 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from harvestline import vocab
 from harvestline.operators import joins as J, risk as Rk, windows as W
-from harvestline.operators.quality import with_violations
 from workload.base import PRICES_SQL, RULES_SQL, WEATHER_SQL, prices, query, r, rounded, rules, table, weather
-from workload.features import WEATHER_FEATURES_SQL
 
 CASES_SQL = RULES_SQL + "," + PRICES_SQL + "," + WEATHER_SQL + """,
 cases AS (SELECT p.l_orderkey, p.l_linenumber, p.market, p.modal_price, p.commodity AS crop,
@@ -98,7 +95,7 @@ def _(spark, sf):
 
 @query("g10_recommendations", "WITH " + SOIL_SQL + """
 SELECT crop, stage, risk_level_code AS level, CASE risk_level_code WHEN 2 THEN 1 + CASE WHEN rainfall_7d > 100 THEN 1 ELSE 0 END
-  + CASE WHEN temp_max > 38 THEN 1 ELSE 0 END + drought ELSE 2 END + CASE WHEN risk_level_code = 2 AND EXISTS(SELECT 1) AND wl THEN 1 ELSE 0 END AS advice, count(*) AS rows
+  + CASE WHEN temp_max > 38 THEN 1 ELSE 0 END + drought ELSE 2 END + CASE WHEN risk_level_code = 2 AND wl THEN 1 ELSE 0 END AS advice, count(*) AS rows
 FROM (SELECT d.*, d.stage = 'mid' AND d.rainfall_7d > (SELECT rain_max FROM windows w WHERE w.crop = d.crop AND w.risk_factor = 'waterlogging') AS wl FROM decided d)
 GROUP BY 1, 2, 3, 4""")
 def _(spark, sf):

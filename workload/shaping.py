@@ -7,7 +7,7 @@ from harvestline.operators import quantiles as Qt, shape as S
 from workload.base import (ORDER, ORDER_SQL, PRICES_SQL, RAW_DISTRICT_SQL, prices, query, r, raw_names, rounded, table)
 from workload.base import JOINED_SQL, weather
 from harvestline.operators import joins as J
-from workload.base import nation_aliases, nations
+from workload.base import nation_aliases
 
 
 @query("p01_rename_by_alias", """
