@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from harvestline.llm import bpe, chat, quality
+from harvestline.llm import bpe, chat, decontaminate, line_dedup, quality, toxicity
 from harvestline.llm.common import held_out, table
 
 #: A score from here on counts as label 1.
 ACCEPT = 0.3
 
 
+def predicted(score: Column) -> Column:
+    return (score >= ACCEPT).cast("int")
+
+
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(chat.probe(spark))
     out = chat.format_conversations(turns)
@@ -22,12 +26,46 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size(F.filter("loss_mask", lambda x: x)).cast("long").alias("n_loss_tokens"))
 
 
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    known = labels.where(~held_out(F.col("doc_id"), 4, 2))
+    prior = known.agg(F.avg("toxic")).first()[0] or 0.0
+    confirmed = docs.join(known.where("toxic = 1").select("doc_id"), "doc_id", "left_semi")
+    return toxicity.fit(confirmed, docs, float(prior))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.score(table(spark, sf_dir, "documents").select("doc_id", "text"), toxicity_model(spark, sf_dir))
+    return out.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score", predicted(F.col("score")).alias("predicted"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
-def predicted(score: Column) -> Column:
-    return (score >= ACCEPT).cast("int")
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", "text")
+
+
+OP7_SQL = """
+WITH lines AS (
+  SELECT doc_id, unnest(range(len(l))) AS k, unnest(l) AS line, len(l) AS n
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
+),
+windows AS (
+  SELECT doc_id, k, line, n, lead(line) OVER (PARTITION BY doc_id ORDER BY k) AS line2 FROM lines
+),
+marked AS (
+  SELECT *, k + 1 < n AND row_number() OVER (PARTITION BY line, line2, k + 1 < n ORDER BY doc_id, k) > 1 AS again FROM windows
+),
+gone AS (
+  SELECT doc_id, k, line, again OR coalesce(lag(again) OVER (PARTITION BY doc_id ORDER BY k), false) AS out FROM marked
+)
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (out) AS BIGINT) AS n_removed,
+       coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT out), '') AS text
+FROM gone GROUP BY doc_id
+"""
 
 
 def quality_model(spark: SparkSession, sf_dir: str):
@@ -41,10 +79,19 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", predicted(F.col("score")).alias("predicted"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.find_hits(docs, items).select("doc_id", F.explode("hits").alias("h"))
+    return found.select("doc_id", "h.item_id", "h.score", "h.question_overlap", "h.answer_overlap")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op3_toxicity": op3_toxicity,
     "op5_bpe": op5_bpe,
+    "op7_line_dedup": op7_line_dedup,
     "op8_quality": op8_quality,
+    "op10_decontamination": op10_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_line_dedup": OP7_SQL}
