@@ -126,6 +126,7 @@ class Index:
         key = term * max(1, self.n_blocks) + block
         heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
         self.block, self.block_max = block[heads], np.maximum.reduceat(self.gain, heads) if len(heads) else np.zeros(0)
+        self.block_key, self.block_at = key[heads], np.r_[heads, len(key)]
         self.block_first = np.searchsorted(term[heads], np.arange(len(self.terms) + 1))
         # common words, as long as they stay under the threshold for every item
         common, mass = np.zeros(len(self.terms), bool), np.zeros(n)
@@ -158,12 +159,12 @@ class Index:
     def scores(self, terms: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
         """Items of a block and their scores for a passage with the given words."""
         low, high = block * BLOCK_ITEMS, min((block + 1) * BLOCK_ITEMS, len(self.ids))
-        total = np.zeros(high - low)
-        for t in terms:
-            own = slice(self.first[t], self.first[t + 1])
-            items, gains = self.item[own], self.gain[own]
-            a, b = np.searchsorted(items, (low, high))
-            total[items[a:b] - low] += gains[a:b]
+        want = terms * self.n_blocks + block
+        entry = np.minimum(np.searchsorted(self.block_key, want), len(self.block_key) - 1)
+        entry = entry[self.block_key[entry] == want]
+        first, size = self.block_at[entry], self.block_at[entry + 1] - self.block_at[entry]
+        posting = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        total = np.bincount(self.item[posting] - low, self.gain[posting], high - low)
         return np.arange(low, high), total
 
     def query(self, data: np.ndarray, starts: np.ndarray) -> list[list[dict]]:
