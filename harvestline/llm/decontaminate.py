@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from harvestline.llm.common import blocks, buffers
+from harvestline.llm.common import blocks, buffers, runs, word_hashes
 
 K1, B = 1.2, 0.75
 RUN = 5
@@ -37,50 +37,12 @@ BLOCK_ITEMS = 8
 BLOCK_BYTES = 1 << 20
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 HITS = "array<struct<item_id:long,score:double,question_overlap:double,answer_overlap:double>>"
-WORD_BYTE = np.zeros(256, bool)
-WORD_BYTE[128:] = True
-for _low, _high in ("09", "az", "AZ"):
-    WORD_BYTE[ord(_low):ord(_high) + 1] = True
-
-
-def word_hashes(data: np.ndarray, cuts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words in some bytes, and where each begins. No word goes over one of the ``cuts``."""
-    is_word = WORD_BYTE[data]
-    head = is_word.copy()
-    head[1:] &= ~is_word[:-1]
-    if cuts is not None:
-        cuts = cuts[cuts < len(data)]
-        head[cuts] = is_word[cuts]
-    begin = np.flatnonzero(head)
-    if not len(begin):
-        return np.zeros(0, np.uint64), begin
-    own = np.flatnonzero(is_word)
-    first = np.searchsorted(own, begin)
-    sizes = np.diff(np.r_[first, len(own)])
-    place = np.arange(len(own)) - np.repeat(first, sizes)
-    power = np.cumprod(np.full(int(sizes.max()), 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
-    value = (data[own].astype(np.uint64) + np.uint64(1)) * power[place]
-    h = np.add.reduceat(value, first)
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(29)), begin
 
 
 def hash_words(text: str) -> np.ndarray:
     return word_hashes(np.frombuffer(text.encode(), np.uint8))[0]
 
 
-def runs(words: np.ndarray, size: int) -> np.ndarray:
-    """Hashes of the runs of ``size`` words."""
-    n = len(words) - size + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    h = np.zeros(n, np.uint64)
-    for k in range(size):
-        h = (h ^ words[k:n + k]) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(32)
-    return h
-
-
 def overlap(part: np.ndarray, passage: np.ndarray) -> float:
     """The share of the runs of a part that a passage has."""
     size = min(RUN, len(part))

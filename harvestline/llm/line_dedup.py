@@ -21,20 +21,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from harvestline.llm.common import text_of
-from harvestline.session import work_dir
+from harvestline.llm.common import stored, text_of
 
 WINDOW = 2
 OUTPUTS = ("n_lines", "n_removed")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """The rows as a table in the shared folder: later stages do not compute them again, whatever executors are lost."""
-    path = work_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def chosen(hashes: Column, window: int) -> Column:
     """For every window, the index of the line that it selects."""
     last = F.size(hashes) - window

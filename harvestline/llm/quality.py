@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from harvestline.llm.common import buffers
+from harvestline.llm.common import buffers, sample_keys
 
 CHUNK, OVERLAP = 256, 32
 KERNEL, STRIDE, DIM, FILTERS = 8, 4, 8, 48
@@ -91,8 +91,11 @@ def score_texts(net: Network, data: np.ndarray, starts: np.ndarray) -> np.ndarra
 
 
 def train(texts: pa.Array, labels: np.ndarray, seed: int = 1, passes: int = 8, batch: int = 48, train_chunks: int = 6,
-          rate: float = 4e-3) -> Network | float:
-    """Fit the network by Adam on the logistic loss; a share instead if the labels do not differ."""
+          rate: float = 4e-3, least_steps: int = 400) -> Network | float:
+    """Fit the network by Adam on the logistic loss; a share instead if the labels do not differ.
+
+    Few texts are passed over more often than ``passes`` says, until there were ``least_steps`` steps.
+    """
     labels = np.asarray(labels, np.float32)
     if not len(labels) or labels.min() == labels.max():
         return float(labels.mean()) if len(labels) else 0.5
@@ -103,7 +106,9 @@ def train(texts: pa.Array, labels: np.ndarray, seed: int = 1, passes: int = 8, b
     by_doc = np.searchsorted(doc, np.arange(len(labels) + 1))
     params = net.parameters()
     m, v, step = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
-    total = passes * -(-len(labels) // batch)
+    each = -(-len(labels) // batch)
+    passes = max(passes, -(-least_steps // each))
+    total = passes * each
     for _ in range(passes):
         order = rng.permutation(len(labels))
         for low in range(0, len(order), batch):
@@ -155,12 +160,12 @@ def _scorer(net: Network | float):
     return F.arrow_udf(score, "double")
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "label", key: str = "doc_id", max_docs: int = 4000) -> Network | float:
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "label", key: str = "doc_id",
+        max_docs: int = 4000) -> Network | float:
     """Train on up to ``max_docs`` labelled rows, taken by a hash of their key."""
-    sample = (labelled.where(F.col(label).isNotNull()).select(F.xxhash64(F.col(key).cast("string"), F.lit(8)).alias("h"),
-                                                               F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"),
-                                                               F.col(label).cast("int").alias("y"))
-              .orderBy("h", "k", "t", "y").limit(max_docs).select("t", "y").toArrow())
+    known = sample_keys(labels.where(F.col(label).isNotNull()), key, max_docs, 8, label)
+    rows = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("t")).join(known, key)
+    sample = rows.orderBy(key, "t").limit(max_docs).select("t", F.col(label).cast("int").alias("y")).toArrow()
     return train(sample["t"], np.asarray(sample["y"]))
 
 

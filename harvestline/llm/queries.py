@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from harvestline.llm import bpe, chat, decontaminate, line_dedup, quality, toxicity
+from harvestline.llm import bpe, chat, decontaminate, jaccard_join, line_dedup, quality, toxicity
 from harvestline.llm.common import held_out, table
 
 #: A score from here on counts as label 1.
@@ -30,8 +30,7 @@ def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
     known = labels.where(~held_out(F.col("doc_id"), 4, 2))
     prior = known.agg(F.avg("toxic")).first()[0] or 0.0
-    confirmed = docs.join(known.where("toxic = 1").select("doc_id"), "doc_id", "left_semi")
-    return toxicity.fit(confirmed, docs, float(prior))
+    return toxicity.fit(docs, known.where("toxic = 1").select("doc_id"), float(prior))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +38,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score", predicted(F.col("score")).alias("predicted"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = jaccard_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(F.col("id").alias("doc_id"), "class_id", "class_size", "n_copies", "n_links")
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
@@ -68,14 +72,15 @@ FROM gone GROUP BY doc_id
 """
 
 
-def quality_model(spark: SparkSession, sf_dir: str):
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+def fit_quality(docs: DataFrame, labels: DataFrame):
+    """The quality model, learnt from labels outside the held-out fold."""
     known = labels.where(~held_out(F.col("doc_id"), 5, 0)).select("doc_id", F.col("quality").alias("label"))
-    return quality.fit(docs.select("doc_id", "text").join(known, "doc_id"))
+    return quality.fit(docs, known)
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = quality.score(table(spark, sf_dir, "documents").select("doc_id", "text"), quality_model(spark, sf_dir))
+    docs = table(spark, sf_dir, "documents")
+    out = quality.score(docs.select("doc_id", "text"), fit_quality(docs, table(spark, sf_dir, "labels")))
     return out.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", predicted(F.col("score")).alias("predicted"))
 
 
@@ -88,6 +93,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op3_toxicity": op3_toxicity,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_bpe": op5_bpe,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality": op8_quality,

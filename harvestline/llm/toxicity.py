@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from harvestline.llm.common import blocks, buffers
+from harvestline.llm.common import blocks, buffers, sample_keys
 
 WIDTH = 6
 BLOCK_BYTES = 1 << 20
@@ -179,15 +179,18 @@ def score_texts(model: Model, data: np.ndarray, starts: np.ndarray) -> np.ndarra
     return np.where(np.isneginf(total), 0.0, 1 / (1 + np.exp(-np.clip(total, -700, 700))))
 
 
-def fit(positive: DataFrame, unlabelled: DataFrame, prior: float, text: str = "text", key: str = "doc_id", max_positive: int = 1500,
+def fit(docs: DataFrame, confirmed: DataFrame, prior: float, text: str = "text", key: str = "doc_id", max_positive: int = 1500,
         max_unlabelled: int = 4000) -> Model:
-    """Train on up to so many rows of either kind, taken by a hash of their key. ``prior``: the most
-    that the share of toxic texts can be; within it, the share is estimated from the two samples."""
-    def sample(df: DataFrame, most: int) -> pa.Array:
-        rows = df.select(F.xxhash64(F.col(key).cast("string"), F.lit(3)).alias("h"), F.col(key).alias("k"), framed(F.col(text)).alias("t"))
-        return rows.orderBy("h", "k", "t").limit(most).select("t").toArrow()["t"].combine_chunks()
+    """Train on up to so many rows of either kind, taken by a hash of their key.
 
-    return train(sample(positive, max_positive), sample(unlabelled, max_unlabelled), prior)
+    ``confirmed`` has the keys of toxic texts. ``prior``: the most that the share of toxic texts can be; within it, the
+    share is estimated from the two samples.
+    """
+    def sample(keys: DataFrame, most: int) -> pa.Array:
+        rows = docs.select(F.col(key), framed(F.col(text)).alias("t")).join(sample_keys(keys, key, most, 3), key)
+        return rows.orderBy(key, "t").limit(most).select("t").toArrow()["t"].combine_chunks()
+
+    return train(sample(confirmed, max_positive), sample(docs, max_unlabelled), prior)
 
 
 def score(df: DataFrame, model: Model, text: str = "text", output: str = "score") -> DataFrame:

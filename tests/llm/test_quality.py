@@ -54,6 +54,8 @@ def test_fit_uses_the_given_rows_only(docs, spark):
     texts, y = sample(60)
     from pyspark.sql import functions as F
 
-    labelled = docs(texts).join(spark.createDataFrame([(i, int(v)) for i, v in enumerate(y)], "doc_id long, label int"), "doc_id")
-    net = quality.fit(labelled.withColumn("label", F.when(F.col("doc_id") % 7 != 0, F.col("label"))), max_docs=80)
+    labels = spark.createDataFrame([(i, int(v)) for i, v in enumerate(y)], "doc_id long, label int")
+    net = quality.fit(docs(texts), labels.withColumn("label", F.when(F.col("doc_id") % 7 != 0, F.col("label"))), max_docs=80)
     assert isinstance(net, quality.Network)
+    assert quality.fit(docs(texts), labels.limit(0)) == 0.5
+    assert quality.fit(docs([(None, "a"), (1, None)]), labels.where("doc_id < 2")) == 1.0
