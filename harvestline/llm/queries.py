@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from harvestline.llm import bpe, chat, decontaminate, jaccard_join, line_dedup, quality, toxicity
+from harvestline.llm import bpe, chat, decontaminate, jaccard_join, line_dedup, quality, substrings, toxicity
 from harvestline.llm.common import held_out, table
 
 #: A score from here on counts as label 1.
@@ -84,6 +84,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", predicted(F.col("score")).alias("predicted"))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
     found = decontaminate.find_hits(docs, items).select("doc_id", F.explode("hits").alias("h"))
@@ -97,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe": op5_bpe,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality": op8_quality,
+    "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_decontamination": op10_decontamination,
 }
 
