@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from harvestline.llm import bpe, chat, decontaminate, jaccard_join, line_dedup, quality, substrings, toxicity
+from harvestline.llm import bpe, chat, decontaminate, jaccard_join, line_dedup, pages, quality, substrings, toxicity
 from harvestline.llm.common import held_out, table
 
 #: A score from here on counts as label 1.
@@ -47,6 +47,11 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return pages.extract(rows, pages.fit(rows)).select("page_id", "url", "text", "n_chars")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_removed", "text")
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_bpe": op5_bpe,
+    "op6_html_extraction": op6_html_extraction,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality": op8_quality,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
