@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from harvestline.llm import bpe, chat, decontaminate, jaccard_join, line_dedup, pages, quality, substrings, toxicity
+from harvestline.llm import bpe, chat, decontaminate, iblt, jaccard_join, line_dedup, pages, quality, substrings, toxicity
 from harvestline.llm.common import held_out, table
 
 #: A score from here on counts as label 1.
@@ -26,6 +26,10 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size(F.filter("loss_mask", lambda x: x)).cast("long").alias("n_loss_tokens"))
 
 
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iblt.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text")).withColumnRenamed("id", "doc_id")
+
+
 def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
     known = labels.where(~held_out(F.col("doc_id"), 4, 2))
@@ -101,6 +105,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_document_fingerprints": op2_document_fingerprints,
     "op3_toxicity": op3_toxicity,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_bpe": op5_bpe,
