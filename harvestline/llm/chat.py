@@ -102,17 +102,28 @@ def _formatter(spec: str):
     schema = "n_turns long, formatted string, token_ids array<int>, loss_mask array<boolean>, loss_spans array<struct<start:int,end:int>>"
 
     def run(conversations: pa.Array) -> pa.Array:
-        tokenizer, out = _tokenizer(spec), []
-        for turns in conversations.to_pylist():
+        tokenizer = _tokenizer(spec)
+        count, texts, ids, masks, spans_of = [], [], [], [], []
+        for turns in conversations:
+            turns = turns.as_py()
             text, spans = render([(t["role"] or "", t["text"] or "") for t in turns])
             encoded = tokenizer.encode(text, add_special_tokens=False)
-            offsets = np.asarray(encoded.offsets, np.int64).reshape(-1, 2)
+            offsets = np.asarray(encoded.offsets, np.int32).reshape(-1, 2)
             mask, covered = align(offsets[:, 0], offsets[:, 1], spans)
-            out.append({"n_turns": len(turns), "formatted": text, "token_ids": encoded.ids, "loss_mask": mask.tolist(),
-                        "loss_spans": [{"start": a, "end": b} for a, b in covered]})
-        return pa.array(out, pa.struct([("n_turns", pa.int64()), ("formatted", pa.string()), ("token_ids", pa.list_(pa.int32())),
-                                        ("loss_mask", pa.list_(pa.bool_())),
-                                        ("loss_spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))]))
+            count.append(len(turns))
+            texts.append(text)
+            ids.append(np.asarray(encoded.ids, np.int32))
+            masks.append(mask)
+            spans_of.append(np.asarray(covered, np.int32).reshape(-1, 2))
+        joined = lambda parts, empty: np.concatenate(parts) if parts else empty
+        ends = lambda parts: pa.array(np.cumsum([0, *map(len, parts)]), pa.int32())
+        pairs = joined(spans_of, np.zeros((0, 2), np.int32))
+        spans = pa.StructArray.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["start", "end"])
+        return pa.StructArray.from_arrays(
+            [pa.array(count, pa.int64()), pa.array(texts, pa.string()),
+             pa.ListArray.from_arrays(ends(ids), pa.array(joined(ids, np.zeros(0, np.int32)))),
+             pa.ListArray.from_arrays(ends(masks), pa.array(joined(masks, np.zeros(0, bool)))),
+             pa.ListArray.from_arrays(ends(spans_of), spans)], list(FORMATTED[1:]))
 
     return F.arrow_udf(run, schema)
 
