@@ -1,19 +1,17 @@
-"""Ordered windows and positions that never need a whole large group in one task."""
+"""Ordered windows and positions that never need a whole large group in one task.
+
+There is one plan for every size: rows are numbered inside chunks of the order and shifted by the sizes of earlier chunks,
+and windows run over blocks of a fixed number of positions that overlap by the reach of their frames.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from harvestline.session import hold_small, work_dir
-
-# A group above this many rows is cut into blocks of this size.
-HOT_ROWS = 20_000_000
-# Largest aggregate that is brought together to plan a job.
-SMALL_ROWS = 1_000_000
+# Positions in a block of a window.
+BLOCK_ROWS = 1_000_000
 
 
 def total_order(df: DataFrame, first: Sequence[Column | str], skip: Sequence[str] = ()) -> list[Column]:
@@ -24,102 +22,38 @@ def total_order(df: DataFrame, first: Sequence[Column | str], skip: Sequence[str
     return [F.col(c) if isinstance(c, str) else c for c in first] + [F.col(c).asc_nulls_last() for c in rest]
 
 
-def _renamed(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.withColumnsRenamed({c: f"_k_{c}" for c in cols})
-
-
-def _same(cols: Sequence[str]) -> Column:
-    """Equality of every column with its renamed twin, null matching null."""
-    return reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in cols])
-
-
-def hot_groups(df: DataFrame, by: Sequence[str], rows: int) -> DataFrame | None:
-    """Groups with more than ``rows`` rows. There are at most ``count / rows`` of them, usually none."""
-    hot = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > rows).drop("_rows")
-    held = hold_small(hot, SMALL_ROWS)
-    if held is None:
-        return hot
-    return None if held.isEmpty() else held
-
-
-def sorted_index(df: DataFrame, order: Sequence[Column | str], name: str = "_index") -> DataFrame:
-    """0-based index of every row in one global order, whatever the skew.
+def with_position(df: DataFrame, chunk: Column, order: Sequence[Column | str], by: Sequence[str] = (),
+                  name: str = "position") -> DataFrame:
+    """0-based position of every row in the order ``chunk, *order`` (per group of ``by``).
 
-    Rows are spread over tasks by sampled ranges of the full order, sorted there and written once to the shared folder
-    with their place in the file. The sizes of the ranges, one number per task, turn that into the global index.
+    ``chunk`` is a coarse leading part of the order such as the date. Rows are numbered inside a chunk and shifted by
+    the number of rows in earlier chunks, an aggregate that is joined back. Nulls are keys like any other: chunks are
+    told apart by a struct, in which null equals null.
     """
-    spark = df.sparkSession
-    out = work_dir(spark, "ordered")
-    (df.repartitionByRange(*order).sortWithinPartitions(*order)
-     .withColumn("_place", F.monotonically_increasing_id()).write.parquet(out))
-    rows = spark.read.schema(df.schema.add("_place", "long")).parquet(out)
-    part = F.shiftright("_place", 33).alias("_part")
-    sizes = hold_small(rows.groupBy(part).agg(F.count(F.lit(1)).alias("_n")), SMALL_ROWS)
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    within = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
-    return (rows.join(offsets, F.shiftright("_place", 33) == F.col("_p"))
-            .withColumn(name, F.col("_before") + within).drop("_place", "_p", "_before"))
-
-
-def _group_index(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], name: str) -> DataFrame:
-    """0-based index inside each group of ``by``, by one global order."""
-    rows = sorted_index(df, [*by, *order], "_index")
-    if not by:
-        return rows.withColumnRenamed("_index", name)
-    starts = rows.groupBy(*by).agg(F.min("_index").alias("_first"))
-    held = hold_small(starts, SMALL_ROWS)
-    starts = _renamed(held if held is not None else starts, by)
-    return (rows.join(starts, _same(by)).withColumn(name, F.col("_index") - F.col("_first"))
-            .drop("_index", "_first", *[f"_k_{c}" for c in by]))
+    by, cols = list(by), df.columns
+    keyed = df.withColumn("_g", F.struct(*[F.col(b) for b in by], chunk.alias("_c")))
+    sizes = keyed.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = (Window.partitionBy(*[F.col(f"_g.{b}") for b in by]).orderBy(F.col("_g._c").asc_nulls_first())
+               .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select(F.col("_g").alias("_h"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    within = Window.partitionBy("_g").orderBy(*order)
+    return (keyed.join(offsets, F.col("_g") == F.col("_h"))
+            .withColumn(name, F.col("_before") + F.row_number().over(within) - 1).select(*cols, name))
 
 
 def over_rows(df: DataFrame, by: Sequence[str], day: str, order: Sequence[Column | str],
               build: Callable[[Window], dict[str, Column]], back: int, ahead: int = 0,
-              hot_rows: int | None = HOT_ROWS) -> DataFrame:
+              block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Add window columns whose frames reach ``back`` rows back and ``ahead`` rows ahead in each group.
 
-    Groups of ordinary size use one plain window: one shuffle, one sort. The rows of a group above ``hot_rows`` are
-    numbered and cut into blocks of that many rows that overlap by the reach of the frames, so values are the same and
-    no task holds more than a block. ``hot_rows=None`` skips the check for groups of known size.
+    Rows are placed in their group by day and order. A block holds ``block_rows`` positions and the border rows that its
+    frames reach, so no task holds more of a group than a block, however large the group is.
     """
     by = list(by)
-    ordering = [F.col(day).asc_nulls_first(), *order]
-    plain = lambda rows: rows.withColumns(build(Window.partitionBy(*by).orderBy(*ordering)))
-    hot = hot_groups(df, by, hot_rows) if hot_rows is not None else None
-    if hot is None:
-        return plain(df)
-    hot = _renamed(hot, by)
-    cold_rows, hot_part = df.join(hot, _same(by), "left_anti"), df.join(hot, _same(by), "left_semi")
-    placed = _group_index(hot_part, by, ordering, "_pos")
-    size = max(hot_rows, back, ahead, 1)
-    own = F.floor(F.col("_pos") / size)
-    reach = F.sequence(F.greatest(F.lit(0), F.floor((F.col("_pos") - ahead) / size)),
-                       F.floor((F.col("_pos") + back) / size))
+    placed = with_position(df, F.col(day), order, by, "_pos")
+    size = max(block_rows, back, ahead, 1)
+    reach = F.sequence(F.greatest(F.lit(0), F.floor((F.col("_pos") - ahead) / size)), F.floor((F.col("_pos") + back) / size))
     within = Window.partitionBy(*by, "_blk").orderBy("_pos")
-    blocks = placed.withColumn("_own", own).withColumn("_blk", F.explode(reach)).withColumns(build(within))
-    return plain(cold_rows).unionByName(blocks.filter(F.col("_own") == F.col("_blk")).drop("_pos", "_own", "_blk"))
-
-
-def with_position(df: DataFrame, chunk: Column, order: Sequence[Column | str], by: Sequence[str] = (),
-                  name: str = "position", hot_rows: int = HOT_ROWS) -> DataFrame:
-    """0-based position of every row in the order ``chunk, *order`` (per group of ``by``).
-
-    ``chunk`` is a coarse leading part of the order such as the date. Rows are numbered inside a chunk and shifted by
-    the number of rows in earlier chunks, so a global numbering runs in parallel. If a chunk is above ``hot_rows`` rows,
-    the rows are spread by ranges of the whole order instead.
-    """
-    by = list(by)
-    cols = df.columns
-    keyed = df.withColumn("_c", chunk)
-    sizes = keyed.groupBy(*by, "_c").agg(F.count(F.lit(1)).alias("_n"))
-    held = hold_small(sizes, SMALL_ROWS)
-    if held is None or not held.filter(F.col("_n") > hot_rows).isEmpty():
-        return _group_index(keyed, by, [F.col("_c").asc_nulls_first(), *order], name).select(*cols, name)
-    earlier = (Window.partitionBy(*by).orderBy(F.col("_c").asc_nulls_first())
-               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = held.select(*by, "_c", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    offsets = _renamed(offsets, [*by, "_c"])
-    within = Window.partitionBy(*by, "_c").orderBy(*order)
-    return (keyed.join(offsets, _same([*by, "_c"]))
-            .withColumn(name, F.col("_before") + F.row_number().over(within) - 1).select(*cols, name))
+    blocks = (placed.withColumn("_own", F.floor(F.col("_pos") / size)).withColumn("_blk", F.explode(reach))
+              .withColumns(build(within)))
+    return blocks.filter(F.col("_own") == F.col("_blk")).drop("_pos", "_own", "_blk")

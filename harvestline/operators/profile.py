@@ -26,7 +26,8 @@ def commodity_dimension(df: DataFrame, cap: int = 10) -> DataFrame:
         F.min("code").alias("commodity_code"), F.count_if(named).alias("distinct_varieties"),
         F.sum("rows").alias("total_records"))
     empty = F.array().cast("array<string>")
-    return (totals.join(listed, "commodity", "left").withColumn("varieties", F.coalesce("varieties", empty))
+    listed = listed.withColumnRenamed("commodity", "_c")
+    return (totals.join(listed, F.col("commodity").eqNullSafe(F.col("_c")), "left").drop("_c").withColumn("varieties", F.coalesce("varieties", empty))
             .withColumn("variety_count", F.size("varieties")))
 
 
@@ -108,14 +109,15 @@ def calibrate(df: DataFrame, y: str, yhat: str, by: Sequence[str] = (),
               probs: Sequence[float] = (0.8, 0.9, 0.95)) -> DataFrame:
     """Quantiles, mean and population deviation of the absolute residual."""
     residuals = df.withColumn("residual", F.abs(F.col(y) - F.col(yhat))).filter(F.col("residual").isNotNull())
-    spread = residuals.groupBy(*by).agg(F.avg("residual").alias("mean_residual"),
-                                        F.stddev_pop("residual").alias("std_residual"), F.count("*").alias("rows"))
-    cells = quantile_table(residuals, ["residual"], probs, by)
-    wide = cells.groupBy(*by).agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(f"q{round(p * 100)}")
-                                    for p in probs])
+    spread = [F.avg("residual").alias("mean_residual"), F.stddev_pop("residual").alias("std_residual"), F.count("*").alias("rows")]
     if by:
-        return spread.join(wide, list(by))
-    return wide.withColumns({c: spread.select(c).scalar() for c in ("mean_residual", "std_residual", "rows")})
+        levels = F.percentile("residual", F.array(*[F.lit(float(p)) for p in probs]))
+        found = residuals.groupBy(*by).agg(*spread, levels.alias("_at"))
+        return found.select("*", *[F.get("_at", F.lit(i)).alias(f"q{round(p * 100)}") for i, p in enumerate(probs)]).drop("_at")
+    cells = quantile_table(residuals, ["residual"], probs)
+    wide = cells.agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(f"q{round(p * 100)}") for p in probs])
+    one = residuals.agg(*spread)
+    return wide.withColumns({c: one.select(c).scalar() for c in ("mean_residual", "std_residual", "rows")})
 
 
 def regression_metrics(df: DataFrame, y: str, yhat: str, by: Sequence[str] = ()) -> DataFrame:

@@ -1,4 +1,10 @@
-"""Exact quantiles by repeated histograms: every pass is a scan with map-side aggregation."""
+"""Exact quantiles without collecting values.
+
+Quantiles by group are one grouped aggregation. Whole-table quantiles narrow the range of each wanted rank in a fixed number
+of passes over the table: a pass counts 4096 parts of the range map-side, and only the distinct values of the last parts are
+ordered. The plan is lazy and the same for every size; what passes hand on is a few rows for each column and probability,
+so its broadcast has a fixed bound.
+"""
 
 from __future__ import annotations
 
@@ -6,21 +12,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from harvestline.session import hold_small
-
 BUCKETS = 4096
-# A value range with at most this many rows is ordered directly.
-DIRECT_ROWS = 20_000
-# Labels (columns x groups) that one call may serve; quantiles of more groups belong in a plain aggregation.
-MAX_LABELS = 10_000
+PASSES = 2
 
 
-def _stacked(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """(label, value) rows; the label is the group and the column the value came from."""
+def _stacked(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, value) rows of the known values."""
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])
-    rows = df.select(*by, F.explode(pairs).alias("_p"))
-    label = F.struct(*[F.col(b) for b in by], F.col("_p.column").alias("column"))
-    return rows.select(label.alias("label"), F.col("_p.value").alias("value")).filter(F.col("value").isNotNull())
+    return df.select(F.explode(pairs).alias("_p")).select("_p.*").filter(F.col("value").isNotNull())
 
 
 def _bucket(value: Column, lo: Column, hi: Column) -> Column:
@@ -29,57 +28,55 @@ def _bucket(value: Column, lo: Column, hi: Column) -> Column:
     return F.coalesce(F.least(place, F.lit(BUCKETS - 1)), F.lit(0)).cast("int")
 
 
-def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
-                   passes: int = 4) -> DataFrame:
-    """Rows (``*by``, column, n, prob, value): linear-interpolation quantiles of each column, exact at any size.
+def _by_group(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
+    shares = F.array(*[F.lit(float(p)) for p in probs])
+    found = df.groupBy(*by).agg(*[F.struct(F.lit(c).alias("column"), F.count(c).alias("n"),
+                                           F.percentile(F.col(c).cast("double"), shares).alias("at")).alias(f"_q{i}")
+                                  for i, c in enumerate(cols)])
+    rows = found.select(*by, F.explode(F.array(*[f"_q{i}" for i in range(len(cols))])).alias("_q")).filter("_q.n > 0")
+    each = F.arrays_zip(shares.alias("prob"), F.col("_q.at").alias("value"))
+    return rows.select(*by, "_q.column", "_q.n", F.explode(each).alias("_v")).select(*by, "column", "n", "_v.prob", "_v.value")
+
 
-    While the range that holds a wanted rank has many rows, a pass narrows it to one of 4096 parts counted map-side.
-    Only the distinct values of the final narrow ranges are ordered.
-    """
-    values = _stacked(df, cols, by)
+def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """Rows (``*by``, column, n, prob, value): linear-interpolation quantiles of each column. A null group is a group."""
+    if by:
+        return _by_group(df, cols, probs, by)
+    values = _stacked(df, cols)
     # Each span is a value range [lo, hi] whose rows occupy ranks before .. before + n - 1.
-    totals = values.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"),
-                                         F.max("value").alias("hi"))
-    held = hold_small(totals, MAX_LABELS)
-    if held is None:
-        raise ValueError(f"more than {MAX_LABELS} groups: aggregate by a coarser key")
-    rank = [F.lit(p) * (F.col("n") - 1) for p in probs]
+    totals = values.groupBy("column").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+    rank = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
     wanted = F.array_sort(F.array_distinct(F.array(*[F.floor(r) for r in rank], *[F.ceil(r) for r in rank])))
-    totals = held.withColumn("wanted", wanted)
-    spans = totals.select("label", "wanted", "lo", "hi", F.lit(0).cast("long").alias("before"), F.lit(0).alias("span"),
-                          F.col("n").alias("size"))
-    for _ in range(passes):
-        if spans.filter((F.col("size") > DIRECT_ROWS) & (F.col("lo") < F.col("hi"))).isEmpty():
-            break
-        counted = (values.join(spans, "label").filter(F.col("value").between(F.col("lo"), F.col("hi")))
-                   .groupBy("label", "span", _bucket(F.col("value"), F.col("lo"), F.col("hi")).alias("bucket"))
+    totals = totals.withColumn("wanted", wanted)
+    spans = totals.select("column", "wanted", "lo", "hi", F.lit(0).cast("long").alias("before"), F.lit(0).alias("span"))
+    inside = lambda: values.join(F.broadcast(spans.drop("wanted", "before")), "column").filter(F.col("value").between(F.col("lo"), F.col("hi")))
+    holds = F.exists("wanted", lambda w: (w >= F.col("before")) & (w < F.col("before") + F.col("n")))
+
+    def placed(parts: DataFrame, order: str) -> DataFrame:
+        """The parts of the spans with the number of rows below them, where a wanted rank falls."""
+        earlier = Window.partitionBy("column", "span").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return (parts.join(F.broadcast(spans.select("column", "span", "wanted", "before")), ["column", "span"])
+                .withColumn("before", F.col("before") + F.coalesce(F.sum("n").over(earlier), F.lit(0))).filter(holds))
+
+    for _ in range(PASSES):
+        counted = (inside().groupBy("column", "span", _bucket(F.col("value"), F.col("lo"), F.col("hi")).alias("bucket"))
                    .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")))
-        earlier = (Window.partitionBy("label", "span").orderBy("bucket")
-                   .rowsBetween(Window.unboundedPreceding, -1))
-        narrowed = (counted.join(spans.select("label", "span", "wanted", "before"), ["label", "span"])
-                    .withColumn("before", F.col("before") + F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-                    .filter(F.exists("wanted", lambda w: (w >= F.col("before")) & (w < F.col("before") + F.col("n"))))
-                    .withColumn("span", F.row_number().over(Window.partitionBy("label").orderBy("before")))
-                    .select("label", "wanted", "lo", "hi", "before", "span", F.col("n").alias("size")))
-        spans = hold_small(narrowed, 2 * len(probs) * MAX_LABELS)
-    tallied = (values.join(spans, "label").filter(F.col("value").between(F.col("lo"), F.col("hi")))
-               .groupBy("label", "span", "value").agg(F.count(F.lit(1)).alias("n")))
-    earlier = Window.partitionBy("label", "span").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    located = (tallied.join(spans.select("label", "span", "wanted", "before"), ["label", "span"])
-               .withColumn("before", F.col("before") + F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-               .withColumn("rank", F.explode(F.filter(
-                   "wanted", lambda w: (w >= F.col("before")) & (w < F.col("before") + F.col("n")))))
-               .groupBy("label").agg(F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at")))
-    exact = totals.join(located, "label").withColumn("prob", F.explode(F.array(*[F.lit(float(x)) for x in probs])))
+        spans = (placed(counted, "bucket")
+                 .withColumn("span", F.row_number().over(Window.partitionBy("column").orderBy("before")))
+                 .select("column", "wanted", "lo", "hi", "before", "span"))
+    tallied = inside().groupBy("column", "span", "value").agg(F.count(F.lit(1)).alias("n"))
+    located = (placed(tallied, "value").withColumn("rank", F.explode(F.filter(
+        "wanted", lambda w: (w >= F.col("before")) & (w < F.col("before") + F.col("n")))))
+        .groupBy("column").agg(F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at")))
+    exact = totals.join(located, "column").withColumn("prob", F.explode(F.array(*[F.lit(float(x)) for x in probs])))
     r = F.col("prob") * (F.col("n") - 1)
     below, above = F.element_at("at", F.floor(r)), F.element_at("at", F.ceil(r))
-    return exact.select(*[F.col(f"label.{b}").alias(b) for b in by], F.col("label.column").alias("column"),
-                        F.col("n"), "prob", (below + (r - F.floor(r)) * (above - below)).alias("value"))
+    return exact.select("column", "n", "prob", (below + (r - F.floor(r)) * (above - below)).alias("value"))
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
     """Whole-table quantiles per column as plain numbers, for use in filters that reach the scan."""
-    found = {(r["column"], r["prob"]): r["value"] for r in quantile_table(df, cols, probs).toLocalIterator()}
+    found = {(r["column"], r["prob"]): r["value"] for r in quantile_table(df, cols, probs).collect()}
     return {c: [found.get((c, float(p))) for p in probs] for c in cols}
 
 

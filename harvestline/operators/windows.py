@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from harvestline import vocab
 from harvestline.functions import dates as D, measures as M
 from harvestline.operators.dedup import keep_first
-from harvestline.operators.ordered import HOT_ROWS, over_rows
+from harvestline.operators.ordered import BLOCK_ROWS, over_rows
 from harvestline.operators.quantiles import medians
 
 SERIES = ["commodity", "market"]
@@ -53,27 +53,27 @@ def price_feature_columns(w: Window, col: str) -> dict[str, Column]:
 
 
 def price_features(df: DataFrame, order: Sequence[Column | str], by: Sequence[str] = SERIES, day: str = "arrival_date",
-                   col: str = "modal_price", hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                   col: str = "modal_price", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """All lag, rolling, momentum, volatility and change features from one shuffle and one sort."""
     return over_rows(df, by, day, order, lambda w: price_feature_columns(w, col), back=max(vocab.LAGS),
-                     hot_rows=hot_rows)
+                     block_rows=block_rows)
 
 
 def targets(df: DataFrame, order: Sequence[Column | str], by: Sequence[str] = SERIES, day: str = "arrival_date",
             col: str = "modal_price", horizons: Sequence[int] = vocab.HORIZONS,
-            hot_rows: int | None = HOT_ROWS) -> DataFrame:
+            block_rows: int = BLOCK_ROWS) -> DataFrame:
     """The price ``h`` rows later, for every horizon."""
     return over_rows(df, by, day, order, lambda w: {f"target_{h}d": F.lead(col, h).over(w) for h in horizons},
-                     back=0, ahead=max(horizons), hot_rows=hot_rows)
+                     back=0, ahead=max(horizons), block_rows=block_rows)
 
 
 def features_and_targets(df: DataFrame, order: Sequence[Column | str], by: Sequence[str] = SERIES,
                          day: str = "arrival_date", col: str = "modal_price",
-                         horizons: Sequence[int] = vocab.HORIZONS, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                         horizons: Sequence[int] = vocab.HORIZONS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     def build(w: Window) -> dict[str, Column]:
         ahead = {f"target_{h}d": F.lead(col, h).over(w) for h in horizons}
         return {**price_feature_columns(w, col), **ahead}
-    return over_rows(df, by, day, order, build, back=max(vocab.LAGS), ahead=max(horizons), hot_rows=hot_rows)
+    return over_rows(df, by, day, order, build, back=max(vocab.LAGS), ahead=max(horizons), block_rows=block_rows)
 
 
 def rolling_min_count(col: Column, w: Window, n: int, min_periods: int, fn: str) -> Column:

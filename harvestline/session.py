@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import functools
+import shutil
+import tempfile
 import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from harvestline.sources import paths
+
 
 def get_spark(app: str = "harvestline", master: str | None = None, shuffle_partitions: int | None = None,
               **conf: str) -> SparkSession:
@@ -26,27 +33,48 @@ def get_spark(app: str = "harvestline", master: str | None = None, shuffle_parti
     return builder.getOrCreate()
 
 
+_made: list[tuple[SparkSession, str]] = []
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the shared checkpoint location of the session.
+    """A fresh folder under the shared checkpoint location of the session, removed when the program ends.
 
-    The cluster names the location in ``spark.checkpoint.dir``; every executor can reach it. A session without that
-    setting (a laptop, a test) uses a folder of its warehouse.
+    The cluster names the location in ``spark.checkpoint.dir``; every executor can reach it. Where it is unset, a session
+    on one machine gets a temporary folder of that machine, and a session on several machines is refused.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_work"
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = _own_folder()
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _made.append((spark, path))
+    return path
 
 
-def local_table(spark: SparkSession, rows: list[dict], schema: pa.Schema) -> DataFrame:
-    """A small literal table with exact size statistics, so that Catalyst itself decides whether to broadcast it."""
-    return spark.createDataFrame(pa.Table.from_pylist(rows, schema=schema))
+@functools.cache
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="harvestline-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return f"file://{folder}"
 
 
-def hold_small(df: DataFrame, max_rows: int) -> DataFrame | None:
-    """Materialise an aggregate known to be small; ``None`` when it has more than ``max_rows`` rows.
+def remove_work(spark: SparkSession) -> int:
+    """Delete the folders that ``work_dir`` gave to this session; tables read from them are gone. Returns how many."""
+    own = [path for session, path in _made if session is spark]
+    _made[:] = [m for m in _made if m[0] is not spark]
+    for path in own:
+        paths.remove(spark, path)
+    return len(own)
 
-    The result has true size statistics, so joins against it are broadcast by the size check of the optimizer.
-    """
-    table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows:
-        return None
-    return df.sparkSession.createDataFrame(table) if table.num_rows else df.sparkSession.createDataFrame([], df.schema)
+
+@atexit.register
+def _remove_all() -> None:
+    for spark in {id(s): s for s, _ in _made}.values():
+        with contextlib.suppress(Exception):  # a stopped session cannot delete
+            remove_work(spark)
+
+
+def local_table(spark: SparkSession, rows: list[dict], schema: pa.Schema) -> DataFrame:
+    """A small literal table with exact size statistics, so that Catalyst itself decides whether to broadcast it."""
+    return spark.createDataFrame(pa.Table.from_pylist(rows, schema=schema))

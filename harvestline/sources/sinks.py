@@ -72,19 +72,17 @@ def merge_partitions(updates: DataFrame, path: str, keys: Sequence[str], partiti
     and overwritten in one job. Keys include the partition column or determine it. Returns the partitions rewritten.
     """
     spark = updates.sparkSession
-    touched = [r[0] for r in updates.select(partition).distinct().collect()]
-    if not touched:
+    write_parquet(updates.select(F.col(partition).alias("_touched")).distinct(), f"{stage}/touched")
+    touched = spark.read.parquet(f"{stage}/touched")
+    count = touched.count()
+    if not count:
         return 0
     if exists(spark, path):
-        base = spark.read.schema(updates.schema).parquet(path).filter(F.col(partition).isin(touched))
+        # null is a partition like any other
+        base = spark.read.schema(updates.schema).parquet(path).join(touched, F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
         merged = upsert(base, updates, keys, order=order)
     else:
         merged = upsert(updates.limit(0), updates, keys, order=order)
-    merged.write.mode("overwrite").parquet(stage)
-    write_parquet(spark.read.schema(updates.schema).parquet(stage), path, [partition])
-    return len(touched)
-
-
-def cluster_files(df: DataFrame, keys: Sequence[str | Column], files: int) -> DataFrame:
-    """Spread rows by sorted ranges so that files carry narrow key ranges, for statistics-based skipping."""
-    return df.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
+    merged.write.mode("overwrite").parquet(f"{stage}/merged")
+    write_parquet(spark.read.schema(updates.schema).parquet(f"{stage}/merged"), path, [partition])
+    return count

@@ -100,6 +100,34 @@ def test_merge_touches_only_its_partitions(spark, tmp_path, rows):
     assert os.listdir(tmp_path / "t" / "y=2020") == before
 
 
+def test_merge_keeps_the_null_partition(spark, tmp_path, rows):
+    path, schema = str(tmp_path / "t"), "k int, v string, y int"
+    sinks.merge_partitions(spark.createDataFrame([(1, "a", None), (2, "a", None), (3, "a", 2020), (4, "a", 2021)], schema), path, ["k"], "y", str(tmp_path / "s1"))
+    new = spark.createDataFrame([(2, "b", None), (5, "b", 2020)], schema)
+    assert sinks.merge_partitions(new, path, ["k"], "y", str(tmp_path / "s2")) == 2
+    want = [(1, "a", None), (2, "b", None), (3, "a", 2020), (4, "a", 2021), (5, "b", 2020)]
+    assert rows(spark.read.schema(schema).parquet(path)) == sorted(want, key=lambda t: tuple((v is None, str(v)) for v in t))
+
+
+def test_work_folders_are_shared_and_removed(spark, tmp_path, monkeypatch):
+    from harvestline import session
+
+    out = session.work_dir(spark, "trial")
+    spark.range(3).write.parquet(out)
+    assert session.remove_work(spark) >= 1
+    assert not sinks.exists(spark, out)
+
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default=None: None)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError):
+        session.work_dir(Cluster(), "trial")
+
+
 def test_csv_sink_joins_lists(spark, tmp_path):
     sinks.write_csv(spark.createDataFrame([(1, ["a", "b"])], "id int, l array<string>"), str(tmp_path / "c"), sep="|")
     assert spark.read.csv(str(tmp_path / "c"), header=True).first()["l"] == "a|b"

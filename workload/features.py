@@ -56,8 +56,8 @@ def _(spark, sf):
 SELECT {IDS}, lag(modal_price, 30) OVER w AS price_lag_30d, max(modal_price) OVER {_frame(14)} AS price_rolling_max_14d,
   lead(modal_price, 15) OVER w AS target_15d FROM prices {WIN}""")
 def _(spark, sf):
-    """Series above 90 rows are cut into overlapping blocks, as a series of many millions of rows would be."""
-    return W.features_and_targets(prices(spark, sf), ORDER, hot_rows=90).select(*ID, "price_lag_30d", "price_rolling_max_14d", "target_15d")
+    """Features and targets of all series at once, from blocks of the registered size."""
+    return W.features_and_targets(prices(spark, sf), ORDER).select(*ID, "price_lag_30d", "price_rolling_max_14d", "target_15d")
 
 
 def _trail(expr, col, n, m):
