@@ -129,13 +129,18 @@ def violation_report(df: DataFrame, rules: list[Rule], by: list[str] | None = No
     return counts.select(*by, F.col("_rows").alias("rows"), F.explode(rows).alias("r")).select(*by, "rows", "r.*")
 
 
-def file_report(df: DataFrame, kind: str, file: str = "file") -> DataFrame:
-    """Per file: rows, broken rules, status, and code 0 (valid), 1 (warnings) or 2 (errors)."""
+def file_report(df: DataFrame, kind: str, file: str = "file", files: DataFrame | None = None) -> DataFrame:
+    """Per file: rows, broken rules, status, and code 0 (valid), 1 (warnings) or 2 (errors).
+
+    ``files`` lists the files that should be there: one without a row is invalid. Without it only files with rows are known.
+    """
     rules = file_contract(kind)
     per_rule = violation_report(df, rules, [file])
     wrong = per_rule.groupBy(file).agg(
         F.max("rows").alias("rows"), F.sum(F.when(F.col("severity") == "error", F.col("broken")).otherwise(0)).alias("errors"),
         F.sum(F.when(F.col("severity") != "error", F.col("broken")).otherwise(0)).alias("warnings"))
+    if files is not None:
+        wrong = files.select(file).distinct().join(wrong, file, "left").fillna(0, ["rows", "errors", "warnings"])
     code = F.when((F.col("errors") > 0) | (F.col("rows") == 0), 2).when(F.col("warnings") > 0, 1).otherwise(0)
     return wrong.withColumn("code", code).withColumn("status", F.when(code == 2, "invalid").otherwise("valid"))
 

@@ -86,7 +86,7 @@ def risk_label(score: Column, critical: Column, low_max: float = 25.0, medium_ma
 
 
 def training_samples(weather: DataFrame, rules: dict[str, DataFrame], samples_per_crop: int = 6000, seed: int = 42,
-                     noise_sd: float = 0.0) -> DataFrame:
+                     noise_sd: float = 12.0) -> DataFrame:
     """Labelled samples: crop, year, sowing day and district drawn per sample, one row per growth stage.
 
     ``weather`` is the weather feature table. Draws come from hashed sample keys, so they do not depend on partitions.
@@ -99,6 +99,7 @@ def training_samples(weather: DataFrame, rules: dict[str, DataFrame], samples_pe
     per_year = F.greatest(F.lit(1), F.floor(F.lit(samples_per_crop) / F.greatest(F.lit(1), F.col("_known.n") - 2)))
     draws = (crops.filter(F.col("_known.b") - F.col("_known.a") >= 2)
              .withColumn("year", F.explode(F.sequence(F.col("_known.a") + 1, F.col("_known.b") - 1)))
+             .repartition("crop", "year")  # the rules are one partition; the samples of a crop and year are drawn in one task
              .withColumn("sample", F.explode(F.sequence(F.lit(1).cast("long"), per_year))))
     ids = [F.col("crop"), F.col("year"), F.col("sample")]
     pick = lambda k, n, *more: F.floor(hash_uniform(seed + k, *ids, *more) * n).cast("int")
@@ -191,8 +192,9 @@ def recommendations(level: Column, factors: Column, rain_7d: Column, temp_max: C
 
 
 def assess(requests: DataFrame, forecast: DataFrame, rules: dict[str, DataFrame], model=None,
-           soil_cols: Sequence[str] = ("ph", "nitrogen_kg_ha", "phosphorus_kg_ha")) -> DataFrame:
+           soil_cols: Sequence[str] = ("ph", "nitrogen_kg_ha", "phosphorus_kg_ha"), start: str | None = None) -> DataFrame:
     """Risk of every request (crop text, district, sowing_date, as_of) in one job; unusable requests carry ``error``.
+    The forecast counts from ``start`` on.
 
     ``model`` is a fitted model with a ``transform`` adding ``ml_risk`` and ``ml_probabilities``; without one the
     middle class and equal probabilities stand in.
@@ -205,7 +207,7 @@ def assess(requests: DataFrame, forecast: DataFrame, rules: dict[str, DataFrame]
     about = rules["crops"].select(F.col("crop").alias("_c"), "crop_type", "total_duration_days")
     staged = (J.stage_of(timed.withColumn("error", error), rules["stages"])
               .join(about, F.col("crop") == F.col("_c"), "left").drop("_c"))
-    stats = forecast_stats(forecast)
+    stats = forecast_stats(forecast, start=start)
     first = stats.agg(F.min("district").alias("d")).scalar()
     known = staged.join(stats.select(F.col("district").alias("_known")), F.col("district") == F.col("_known"), "left")
     placed = (known.withColumn("_place", F.coalesce(F.col("_known"), first)).drop("_known")

@@ -164,8 +164,13 @@ def latest_features(df: DataFrame, order: Sequence[Column | str], by: Sequence[s
     return calendar_features(kept.fillna(0.0, zeros), day)
 
 
-def forecast_stats(df: DataFrame, key: str = "district", day: str = "date", days: int = 15) -> DataFrame:
-    """Weather statistics of the first days of a forecast per district; constants where a column is absent."""
+def forecast_stats(df: DataFrame, key: str = "district", day: str = "date", days: int = 15, start: str | None = None) -> DataFrame:
+    """Weather statistics of the first days of a forecast per district, from ``start`` on; a measure is found under any of
+    its usual names, and constants stand where a column is absent."""
+    df = df.withColumnsRenamed({next(n for n in names if n in df.columns): c for c, names in vocab.FORECAST_NAMES.items()
+                                if c not in df.columns and any(n in df.columns for n in names)})
+    if start is not None:
+        df = df.filter(F.col(day) >= F.lit(start).cast("date"))
     # A district has one row per forecast day; several runs leave duplicates, of which the fullest counts.
     first = keep_first(df, [key, day], [M.completeness(*[F.col(c) for c in df.columns])])
     w = Window.partitionBy(key).orderBy(day)

@@ -38,10 +38,21 @@ def parse_forecast(df: DataFrame, body: str, keys: list[str], fields: dict[str,
     return rows.select(*keys, F.col("d.time").try_cast("date").alias("date"), *[F.col(f"d.{f}") for f in fields])
 
 
+def _pages(df: DataFrame, body: str, record: str) -> DataFrame:
+    kind = f"total long, records array<struct<{_as_struct(record)}>>"
+    return df.withColumn("doc", F.from_json(body, f"{kind}, _bad string", {"columnNameOfCorruptRecord": "_bad"}))
+
+
 def explode_pages(df: DataFrame, body: str, record: str = RECORD) -> DataFrame:
-    """Pages ``{total, records:[...]}`` to records."""
-    doc = df.select(F.from_json(body, f"total long, records array<struct<{_as_struct(record)}>>").alias("doc"))
-    return doc.select(F.explode("doc.records").alias("r")).select("r.*")
+    """Pages ``{total, records:[...]}`` to records; what ``unusable_pages`` returns has none."""
+    return _pages(df, body, record).select(F.explode("doc.records").alias("r")).select("r.*")
+
+
+def unusable_pages(df: DataFrame, body: str, record: str = RECORD) -> DataFrame:
+    """The pages that give no records, with a reason: no body, no valid document, or a document without a list."""
+    reason = (F.when(F.col(body).isNull(), "empty").when(F.col("doc._bad").isNotNull(), "malformed")
+              .when(F.col("doc.records").isNull(), "without records"))
+    return _pages(df, body, record).withColumn("reason", reason).filter(F.col("reason").isNotNull()).drop("doc")
 
 
 def _as_struct(ddl: str) -> str:

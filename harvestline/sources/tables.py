@@ -136,8 +136,9 @@ def read_newest_per(spark: SparkSession, root: str, schema: str, n: int = 1, by_
 
 
 def preview(df: DataFrame, aliases: dict[str, list[str]], state: str, inside: Column, n: int = 1000,
-            top: int = 10) -> dict[str, DataFrame | list[str]]:
-    """First look at an input: columns before and after renaming, frequent states and the in-scope share."""
-    head = rename_by_alias(df.limit(n), aliases)
+            top: int = 10, order: Sequence[str] = ()) -> dict[str, DataFrame | list[str]]:
+    """First look at an input: columns before and after renaming, frequent states and the in-scope share, of the first
+    ``n`` rows (by ``order`` if given)."""
+    head = rename_by_alias((df.orderBy(*order) if order else df).limit(n), aliases)
     return {"columns": df.columns, "renamed": head.columns, "states": value_counts(head, state, top),
             "scope": scope_share(head, inside)}

@@ -157,6 +157,11 @@ WEATHER_STATS = [
     "temp_max", "temp_min", "temp_mean", "temp_range", "temp_std", "humidity", "humidity_max",
     "hot_days_7d", "cold_days_7d", "wet_days_7d", "gdd_7d", "gdd_14d", "vpd_7d", "drought_stress_7d",
 ]
+# Names under which forecasts bring their measures, in the order in which they are looked for.
+FORECAST_NAMES = {
+    "precipitation": ["prcp", "rain"], "t2m_max": ["temp_max", "tmax"], "t2m_min": ["temp_min", "tmin"],
+    "t2m_mean": ["temp_mean", "tmean"], "rh2m": ["humidity", "rh"],
+}
 STAT_DEFAULTS = {
     "rainfall_3d": 0.0, "rainfall_7d": 0.0, "rainfall_14d": 0.0, "rainfall_max_day": 0.0,
     "rainfall_days_7d": 0.0, "temp_max": 30.0, "temp_min": 20.0, "temp_mean": 25.0, "temp_range": 10.0,

@@ -135,3 +135,20 @@ def test_outlook(forecasts, spark):
     r = Ol.outlook(forecasts.drop("current_price"), history, history.limit(0), calibration, 14).first()
     assert (r["price_source"], r["price_trend"], r["forecast_7d"], r["forecast_14d"], r["forecast_15d"]) == ("historical", "up", 111.0, 104.0, 111.0)
     assert (r["expected_change_percent"], r["model_confidence"], len(r["forecasts"])) == (4.0, 86.0, 14)
+
+
+def test_forecast_measures_under_other_names(spark):
+    days = [("d", dt.date(2024, 1, k), 30.0 + k, 20.0, float(k)) for k in range(1, 6)]
+    usual = W.forecast_stats(spark.createDataFrame(days, "district string, date date, t2m_max double, t2m_min double, precipitation double")).first()
+    other = W.forecast_stats(spark.createDataFrame(days, "district string, date date, tmax double, temp_min double, prcp double")).first()
+    assert usual.asDict() == other.asDict() and usual["rainfall_3d"] == 6.0
+    late = W.forecast_stats(spark.createDataFrame(days, "district string, date date, tmax double, tmin double, rain double"), start="2024-01-04").first()
+    assert late["forecast_days"] == 2 and late["rainfall_3d"] == 9.0
+
+
+def test_hash_normal_is_normal_and_repeatable(spark):
+    draws = spark.range(20_000).select(Rk.hash_normal(5, 12.0, F.col("id")).alias("x"))
+    got = draws.agg(F.avg("x").alias("mean"), F.stddev_samp("x").alias("sd"), F.avg((F.abs("x") < 12).cast("int")).alias("within")).first()
+    assert abs(got["mean"]) < 0.4 and abs(got["sd"] - 12) < 0.4 and abs(got["within"] - 0.683) < 0.02
+    assert draws.filter(F.col("x").isNull() | F.isnan("x")).isEmpty()
+    assert draws.limit(5).collect() == draws.limit(5).collect()

@@ -201,3 +201,9 @@ def test_streamed_pages_equal_read_pages(spark, tmp_path, rows):
      .trigger(availableNow=True).start().awaitTermination())
     assert rows(spark.read.parquet(str(tmp_path / "out"))) == rows(parse(feeds.read_pages(spark, str(tmp_path / "in")))) == [
         ("m0", 0.0), ("m1", 1.0), ("m2", 2.0)]
+
+
+def test_unusable_pages_are_reported(spark):
+    pages = spark.createDataFrame([(1, '{"total":1,"records":[{"state":"Home","market":"m"}]}'), (2, "{broken"), (3, None), (4, '{"total":0}')], "page int, body string")
+    assert feeds.explode_pages(pages, "body").count() == 1
+    assert {r["page"]: r["reason"] for r in feeds.unusable_pages(pages, "body").collect()} == {2: "malformed", 3: "empty", 4: "without records"}

@@ -109,3 +109,12 @@ def test_raw_prices_end_to_end(spark):
         Q.normalize_raw_prices(raw, "Maharashtra", strict=True)
     with pytest.raises(ValueError, match="arrival_date"):
         Q.normalize_raw_prices(raw.drop("Price Date"), "Maharashtra")
+
+
+def test_a_listed_file_without_rows_is_invalid(spark):
+    schema = "file string, state string, district string, market string, commodity string, arrival_date date, min_price double, max_price double, modal_price double"
+    df = spark.createDataFrame([("f", "S", "D", "M", "C", dt.date(2024, 1, 1), 10.0, 20.0, 15.0)], schema)
+    files = spark.createDataFrame([("f",), ("empty",)], "file string")
+    got = {r["file"]: (r["rows"], r["code"], r["status"]) for r in Q.file_report(df, "prices", files=files).collect()}
+    assert got == {"f": (1, 0, "valid"), "empty": (0, 2, "invalid")}
+    assert [r["code"] for r in Q.file_report(df.limit(0), "prices", files=files.limit(1)).collect()] == [2]

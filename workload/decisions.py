@@ -80,9 +80,9 @@ def _(spark, sf):
 
 # Forecasts per series: prices some rows ago stand for the horizons.
 FORECAST_SQL = PRICES_SQL + f""",
-numbered AS (SELECT *, row_number() OVER (PARTITION BY commodity, market ORDER BY {", ".join(c + " DESC" for c in ORDER_SQL.split(", "))}) AS age,
+numbered AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY commodity, market ORDER BY {", ".join(c + " DESC" for c in ORDER_SQL.split(", "))}) AS age,
   count(*) OVER (PARTITION BY commodity, market) AS n FROM prices),
-forecasts AS (SELECT a.commodity, a.market, h.horizon, a.modal_price AS price, b.modal_price AS current_price FROM numbered a
+forecasts AS MATERIALIZED (SELECT a.commodity, a.market, h.horizon, a.modal_price AS price, b.modal_price AS current_price FROM numbered a
   JOIN (VALUES (1), (2), (7), (14), (21)) h(horizon) ON a.age = h.horizon + 1
   JOIN numbered b ON a.commodity = b.commodity AND a.market = b.market AND b.age = 1 WHERE a.n >= 31)"""
 STEPS = [1, 2, 7, 14, 21]
@@ -95,14 +95,18 @@ def forecasts(spark, sf, last=None):
             .select("commodity", "market", "c.horizon", "c.price", "current_price"))
 
 
-CURVE_SQL = FORECAST_SQL + """,
-days AS (SELECT DISTINCT commodity, market, unnest(generate_series(1, 25)) AS day FROM forecasts),
-brk AS (SELECT d.*, coalesce(max(CASE WHEN horizon <= day THEN horizon END), min(horizon)) AS lo,
-  coalesce(min(CASE WHEN horizon >= day THEN horizon END), max(horizon)) AS hi FROM days d JOIN forecasts f USING (commodity, market) GROUP BY ALL),
-pr AS (SELECT b.commodity, b.market, b.day, CASE WHEN lo = hi THEN l.price
-  ELSE l.price + (CAST(day - lo AS DOUBLE) / (hi - lo)) * (h.price - l.price) END AS price, 900e0 * least(day / 7, 3) AS band
-  FROM brk b JOIN forecasts l ON l.commodity = b.commodity AND l.market = b.market AND l.horizon = lo
-  JOIN forecasts h ON h.commodity = b.commodity AND h.market = b.market AND h.horizon = hi),
+def curve_sql(days, band):
+    """One row for each day and series: the points of a series stand side by side, so nothing is joined with itself."""
+    return f""",
+points AS MATERIALIZED (SELECT commodity, market, list(struct_pack(h := horizon, p := price) ORDER BY horizon) AS pts FROM forecasts GROUP BY 1, 2),
+days AS MATERIALIZED (SELECT commodity, market, pts, unnest(generate_series(1, {days})) AS day FROM points),
+brk AS (SELECT *, coalesce(list_filter(pts, lambda x: x.h <= day)[-1], pts[1]) AS l, coalesce(list_filter(pts, lambda x: x.h >= day)[1], pts[-1]) AS u FROM days),
+pr AS (SELECT commodity, market, day, CASE WHEN l.h = u.h THEN l.p ELSE l.p + (CAST(day - l.h AS DOUBLE) / (u.h - l.h)) * (u.p - l.p) END AS price,
+  {band} * least(day / 7, 3) AS band FROM brk),
+"""
+
+
+CURVE_SQL = FORECAST_SQL + curve_sql(25, "900e0") + """
 curve AS (SELECT commodity, market, day, round(price + 3e-7, 0) AS predicted_price, round(price - band + 3e-7, 0) AS lower_bound,
   round(price + band + 3e-7, 0) AS upper_bound, round(greatest(70e0, 95e0 - day * 1.2e0), 1) AS confidence FROM pr)"""
 
@@ -148,10 +152,14 @@ def _(spark, sf):
 
 
 @query("g12_outlook", "WITH " + RECOMMEND_SQL + """,
+predictions AS MATERIALIZED (SELECT modal_price AS y, unnest([""" + ", ".join(f"lag(modal_price, {h}) OVER w" for h in NAIVE) + """]) AS yhat
+  FROM prices WINDOW w AS (PARTITION BY commodity, market ORDER BY """ + ORDER_SQL + """)),
+cal AS MATERIALIZED (SELECT quantile_cont(abs(y - yhat), 0.9) AS q90 FROM predictions)""" + curve_sql(14, "(SELECT q90 FROM cal)") + """
+curve AS (SELECT commodity, market, string_agg(CAST(CAST(round(price + 3e-7, 0) AS BIGINT) AS VARCHAR) || '/' || CAST(CAST(round(price - band + 3e-7, 0) AS BIGINT) AS VARCHAR), ' ' ORDER BY day) AS days FROM pr GROUP BY 1, 2),
 f AS (SELECT commodity, market, max(CASE WHEN horizon = 7 THEN price END) AS f7, max(CASE WHEN horizon = 14 THEN price END) AS f14 FROM forecasts GROUP BY 1, 2)
 SELECT commodity, market, round(current_price + 3e-7, 0) AS current_price, CASE WHEN gain > 5 THEN 'HOLD' ELSE 'SELL' END AS recommendation, best_sell_day,
-  round(gain, 4) AS expected_gain_pct, round(f7 + 3e-7, 0) AS forecast_7d, round(f14 + 3e-7, 0) AS forecast_14d, 14 AS days
-FROM adv JOIN f USING (commodity, market)""")
+  round(gain, 4) AS expected_gain_pct, round(f7 + 3e-7, 0) AS forecast_7d, round(f14 + 3e-7, 0) AS forecast_14d, days
+FROM adv JOIN f USING (commodity, market) JOIN curve USING (commodity, market)""")
 def _(spark, sf):
     last = stored(W.latest_features(prices(spark, sf), ORDER), "latest")
     f = forecasts(spark, sf, last).withColumn("price", F.col("price") + 3e-7).drop("current_price")
@@ -159,10 +167,17 @@ def _(spark, sf):
     calibration = P.calibrate(predictions(spark, sf), "y", "yhat")
     out = Ol.outlook(f, newest, newest.limit(0), calibration, 14, STEPS)
     return out.select("commodity", "market", "current_price", "recommendation", "best_sell_day", r("expected_gain_pct").alias("expected_gain_pct"),
-                      "forecast_7d", "forecast_14d", F.size("forecasts").alias("days"))
+                      "forecast_7d", "forecast_14d",
+                      F.array_join(F.transform("forecasts", lambda d: F.concat_ws("/", d["predicted_price"].cast("long"), d["lower_bound"].cast("long"))), " ").alias("days"))
 
 
-@query("g15_training_report")
+@query("g15_training_report", "WITH " + PREDICTIONS_SQL + """,
+m AS (SELECT horizon, [avg(abs(y - yhat)), sqrt(avg((y - yhat) * (y - yhat))), 1 - avg((y - yhat) * (y - yhat)) / var_pop(y),
+  avg(abs((y - yhat) / greatest(y, 1))) * 100, count(*)] AS v FROM predictions GROUP BY 1),
+c AS (SELECT [avg(abs(y - yhat)), stddev_pop(abs(y - yhat)), count(*), quantile_cont(abs(y - yhat), 0.8), quantile_cont(abs(y - yhat), 0.9),
+  quantile_cont(abs(y - yhat), 0.95)] AS v FROM predictions)
+SELECT 'horizon_' || horizon AS section, unnest(['mae', 'rmse', 'r2', 'mape', 'n']) AS metric, round(unnest(v) + 3e-5, 2) AS value FROM m
+UNION ALL SELECT 'calibration', unnest(['mean_residual', 'std_residual', 'rows', 'q80', 'q90', 'q95']), round(unnest(v) + 3e-5, 2) FROM c""")
 def _(spark, sf):
     p = predictions(spark, sf)
-    return R.training_report(p, P.calibrate(p, "y", "yhat"))
+    return rounded(R.training_report(p, P.calibrate(p, "y", "yhat")).withColumn("value", F.col("value").cast("double")), 2, 3e-5)

@@ -6,7 +6,7 @@ from harvestline import vocab
 from harvestline.operators import encode as E, impute as I, joins as J, windows as W
 from harvestline.operators.ordered import over_rows
 from harvestline.plans import datasets as Ds
-from workload.base import (JOINED_SQL, ORDER, ORDER_SQL, PRICES_SQL, WEATHER_SQL, nation_aliases, prices, query, r,
+from workload.base import (JOINED_SQL, ORDER, ORDER_SQL, PRICES_SQL, WEATHER_SQL, nation_aliases, nations, prices, query, r,
                            rounded, stored, weather)
 
 ID = ["commodity", "market", "l_orderkey", "l_linenumber", "modal_price"]
@@ -173,7 +173,7 @@ SELECT district, forecast_days, round(rainfall_3d, 4) AS rainfall_3d, round(rain
   round(gdd_14d, 4) AS gdd_14d, round(vpd_7d, 4) AS vpd_7d, round(temp_max - temp_min, 4) AS temp_range,
   round(vpd_7d / (1 + rainfall_7d / 50), 4) AS drought_stress_7d FROM s""")
 def _(spark, sf):
-    return rounded(W.forecast_stats(weather(spark, sf).filter(F.col("date") >= "2000-03-01")))
+    return rounded(W.forecast_stats(weather(spark, sf), start="2000-03-01"))
 
 
 @query("w22_ranked", "WITH " + PRICES_SQL + """,
@@ -212,6 +212,46 @@ SELECT district, extract(year FROM arrival_date) AS arrival_year, count(*) AS ro
 def _(spark, sf):
     p = prices(spark, sf).drop("l_orderkey", "l_linenumber")
     canonical = Ds.canonical_prices([p.filter("source = 'history'"), p.filter("source = 'current'")], nation_aliases(spark, sf))
-    model = Ds.model_table(stored(Ds.joined(canonical, weather(spark, sf).drop("ws2m"), 1997), "joined"))
+    model = Ds.model_table(stored(Ds.joined(canonical, weather(spark, sf), 1997), "joined"))
     return model.groupBy("district", "arrival_year", "has_weather").agg(
         F.count("*").alias("rows"), F.sum("weather_imputed").alias("imputed"), F.max("modal_price").alias("high"))
+
+
+BUILD_SQL = "WITH " + JOINED_SQL + """,
+k AS (SELECT *, row_number() OVER (PARTITION BY state, district, market, commodity, variety, grade, arrival_date ORDER BY
+      CASE source WHEN 'current' THEN 2 ELSE 1 END DESC, modal_price DESC) AS rn FROM joined),
+canon AS MATERIALIZED (SELECT * FROM k WHERE rn = 1),
+late AS MATERIALIZED (SELECT * FROM canon WHERE arrival_date >= DATE '1997-01-01'),
+bounds AS (SELECT quantile_cont(modal_price, 0.005) AS lo, quantile_cont(modal_price, 0.995) AS hi FROM late),
+placed AS (SELECT district, row_number() OVER (PARTITION BY commodity, market ORDER BY arrival_date) - 1 AS behind FROM late, bounds
+  WHERE modal_price BETWEEN lo AND hi),
+trained AS (SELECT district FROM placed WHERE (""" + " + ".join(f"CASE WHEN behind < {n} THEN 1 ELSE 0 END" for n in vocab.LAGS) + f""") <= 0.3 * {len(vocab.LAGS)})
+SELECT 'prices' AS step, district, count(*) AS rows, CAST(round(sum(modal_price) * 100) AS BIGINT) AS total FROM canon GROUP BY 2
+UNION ALL SELECT 'weather', district, count(*), CAST(sum(precipitation) AS BIGINT) FROM weather GROUP BY 2
+UNION ALL SELECT 'joined', district, count(*), CAST(sum(has_weather) AS BIGINT) FROM late GROUP BY 2
+UNION ALL SELECT 'model', district, count(*), CAST(sum(1 - has_weather) AS BIGINT) FROM late GROUP BY 2
+UNION ALL SELECT 'training', district, count(*), 0 FROM trained GROUP BY 2"""
+
+
+@query("g16_build", BUILD_SQL)
+def _(spark, sf):
+    """From raw text tables to the training table: standardised, mapped, deduplicated, gated, joined, filled, featured."""
+    p = prices(spark, sf)
+    raw = p.select("source", F.col("state").alias("State"), F.concat(F.lower("district"), F.lit(" ")).alias("District"), F.col("market").alias("Market"),
+                   F.col("commodity").alias("Commodity"), F.col("variety").alias("Variety"), F.col("grade").alias("Grade"),
+                   F.date_format("arrival_date", "dd/MM/yyyy").alias("Arrival_Date"), *[F.col(c).cast("string").alias(c) for c in vocab.PRICE_MEASURES],
+                   F.col("commodity_code").cast("string").alias("Commodity_Code"))
+    away = raw.limit(1).withColumn("State", F.lit("Away"))
+    w = weather(spark, sf).select(F.col("district").alias("District"), F.date_format("date", "yyyyMMdd").alias("Date"), *[
+        F.coalesce(F.col(c), F.lit(-999.0)).alias(n) for c, n in (("t2m_max", "T2M_MAX"), ("t2m_min", "T2M_MIN"), ("t2m_mean", "T2M"), ("rh2m", "RH2M"),
+                                                                   ("precipitation", "PRECTOTCORR"))])
+    inputs = {s: raw.filter(F.col("source") == s).drop("source") for s in ("history", "current")}
+    inputs["history"] = inputs["history"].unionByName(away.drop("source"))
+    steps = Ds.build({**inputs, "weather": w}, nation_aliases(spark, sf), nations(spark, sf), "Home", "2026-01-01 00:00:00",
+                     write=lambda name, df: stored(df, name), first_year=1997)
+    lags = [f"price_lag_{n}d" for n in vocab.LAGS]
+    training, _ = Ds.training_table(steps["model"], ["variety", "grade", "modal_price"], lags)
+    of = lambda step, df, total: df.groupBy(F.lit(step).alias("step"), "district").agg(F.count("*").alias("rows"), total.cast("long").alias("total"))
+    return (of("prices", steps["prices"], F.round(F.sum("modal_price") * 100)).unionByName(of("weather", steps["weather"], F.sum("precipitation")))
+            .unionByName(of("joined", steps["joined"], F.sum("has_weather"))).unionByName(of("model", steps["model"], F.sum("weather_imputed")))
+            .unionByName(of("training", training, F.max(F.lit(0)))))

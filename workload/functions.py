@@ -67,12 +67,14 @@ def _(spark, sf):
 
 
 @query("f10_redact_url", r"""
-SELECT page_id, url || (CASE WHEN url LIKE '%?%' THEN '&' ELSE '?' END) || 'api-key=[REDACTED]&monkey=' || page_id AS url
-FROM pages WHERE url NOT LIKE '%#%'""")
+SELECT page_id, split_part(url, '#', 1) || (CASE WHEN url LIKE '%?%' THEN '&' ELSE '?' END) || 'api-key=[REDACTED]' ||
+  CASE WHEN url LIKE '%#%' THEN '#' || split_part(url, '#', 2) ELSE '&monkey=' || page_id END AS url FROM pages""")
 def _(spark, sf):
     url = F.col("url")
-    p = table(spark, sf, "pages").filter(~url.contains("#"))
-    raw = F.concat(url, F.when(url.contains("?"), "&").otherwise("?"), F.lit("api-key=s3cret&monkey="), F.col("page_id").cast("string"))
+    p = table(spark, sf, "pages")
+    # the key is the last parameter before the fragment, or is followed by another parameter
+    tail = F.when(url.contains("#"), F.concat(F.lit("#"), F.split_part(url, F.lit("#"), F.lit(2)))).otherwise(F.concat(F.lit("&monkey="), F.col("page_id").cast("string")))
+    raw = F.concat(F.split_part(url, F.lit("#"), F.lit(1)), F.when(url.contains("?"), "&").otherwise("?"), F.lit("api-key=s3cret"), tail)
     return p.select("page_id", T.redact_url(raw).alias("url"))
 
 

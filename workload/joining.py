@@ -66,7 +66,7 @@ def _(spark, sf):
 dim AS (SELECT n_name AS district FROM nation UNION ALL SELECT 'Nowhere'),
 p AS (SELECT district, count(*) AS price_rows, count(DISTINCT market) AS markets, count(DISTINCT commodity) AS commodities,
       min(arrival_date) AS date_min, max(arrival_date) AS date_max FROM prices GROUP BY 1),
-w AS (SELECT DISTINCT district FROM weather WHERE extract(year FROM date) >= 2001 AND precipitation > 45)
+w AS (SELECT DISTINCT district FROM weather)
 SELECT d.district, coalesce(price_rows, 0) AS price_rows, coalesce(markets, 0) AS markets, coalesce(commodities, 0) AS commodities,
        CAST(date_min AS VARCHAR) AS date_min, CAST(date_max AS VARCHAR) AS date_max,
        CASE WHEN price_rows > 0 THEN 1 ELSE 0 END AS has_prices, CASE WHEN w.district IS NOT NULL THEN 1 ELSE 0 END AS has_weather,
@@ -75,24 +75,25 @@ SELECT d.district, coalesce(price_rows, 0) AS price_rows, coalesce(markets, 0) A
 FROM dim d LEFT JOIN p ON d.district = p.district LEFT JOIN w ON d.district = w.district""")
 def _(spark, sf):
     dim = nations(spark, sf).unionByName(spark.range(1).select(F.lit("Nowhere").alias("district")))
-    w = weather(spark, sf).filter((F.year("date") >= 2001) & (F.col("precipitation") > 45)).withColumn("district", F.upper("district"))
+    w = weather(spark, sf).withColumn("district", F.upper("district"))
     return rounded(J.coverage(dim, prices(spark, sf), w))
 
 
 @query("j07_missing_members", """
-SELECT CAST(c_custkey AS VARCHAR) AS customer FROM customer
-WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""")
+SELECT CAST(p_partkey AS VARCHAR) AS part FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity = 50)
+UNION ALL SELECT 'unknown'""")
 def _(spark, sf):
-    dim = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("customer"))
-    facts = table(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("customer"))
-    return J.missing_members(dim, facts, "customer")
+    """Parts without a full-size line, and a part that no line has."""
+    dim = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("part")).unionByName(spark.range(1).select(F.lit("unknown").alias("part")))
+    facts = table(spark, sf, "lineitem").filter("l_quantity = 50").select(F.col("l_partkey").cast("string").alias("part"))
+    return J.missing_members(dim, facts, "part")
 
 
 @query("j08_current_value", "WITH " + PRICES_SQL + """,
 l AS (SELECT commodity, market, arg_max(struct_pack(d := arrival_date, p := modal_price), struct_pack(d := arrival_date, p := modal_price)) AS v
       FROM prices WHERE source = 'current' AND arrival_date >= DATE '2001-07-01' GROUP BY 1, 2),
 h AS (SELECT commodity, market, arg_max(struct_pack(d := arrival_date, p := modal_price), struct_pack(d := arrival_date, p := modal_price)) AS v
-      FROM prices WHERE source = 'history' AND grade = 'A' GROUP BY 1, 2),
+      FROM prices WHERE source = 'history' GROUP BY 1, 2),
 k AS (SELECT DISTINCT commodity, market FROM prices)
 SELECT commodity, market, coalesce(l.v.p, h.v.p, 0) AS current_price,
        CAST(CASE WHEN l.v IS NOT NULL THEN l.v.d ELSE h.v.d END AS VARCHAR) AS price_date,
@@ -101,7 +102,7 @@ FROM k LEFT JOIN l USING (commodity, market) LEFT JOIN h USING (commodity, marke
 def _(spark, sf):
     p = prices(spark, sf)
     live = p.filter((F.col("source") == "current") & (F.col("arrival_date") >= "2001-07-01"))
-    history = p.filter((F.col("source") == "history") & (F.col("grade") == "A"))
+    history = p.filter(F.col("source") == "history")
     return rounded(J.current_value(p, live, history, ["commodity", "market"], "arrival_date", "modal_price"), 2)
 
 

@@ -126,18 +126,38 @@ def _(spark, sf):
     return Q.price_violation_counts(Q.repair_prices(faulty(spark, sf)))
 
 
-@query("v06_output_gate", """
-SELECT 0 AS unique_keys, 1 AS known_members, 1 AS scope_kept, 0 AS passed""")
+@query("v06_output_gate", "WITH " + PRICES_SQL + """,
+g AS (SELECT (SELECT count(*) FROM prices) = (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM prices)) AS u,
+  NOT EXISTS (SELECT 1 FROM prices WHERE district NOT IN (SELECT n_name FROM nation)) AS m, NOT EXISTS (SELECT 1 FROM prices WHERE lower(state) <> 'home') AS s)
+SELECT CAST(u AS INT) AS unique_keys, CAST(m AS INT) AS known_members, CAST(s AS INT) AS scope_kept, CAST(u AND m AND s AS INT) AS passed FROM g""")
 def _(spark, sf):
     gate = Q.output_gate(prices(spark, sf), ["l_orderkey", "l_linenumber"], nations(spark, sf), "district", "state", "Home")
     return rounded(gate)
 
 
+def with_absent(spark, sf):
+    """All districts, and one that no table has."""
+    return nations(spark, sf).unionByName(spark.range(1).select(F.lit("Nowhere").alias("district")))
+
+
 @query("v07_missing_after_filter", "WITH " + PRICES_SQL + """
-SELECT n_name AS district FROM nation WHERE n_name NOT IN (SELECT district FROM prices WHERE arrival_date >= DATE '2001-10-25' AND grade = 'R')""")
+SELECT 'Nowhere' AS district UNION ALL SELECT n_name FROM nation WHERE n_name NOT IN (SELECT district FROM prices)""")
 def _(spark, sf):
-    few = prices(spark, sf).filter((F.col("arrival_date") >= "2001-10-25") & (F.col("grade") == "R"))
-    return J.missing_members(nations(spark, sf), few, "district")
+    return J.missing_members(with_absent(spark, sf), prices(spark, sf), "district")
+
+
+def _profile(section, col, source, median=False):
+    """The figures of a measure as text rounded to three digits."""
+    stats = [("mean", f"avg({col})"), ("min", f"min({col})"), ("max", f"max({col})"), ("null_pct", f"avg(CASE WHEN {col} IS NULL THEN 1 ELSE 0 END) * 100")]
+    stats += [("median", f"quantile_cont({col}, 0.5)")] if median else []
+    names, values = ", ".join(f"'{col}_{n}'" for n, _ in stats), ", ".join(f"printf('%.3f', round({e} + 3e-7, 3))" for _, e in stats)
+    return f"SELECT '{section}', unnest([{names}]), unnest([{values}]) FROM {source}"
+
+
+def _values(report, sections=("prices", "measures")):
+    """Reports with the figures of measures at three digits, which engines agree on."""
+    figure = F.format_string("%.3f", F.round(F.col("value").cast("double") + 3e-7, 3))
+    return report.withColumn("value", F.when(F.col("section").isin(*sections) & F.col("value").isNotNull(), figure).otherwise(F.col("value")))
 
 
 @query("g15_price_report", "WITH " + PRICES_SQL + """,
@@ -148,23 +168,24 @@ SELECT * FROM (
    CAST(count(DISTINCT state) AS VARCHAR), CAST(count(DISTINCT district) AS VARCHAR), CAST(count(DISTINCT market) AS VARCHAR), CAST(count(DISTINCT commodity) AS VARCHAR)]) AS value FROM prices
  UNION ALL SELECT 'summary', unnest(['duplicate_rows', 'duplicate_keys', 'rows_to_remove']),
   unnest([CAST(coalesce(sum(CASE WHEN n > 1 THEN n END), 0) AS VARCHAR), CAST(count(CASE WHEN n > 1 THEN 1 END) AS VARCHAR), CAST(sum(n) - count(*) AS VARCHAR)]) FROM g
- UNION ALL SELECT 'sources', source, CAST(count(*) AS VARCHAR) FROM prices GROUP BY 2)""")
+ UNION ALL SELECT 'sources', source, CAST(count(*) AS VARCHAR) FROM prices GROUP BY 2
+ UNION ALL """ + " UNION ALL ".join(_profile("prices", c, "prices", True) for c in ("min_price", "max_price", "modal_price")) + ")")
 def _(spark, sf):
-    return R.price_report(prices(spark, sf)).filter(F.col("section") != "prices")
+    return _values(R.price_report(prices(spark, sf)))
 
 
 @query("g15_coverage_report", "WITH " + PRICES_SQL + """,
-few AS (SELECT DISTINCT district FROM prices WHERE arrival_date >= DATE '2001-10-25' AND grade = 'R'),
+few AS (SELECT DISTINCT district FROM prices),
 w AS (SELECT DISTINCT n_name AS district FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
-c AS (SELECT n_name, n_name IN (SELECT district FROM few) AS p, n_name IN (SELECT district FROM w) AS h FROM nation),
+dim AS (SELECT n_name FROM nation UNION ALL SELECT 'Nowhere'),
+c AS (SELECT n_name, n_name IN (SELECT district FROM few) AS p, n_name IN (SELECT district FROM w) AS h FROM dim),
 a AS (SELECT count(CASE WHEN NOT p THEN 1 END) AS np, count(CASE WHEN NOT h THEN 1 END) AS nw FROM c)
 SELECT 'coverage' AS section, CASE WHEN p AND h THEN 'full' WHEN h THEN 'weather_only' WHEN p THEN 'prices_only' ELSE 'none' END AS metric,
   CAST(count(*) AS VARCHAR) AS value FROM c GROUP BY 2
 UNION ALL SELECT 'recommendation', 'prices', 'Complete coverage - missing ' || np || ' districts' FROM a WHERE np > 0
 UNION ALL SELECT 'recommendation', 'weather', 'Complete coverage - missing ' || nw || ' districts' FROM a WHERE nw > 0""")
 def _(spark, sf):
-    few = prices(spark, sf).filter((F.col("arrival_date") >= "2001-10-25") & (F.col("grade") == "R"))
-    return R.coverage_report(nations(spark, sf), few, weather(spark, sf))
+    return R.coverage_report(with_absent(spark, sf), prices(spark, sf), weather(spark, sf))
 
 
 def _metrics(section, cols, source):
@@ -177,19 +198,25 @@ _DUPS = [("total_rows", "coalesce(sum(n), 0)"), ("unique_rows", "count(*)"), ("d
          ("duplicate_keys", "count(CASE WHEN n > 1 THEN 1 END)"), ("rows_to_remove", "coalesce(sum(n), 0) - count(*)")]
 
 
+_PCT = "printf('%.3f', coalesce(CAST(sum(n) - count(*) AS DOUBLE) / sum(n) * 100, 0))"
+
+
 @query("g15_dedup_report", "WITH g AS (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber), h AS (SELECT 1 AS n FROM g) "
-       + _metrics("before", _DUPS, "g") + " UNION ALL " + _metrics("after", _DUPS, "h"))
+       + _metrics("before", _DUPS + [("dedup_pct", _PCT)], "g") + " UNION ALL " + _metrics("after", _DUPS + [("dedup_pct", _PCT)], "h"))
 def _(spark, sf):
     li, key = table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"]
-    return R.dedup_report(li, keep_first(li, key, ["l_shipdate"]), key).filter(F.col("metric") != "dedup_pct")
+    out = R.dedup_report(li, keep_first(li, key, ["l_shipdate"]), key)
+    share = F.format_string("%.3f", F.col("value").cast("double"))
+    return out.withColumn("value", F.when(F.col("metric") == "dedup_pct", share).otherwise(F.col("value")))
 
 
 @query("g15_weather_report", "WITH " + WEATHER_SQL + ", g AS (SELECT count(*) AS n FROM weather GROUP BY date, district) "
        + _metrics("summary", [("total_rows", "count(*)"), ("date_min", "min(date)"), ("date_max", "max(date)"),
                               ("unique_dates", "count(DISTINCT date)"), ("unique_district", "count(DISTINCT district)")], "weather")
-       + " UNION ALL " + _metrics("summary", _DUPS[2:], "g"))
+       + " UNION ALL " + _metrics("summary", _DUPS[2:], "g")
+       + "".join(" UNION ALL " + _profile("measures", c, "weather") for c in ("precipitation", "t2m_max", "t2m_min", "t2m_mean", "rh2m", "ws2m", "srad")))
 def _(spark, sf):
-    return R.weather_report(weather(spark, sf)).filter(F.col("section") == "summary")
+    return _values(R.weather_report(weather(spark, sf)))
 
 
 @query("g15_imputation_report", "WITH " + JOINED_SQL + ", " + """i AS (SELECT count(*) AS n, sum(has_weather) AS w, count(t2m_max) AS t FROM joined) """
@@ -206,11 +233,10 @@ def _(spark, sf):
     return R.violations_report(faulty(spark, sf), Q.price_contract(scope="Home"))
 
 
-@query("v07_completeness", "WITH " + PRICES_SQL + """
-SELECT 'late' AS "table", n_name AS missing FROM nation WHERE n_name NOT IN (SELECT district FROM prices WHERE arrival_date >= DATE '2001-10-28')
-UNION ALL SELECT 'returned', n_name FROM nation WHERE n_name NOT IN (SELECT district FROM prices WHERE arrival_date >= DATE '2001-10-25' AND grade = 'R')""")
+@query("v07_completeness", "WITH " + PRICES_SQL + """,
+dim AS (SELECT n_name FROM nation UNION ALL SELECT 'Nowhere')
+SELECT 'current' AS "table", n_name AS missing FROM dim WHERE n_name NOT IN (SELECT district FROM prices WHERE source = 'current')
+UNION ALL SELECT 'history', n_name FROM dim WHERE n_name NOT IN (SELECT district FROM prices WHERE source = 'history')""")
 def _(spark, sf):
     p = prices(spark, sf)
-    late = p.filter(F.col("arrival_date") >= "2001-10-28")
-    returned = p.filter((F.col("arrival_date") >= "2001-10-25") & (F.col("grade") == "R"))
-    return R.completeness({"late": late, "returned": returned}, nations(spark, sf))
+    return R.completeness({n: p.filter(F.col("source") == n) for n in ("current", "history")}, with_absent(spark, sf))

@@ -140,6 +140,9 @@ def _(spark, sf):
     return samples(spark, sf).groupBy("crop", "stage", "risk_level").agg(F.count("*").alias("rows"))
 
 
+FORECAST_START = "2000-03-01"
+
+
 def requests(spark, sf):
     o = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(
         table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -158,14 +161,12 @@ SELECT o_orderkey, CASE WHEN days < 0 THEN 'Sowing date is in the future' WHEN r
   CAST(days AS INT) AS days_since_sowing
 FROM req r LEFT JOIN stages s ON r.crop = s.crop AND days BETWEEN start_day AND end_day LEFT JOIN crops k ON r.crop = k.crop""")
 def _(spark, sf):
-    forecast = weather(spark, sf).filter(F.col("date") >= "2000-03-01")
-    out = Rk.assess(requests(spark, sf), forecast, rules(spark))
+    out = Rk.assess(requests(spark, sf), weather(spark, sf), rules(spark), start=FORECAST_START)
     return rounded(out.select("o_orderkey", "error", "crop", "current_stage", "stage_progress", "days_since_sowing"))
 
 
 @query("g11_assess_levels")
 def _(spark, sf):
-    forecast = weather(spark, sf).filter(F.col("date") >= "2000-03-01")
-    out = Rk.assess(requests(spark, sf), forecast, rules(spark)).filter(F.col("error").isNull())
+    out = Rk.assess(requests(spark, sf), weather(spark, sf), rules(spark), start=FORECAST_START).filter(F.col("error").isNull())
     return out.groupBy("crop", "current_stage", "risk_level", "rule_based_score").agg(
         F.count("*").alias("rows"), F.max(F.size("recommendations")).alias("advice"))

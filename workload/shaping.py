@@ -178,10 +178,11 @@ def _(spark, sf):
 
 
 @query("u02_key_difference", """
-SELECT DISTINCT c_custkey AS key FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""")
+SELECT DISTINCT l_orderkey AS key FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderpriority <> '1-URGENT')""")
 def _(spark, sf):
-    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("key"))
-    return S.key_difference(c, table(spark, sf, "orders").select(F.col("o_custkey").alias("key")), "key")
+    """Orders with lines that are not among the orders without haste."""
+    li = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("key"))
+    return S.key_difference(li, table(spark, sf, "orders").filter("o_orderpriority <> '1-URGENT'").select(F.col("o_orderkey").alias("key")), "key")
 
 
 @query("u03_key_intersection", """

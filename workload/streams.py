@@ -15,13 +15,13 @@ def stream(spark, sf):
 
 @query("t01_upsert_stream", """
 SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn
-FROM events WHERE event_type <> 'error') WHERE rn = 1""")
+FROM events) WHERE rn = 1""")
 def _(spark, sf):
     root, mark = work_dir(spark, "upserted"), work_dir(spark, "mark")
-    only = lambda b: b.filter("event_type <> 'error'").select("user_id", "event_type", "event_id", "value", "ts")
+    only = lambda b: b.select("user_id", "event_type", "event_id", "value", "ts")
     S.run_available(S.upsert_stream(stream(spark, sf), root, mark, ["user_id", "event_type"],
-                                    [F.col("ts").desc(), F.col("event_id").desc()], prepare=only))
-    return sinks.read_version(spark, root).drop("ts")
+                                    [F.col("ts").desc(), F.col("event_id").desc()], prepare=only, partition="event_type"))
+    return spark.read.parquet(root).drop("ts")
 
 
 @query("t02_dedup_stream", """
