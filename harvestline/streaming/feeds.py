@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from harvestline.operators.dedup import keep_first, upsert
+from harvestline.operators.dedup import upsert
 from harvestline.sources.sinks import merge_partitions, read_version, versions, write_versioned
 from harvestline.sources.paths import exists
 
@@ -80,17 +80,21 @@ def to_files(result: DataFrame, path: str, checkpoint: str, mode: str = "append"
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def changes_to_files(result: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Update-mode results: every batch writes its changed keys under its own number, so a repeat replaces itself."""
-    def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+def changes_to_files(result: DataFrame, path: str, checkpoint: str, keys: Sequence[str], buckets: int = 16) -> StreamingQuery:
+    """Update-mode results as one current table: every batch replaces its changed keys in the buckets that hold them.
 
-    return (result.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    The table has one row per key, however many batches there were; a repeated batch gives the same table.
+    """
+    def merge(batch: DataFrame, number: int) -> None:
+        rows = batch.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+        merge_partitions(rows, path, keys, "_bucket", f"{checkpoint}-stage/batch={number}")
+
+    return (result.writeStream.outputMode("update").foreachBatch(merge).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
-def read_changes(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The last change of every key."""
-    if not exists(spark, f"{path}/batch=*"):
+def read_changes(spark: SparkSession, path: str) -> DataFrame:
+    """The current row of every key."""
+    if not exists(spark, path):
         raise FileNotFoundError(path)
-    return keep_first(spark.read.parquet(path), keys, [F.col("batch").desc()]).drop("batch")
+    return spark.read.parquet(path).drop("_bucket")

@@ -57,10 +57,10 @@ def test_discovery_and_latest_keep_state_between_batches(spark, landing, rows):
     landing([("a", at(1), 1.0), ("a", at(3), 3.0)])
     landing([("a", at(2), 2.0), ("b", at(2), 9.0)])
     stream = open_stream(spark, landing)
-    S.run_available(S.changes_to_files(S.discover_stream(stream, ["k"]), landing.at("d"), landing.at("dm")))
-    assert rows(S.read_changes(spark, landing.at("d"), ["column", "value"])) == [("k", "a", 3), ("k", "b", 1)]
-    S.run_available(S.changes_to_files(S.latest_stream(stream, ["k"], "ts", "v"), landing.at("l"), landing.at("lm")))
-    assert rows(S.read_changes(spark, landing.at("l"), ["k"]), "k", "v") == [("a", 3.0), ("b", 9.0)]
+    S.run_available(S.changes_to_files(S.discover_stream(stream, ["k"]), landing.at("d"), landing.at("dm"), ["column", "value"]))
+    assert rows(S.read_changes(spark, landing.at("d"))) == [("k", "a", 3), ("k", "b", 1)]
+    S.run_available(S.changes_to_files(S.latest_stream(stream, ["k"], "ts", "v"), landing.at("l"), landing.at("lm"), ["k"]))
+    assert rows(S.read_changes(spark, landing.at("l")), "k", "v") == [("a", 3.0), ("b", 9.0)]
 
 
 def test_trend_emits_closed_days_and_drops_late_rows(spark, landing, rows):

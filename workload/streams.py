@@ -38,16 +38,16 @@ SELECT 'event_type' AS "column", event_type AS value, count(*) AS rows FROM even
 UNION ALL SELECT 'user_id', CAST(user_id AS VARCHAR), count(*) FROM events GROUP BY 2""")
 def _(spark, sf):
     out, mark = work_dir(spark, "found"), work_dir(spark, "mark")
-    S.run_available(S.changes_to_files(S.discover_stream(stream(spark, sf), ["event_type", "user_id"]), out, mark))
-    return S.read_changes(spark, out, ["column", "value"])
+    S.run_available(S.changes_to_files(S.discover_stream(stream(spark, sf), ["event_type", "user_id"]), out, mark, ["column", "value"]))
+    return S.read_changes(spark, out)
 
 
 @query("t04_latest_stream", """
 SELECT user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, value DESC) AS rn FROM events) WHERE rn = 1""")
 def _(spark, sf):
     out, mark = work_dir(spark, "latest"), work_dir(spark, "mark")
-    S.run_available(S.changes_to_files(S.latest_stream(stream(spark, sf), ["user_id", "event_type"], "ts", "value"), out, mark))
-    return S.read_changes(spark, out, ["user_id", "event_type"]).select("user_id", "event_type", "value")
+    S.run_available(S.changes_to_files(S.latest_stream(stream(spark, sf), ["user_id", "event_type"], "ts", "value"), out, mark, ["user_id", "event_type"]))
+    return S.read_changes(spark, out).select("user_id", "event_type", "value")
 
 
 @query("t05_daily_trend_stream", """
