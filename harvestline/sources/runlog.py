@@ -49,18 +49,26 @@ def receipt_markdown(metrics: DataFrame) -> str:
     return "\n".join(lines + [f"| {r['metric']} | {r['value']} |" for r in metrics.toLocalIterator()])
 
 
+_TWIN = {"session": "_session", "chunk": "_chunk"}
+
+
+def _same_chunk() -> Column:
+    """A chunk without a session or number is a chunk as well."""
+    return F.col("session").eqNullSafe(F.col("_session")) & F.col("chunk").eqNullSafe(F.col("_chunk"))
+
+
 def chunk_state(manifest: DataFrame) -> DataFrame:
     """Latest entry of every chunk of an append-only manifest, with its number of attempts."""
     tries = manifest.groupBy("session", "chunk").agg(F.count_if(F.col("status") == "in_progress").alias("attempts"))
     newest = latest(manifest.select("session", "chunk", "status", "rows", "event_time"), ["session", "chunk"],
                     ["event_time", "status", "rows"])
-    return newest.join(tries, ["session", "chunk"])
+    return newest.join(tries.withColumnsRenamed(_TWIN), _same_chunk()).drop(*_TWIN.values())
 
 
 def pending(manifest: DataFrame) -> DataFrame:
     """Chunks still to do: whatever is neither completed nor skipped, so an interrupted chunk is tried again."""
     done = manifest.filter(F.col("status").isin("completed", "skipped")).select("session", "chunk").distinct()
-    return manifest.select("session", "chunk").distinct().join(done, ["session", "chunk"], "left_anti")
+    return manifest.select("session", "chunk").distinct().join(done.withColumnsRenamed(_TWIN), _same_chunk(), "left_anti")
 
 
 def summary(manifest: DataFrame) -> DataFrame:

@@ -93,15 +93,21 @@ def _(spark, sf):
     return decided(spark, sf).select(*ID, "risk_level_code", "risk_level", "override_reason")
 
 
-@query("g10_recommendations", "WITH " + SOIL_SQL + """
-SELECT crop, stage, risk_level_code AS level, CASE risk_level_code WHEN 2 THEN 1 + CASE WHEN rainfall_7d > 100 THEN 1 ELSE 0 END
-  + CASE WHEN temp_max > 38 THEN 1 ELSE 0 END + drought ELSE 2 END + CASE WHEN risk_level_code = 2 AND wl THEN 1 ELSE 0 END AS advice, count(*) AS rows
-FROM (SELECT d.*, d.stage = 'mid' AND d.rainfall_7d > (SELECT rain_max FROM windows w WHERE w.crop = d.crop AND w.risk_factor = 'waterlogging') AS wl FROM decided d)
-GROUP BY 1, 2, 3, 4""")
+def _advice_sql():
+    """The texts in their order, each under its condition."""
+    cases = [("high", "lvl = 2"), ("drain_field", "lvl = 2 AND rainfall_7d > 100"), ("mulch", "lvl = 2 AND temp_max > 38"), ("channels", "lvl = 2 AND wl"),
+             ("irrigate", "lvl = 2 AND drought = 1"), ("moderate", "lvl = 1"), ("updates", "lvl = 1"), ("favorable", "lvl = 0"), ("calendar", "lvl = 0")]
+    quoted = lambda n: "'" + Rk.ADVICE[n].replace("'", "''") + "'"
+    return "concat_ws('|', " + ", ".join(f"CASE WHEN {c} THEN {quoted(n)} END" for n, c in cases) + ")"
+
+
+@query("g10_recommendations", "WITH " + SOIL_SQL + """,
+told AS (SELECT d.*, CAST(risk_level_code AS INT) AS lvl, d.stage = 'mid' AND d.rainfall_7d > (SELECT rain_max FROM windows w WHERE w.crop = d.crop AND w.risk_factor = 'waterlogging') AS wl FROM decided d)
+SELECT crop, stage, lvl AS level, """ + _advice_sql() + """ AS advice, count(*) AS rows FROM told GROUP BY 1, 2, 3, 4""")
 def _(spark, sf):
     d = decided(spark, sf)
     advice = Rk.recommendations(F.col("risk_level_code"), F.col("risk_factors"), F.col("rainfall_7d"), F.col("temp_max"), F.lit(0))
-    return d.groupBy("crop", "stage", F.col("risk_level_code").alias("level"), F.size(advice).alias("advice")).agg(F.count("*").alias("rows"))
+    return d.groupBy("crop", "stage", F.col("risk_level_code").alias("level"), F.array_join(advice, "|").alias("advice")).agg(F.count("*").alias("rows"))
 
 
 @query("j11_resolve_synonym", "WITH " + RULES_SQL + """,
