@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +13,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from harvestline.session import work_dir
 
 
+def reachable(spark: SparkSession) -> None:
+    """Python workers look for the package where the driver found it, also when they start in another folder.
+
+    A cluster whose machines do not share that path gets the package by ``--py-files`` or has it installed.
+    """
+    env, root = spark.sparkContext.environment, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([*known, root])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reachable(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
