@@ -171,7 +171,31 @@ def _(spark, sf):
     return rounded(out.select("o_orderkey", "error", "crop", "current_stage", "stage_progress", "days_since_sowing"))
 
 
-@query("g11_assess_levels")
+ASSESS_SQL = RULES_SQL + "," + WEATHER_SQL + f""",
+f AS (SELECT *, row_number() OVER (PARTITION BY district ORDER BY date) AS d FROM weather WHERE date >= DATE '{FORECAST_START}'),
+st AS MATERIALIZED (SELECT district, coalesce(sum(precipitation) FILTER (d <= 7), 0) AS rainfall_7d, max(t2m_max) FILTER (d <= 7) AS temp_max,
+  min(t2m_min) FILTER (d <= 7) AS temp_min, avg(t2m_mean) FILTER (d <= 7) AS temp_mean, avg(rh2m) FILTER (d <= 7) AS humidity,
+  count(*) FILTER (d <= 7 AND t2m_max > 35) AS hot_days FROM f WHERE d <= 15 GROUP BY 1),
+req AS (SELECT o_orderkey, n_name AS district, o_orderkey % 160 - 10 AS days,
+  list_extract(['ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', NULL, 'STANDARD'], CAST(o_orderkey % 7 + 1 AS INT)) AS crop
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+asked AS (SELECT r.o_orderkey, r.crop, coalesce(s.stage, 'post_harvest') AS stage, w.* EXCLUDE (district) FROM req r
+  LEFT JOIN st k ON k.district = r.district JOIN st w ON w.district = coalesce(k.district, (SELECT min(district) FROM st))
+  LEFT JOIN stages s ON r.crop = s.crop AND days BETWEEN start_day AND end_day WHERE days >= 0 AND r.crop IS NOT NULL),
+hit AS (SELECT a.*, coalesce(CASE w.severity WHEN 'low' THEN 0.25e0 WHEN 'high' THEN 1e0 ELSE 0.5e0 END, 0) AS weight, w.risk_factor,
+  CASE WHEN rainfall_7d > rain_max THEN 30 ELSE 0 END + CASE WHEN rainfall_7d < rain_min THEN 30 ELSE 0 END
+  + CASE WHEN temp_max > t_max THEN 25 ELSE 0 END + CASE WHEN temp_min < t_min THEN 25 ELSE 0 END + CASE WHEN humidity > rh_max THEN 20 ELSE 0 END AS points,
+  CASE WHEN abs(temp_mean - temp_optimal) > 8 THEN 15 WHEN abs(temp_mean - temp_optimal) > 5 THEN 8 ELSE 0 END AS extra
+  FROM asked a LEFT JOIN windows w ON a.crop = w.crop AND a.stage = w.stage LEFT JOIN crops k ON a.crop = k.crop),
+fin AS (SELECT o_orderkey, crop, stage, rainfall_7d, temp_max, hot_days, least(sum(points * weight) + max(extra), 100) AS score,
+  max(CASE WHEN points > 0 AND risk_factor LIKE '%waterlogging%' THEN 1 ELSE 0 END) AS wet,
+  max(CASE WHEN points > 0 AND risk_factor LIKE '%drought%' THEN 1 ELSE 0 END) AS dry FROM hit GROUP BY ALL)
+SELECT crop, stage AS current_stage, CASE WHEN score > 80 THEN 'High' ELSE 'Medium' END AS risk_level, round(CAST(score AS DOUBLE), 1) AS rule_based_score,
+  count(*) AS rows, max(CASE WHEN score > 80 THEN 1 + CASE WHEN rainfall_7d > 100 THEN 1 ELSE 0 END + CASE WHEN temp_max > 38 THEN 1 ELSE 0 END + wet + dry
+  ELSE 2 + CASE WHEN hot_days > 3 THEN 1 ELSE 0 END END) AS advice FROM fin GROUP BY 1, 2, 3, 4"""
+
+
+@query("g11_assess_levels", "WITH " + ASSESS_SQL)
 def _(spark, sf):
     out = Rk.assess(requests(spark, sf), weather(spark, sf), rules(spark), start=FORECAST_START).filter(F.col("error").isNull())
     return out.groupBy("crop", "current_stage", "risk_level", "rule_based_score").agg(
