@@ -6,14 +6,17 @@ match is extended both ways over the windows that chose them: the first place of
 line), is its source, and the same window at any later place is a repeat. The union of repeated windows are the maximal
 runs of lines that stand earlier; they are deleted, in the same document or another, and the first run stays.
 
-The result: a line goes if and only if it lies in ``window`` consecutive lines that also begin at an earlier place.
+The result: a line goes if and only if it lies in ``window`` consecutive lines that also begin at an earlier place. With
+``long_words``, a line of so many words is a fingerprint and a window of its own, so it also goes if it stands alone
+between lines that differ.
 
 Scale: aggregations combine before the shuffle, repeated windows meet their source in a join whose sides are stored
 tables, so a line that a third of all documents share is split by the skew join, and no group is collected but the line
 numbers of one document.
 
 Cases: a null text is empty; a null doc_id sorts first; rows that agree in doc_id and text are the same document and get
-the same result; a text of fewer lines than ``window`` stays as it is; ``n_lines`` and ``n_removed`` replace columns of
+the same result; a text of fewer lines than ``window`` stays as it is,
+unless it has a long line; ``n_lines`` and ``n_removed`` replace columns of
 these names. A text whose lines all go becomes empty.
 """
 
@@ -24,6 +27,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from harvestline.llm.common import stored, text_of
 
 WINDOW = 2
+LONG_WORDS = 50
+SPACE = r"[ \t\n\x0B\f\r]+"
 OUTPUTS = ("n_lines", "n_removed")
 
 
@@ -34,39 +39,58 @@ def chosen(hashes: Column, window: int) -> Column:
     return F.transform(starts, lambda s: s + F.array_position(w := F.slice(hashes, s + 1, window), F.array_min(w)).cast("int") - 1)
 
 
-def fingerprints(docs: DataFrame, window: int) -> DataFrame:
+def long_lines(lines: Column, words: int) -> Column:
+    """The numbers of the lines of ``words`` words or more, told by ASCII white space; shorter than those can be is not split."""
+    def long(k: Column) -> Column:
+        line = F.get(lines, k)
+        return F.when(F.length(line) >= 2 * words - 1, F.size(F.filter(F.split(line, SPACE), lambda w: w != "")) >= words).otherwise(False)
+
+    return F.filter(F.sequence(F.lit(0), F.size(lines) - 1), long)
+
+
+def fingerprints(docs: DataFrame, window: int, long_words: int | None = None) -> DataFrame:
     """One row per selected line: its hash, and the windows that selected it with their hashes."""
-    rows = docs.select("id", "text_hash", F.transform(F.split("body", "\n", -1), lambda x: F.xxhash64(x)).alias("h"))
-    rows = rows.where(F.size("h") >= window).withColumn("at", chosen(F.col("h"), window))
+    rows = docs.select("id", "text_hash", F.split("body", "\n", -1).alias("l"))
+    rows = rows.select("id", "text_hash", F.transform("l", lambda x: F.xxhash64(x)).alias("h"),
+                       *([] if long_words is None else [long_lines(F.col("l"), long_words).alias("long")]))
+    rows = rows.where((F.size("h") >= window) if long_words is None else (F.size("h") >= window) | (F.size("long") > 0))
+    rows = rows.withColumn("at", chosen(F.col("h"), window))
 
     def with_windows(p: Column) -> Column:
         near = F.sequence(F.greatest(p - window + 1, F.lit(0)), F.least(p, F.size("h") - window))
         own = F.filter(near, lambda s: F.get("at", s) == p)
         return F.struct(F.get("h", p).alias("mark"), F.transform(own, lambda s: F.struct(s.alias("start"), F.slice("h", s + 1, window).alias("lines"))).alias("windows"))
 
-    return rows.select("id", "text_hash", F.explode(F.transform(F.array_distinct("at"), with_windows)).alias("f")).select("id", "text_hash", "f.*")
+    def alone(p: Column) -> Column:
+        # another mark than the line has in its windows, which would make every such line look common
+        return F.struct(F.xxhash64(F.get("h", p)).alias("mark"), F.array(F.struct(p.alias("start"), F.array(F.get("h", p)).alias("lines"))).alias("windows"))
+
+    marks = F.transform(F.array_distinct("at"), with_windows)
+    marks = marks if long_words is None else F.concat(marks, F.transform("long", alone))
+    return rows.select("id", "text_hash", F.explode(marks).alias("f")).select("id", "text_hash", "f.*")
 
 
-def repeats(docs: DataFrame, window: int) -> DataFrame:
-    """The first lines of the windows that also begin at an earlier place."""
-    marks = stored(fingerprints(docs, window), "line-marks")
+def repeats(docs: DataFrame, window: int, long_words: int | None = None) -> DataFrame:
+    """The first line and the lines of the windows that also begin at an earlier place."""
+    marks = stored(fingerprints(docs, window, long_words), "line-marks")
     common = stored(marks.groupBy("mark").count().where("count > 1").select("mark"), "line-common")
     places = marks.join(common, "mark", "left_semi").select("id", "text_hash", F.explode("windows").alias("w")).select("id", "text_hash", "w.*")
     places = stored(places, "line-places")
     first = places.groupBy("lines").agg(F.min(F.struct("id", "text_hash", "start")).alias("source"), F.count("*").alias("n"))
     first = stored(first.where("n > 1").select("lines", "source"), "line-sources")
-    return places.join(first, "lines").where(F.struct("id", "text_hash", "start") > F.col("source")).select("id", "text_hash", "start")
+    return places.join(first, "lines").where(F.struct("id", "text_hash", "start") > F.col("source")).select(
+        "id", "text_hash", "start", F.size("lines").alias("n"))
 
 
-def runs(starts: Column, window: int) -> Column:
-    """Merged (from, to) line ranges of windows that begin at the given lines."""
-    def add(acc: Column, s: Column) -> Column:
-        last = F.element_at(acc, -1)
-        longer = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(last["a"].alias("a"), (s + window).alias("b"))))
-        fresh = F.concat(acc, F.array(F.struct(s.alias("a"), (s + window).alias("b"))))
+def runs(windows: Column) -> Column:
+    """Merged (from, to) line ranges of windows given by their first line ``start`` and their ``n`` lines."""
+    def add(acc: Column, w: Column) -> Column:
+        last, s, end = F.element_at(acc, -1), w["start"], w["start"] + w["n"]
+        longer = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(last["a"].alias("a"), F.greatest(last["b"], end).alias("b"))))
+        fresh = F.concat(acc, F.array(F.struct(s.alias("a"), end.alias("b"))))
         return F.when((F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["b"] >= s), longer).otherwise(fresh)
 
-    return F.aggregate(F.sort_array(starts), F.array().cast("array<struct<a:int,b:int>>"), add)
+    return F.aggregate(F.sort_array(windows), F.array().cast("array<struct<a:int,b:int>>"), add)
 
 
 def outside(lines: Column, ranges: Column) -> Column:
@@ -79,12 +103,12 @@ def outside(lines: Column, ranges: Column) -> Column:
     return F.flatten(F.transform(F.sequence(F.lit(0), F.size(ranges)), piece))
 
 
-def dedup_lines(df: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW) -> DataFrame:
+def dedup_lines(df: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW, long_words: int | None = None) -> DataFrame:
     """The rows with later repeated runs of lines deleted from the text, and ``n_lines`` (before) and ``n_removed``."""
     body = text_of(df, text)
     docs = df.select(F.col(doc_id).alias("id"), F.xxhash64(body).alias("text_hash"), body.alias("body"))
-    gone = repeats(docs, window).groupBy("id", "text_hash").agg(F.collect_set("start").alias("starts"))
-    gone = gone.select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"), runs(F.col("starts"), window).alias("__runs"))
+    gone = repeats(docs, window, long_words).groupBy("id", "text_hash").agg(F.collect_set(F.struct("start", "n")).alias("windows"))
+    gone = gone.select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"), runs(F.col("windows")).alias("__runs"))
     own = df.drop(*OUTPUTS).withColumn("__body", body).withColumn("__own", F.xxhash64("__body"))
     out = own.join(gone, own[doc_id].eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__hash")), "left")
     lines = F.split("__body", "\n", -1)

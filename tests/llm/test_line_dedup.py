@@ -41,3 +41,36 @@ def test_edge_cases(docs, spark):
 def test_no_python_in_the_plan(docs):
     df = dedup_lines(docs(["a\nb", "a\nb"]))
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def brute_long(rows, window, words):
+    """As brute, and a line of ``words`` words or more is a window of its own."""
+    seen, out = set(), {}
+    for key, text in sorted(set(rows), key=lambda r: r[0]):
+        lines = text.split("\n")
+        gone = set()
+        spans = {(s, window) for s in range(len(lines) - window + 1)} | {(s, 1) for s, x in enumerate(lines) if len(x.split()) >= words}
+        for s, n in sorted(spans):
+            w = tuple(lines[s:s + n])
+            if (n, w) in seen:
+                gone.update(range(s, s + n))
+            seen.add((n, w))
+        out[key] = ("\n".join(x for i, x in enumerate(lines) if i not in gone), len(lines), len(gone))
+    return out
+
+
+def test_long_line_between_unique_lines(docs):
+    passage = " ".join(f"w{k}" for k in range(60))
+    rows = [(i, f"head {i}\n{passage}\ntail {i}") for i in range(4)] + [(9, passage), (10, "short\nof 10"), (11, "short\nof 11")]
+    got = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in dedup_lines(docs(rows), long_words=50).collect()}
+    assert got == brute_long(rows, 2, 50)
+    assert got[0][0] == rows[0][1] and got[1] == ("head 1\ntail 1", 3, 1) and got[9] == ("", 1, 1) and got[11][2] == 0
+
+
+@pytest.mark.parametrize("window", [1, 2, 3])
+def test_long_lines_equal_brute_force(docs, window):
+    random.seed(window)
+    words = ["a", "b", "c d e", " c\td  e ", "c d", "f g h i", ""]
+    rows = [(i, "\n".join(random.choice(words) for _ in range(random.randint(1, 9)))) for i in range(40)]
+    got = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in dedup_lines(docs(rows), window=window, long_words=3).collect()}
+    assert got == brute_long(rows, window, 3)
