@@ -44,7 +44,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = jaccard_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select(F.col("id").alias("doc_id"), "class_id", "class_size", "n_copies", "n_links")
+    return out.select(F.col("id").alias("doc_id"), "class_id", "class_size", "n_copies", "n_links", "n_similar")
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
