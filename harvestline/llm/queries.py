@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from harvestline.llm import bpe, chat, decontaminate, iblt, jaccard_join, line_dedup, pages, quality, substrings, toxicity
+from harvestline.llm import (
+    bpe, chat, decontaminate, iblt, jaccard_join, line_dedup, pages, periodic, quality, simhash, substrings, toxicity,
+)
 from harvestline.llm.common import held_out, table
 
 #: A score from here on counts as label 1.
@@ -131,6 +133,20 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "h.item_id", "h.score", "h.question_overlap", "h.answer_overlap")
 
 
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.collapse_runs(periodic.planted(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    line = lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))
+    found = found.withColumn("best", periodic.strongest(F.col("runs")))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                        F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256).alias("runs_sha256"),
+                        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_document_fingerprints": op2_document_fingerprints,
@@ -143,6 +159,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_decontamination": op10_decontamination,
+    "op12_simhash": op12_simhash,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {"op7_line_dedup": OP7_SQL, "op7_long_line_dedup": OP7_LONG_SQL}
