@@ -119,25 +119,44 @@ def compare_markets(prices: DataFrame, distances: DataFrame, current_price: Colu
             .withColumn("profitable", F.col("profit_margin") > 0))
 
 
-def synonym_array(aliases: DataFrame, alias: str = "alias", canonical: str = "crop", rank: str = "rank") -> Column:
-    """The (small, configured) alias table as one sorted array value."""
-    entries = F.struct(F.col(rank).cast("int").alias("rank"), F.lower(F.col(alias)).alias("alias"),
-                       F.col(canonical).alias("canonical"))
-    return aliases.agg(F.array_sort(F.collect_set(entries)).alias("entries")).scalar()
+def _grams(text: Column) -> Column:
+    """The distinct substrings of one to three characters, and the empty one."""
+    parts = F.transform(F.sequence(F.lit(1), F.length(text)), lambda k: F.array(*[F.substr(text, k, F.lit(n)) for n in (1, 2, 3)]))
+    return F.when(F.length(text) == 0, F.array(F.lit(""))).otherwise(F.array_distinct(F.concat(F.array(F.lit("")), F.flatten(parts))))
 
 
-def resolve_synonym(df: DataFrame, col: str, aliases: DataFrame, out: str = "crop") -> DataFrame:
-    """Canonical name of a text: equal to an alias, else the first alias contained in it or containing it.
+def _contained(inner: DataFrame, outer: DataFrame, frequency: DataFrame) -> DataFrame:
+    """``inner, outer`` of all texts that lie in another one, by an equi-join on the rarest substring of each inner text.
 
-    Only the distinct texts are compared with the configured aliases, inside one expression.
+    A text lies only in texts that have all its substrings of three characters (the whole text, if it is shorter), so it is
+    looked up under one of these alone; ``contains`` has the last word.
     """
-    entries = synonym_array(aliases)
-    names = df.select(F.col(col).alias("_raw")).distinct().withColumn("_low", F.lower("_raw"))
-    exact = F.filter("_entries", lambda e: e["alias"] == F.col("_low"))
-    partial = F.filter("_entries", lambda e: F.contains(e["alias"], F.col("_low")) | F.contains(F.col("_low"), e["alias"]))
-    found = names.withColumn("_entries", entries).select(
-        "_raw", F.coalesce(F.get(exact, F.lit(0)), F.get(partial, F.lit(0)))["canonical"].alias("_found"))
-    return df.join(found, F.col(col) == F.col("_raw"), "left").withColumn(out, F.col("_found")).drop("_raw", "_found")
+    keys = inner.select("inner", F.explode(F.filter(_grams(F.col("inner")), lambda g: F.length(g) == F.least(F.lit(3), F.length("inner")))).alias("gram"))
+    keys = keys.join(frequency, "gram", "left").groupBy("inner").agg(F.min(F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("k"))
+    index = outer.select("outer", F.explode(_grams(F.col("outer"))).alias("gram"))
+    met = keys.select("inner", F.col("k.gram").alias("gram")).join(index, "gram")
+    return met.filter(F.contains("outer", "inner")).select("inner", "outer")
+
+
+def resolve_synonym(df: DataFrame, col: str, aliases: DataFrame, out: str = "crop", alias: str = "alias", canonical: str = "crop",
+                    rank: str = "rank") -> DataFrame:
+    """Canonical name of a text: equal to an alias, else the first alias (by rank) contained in it or containing it.
+
+    Only distinct texts are looked up, in an index of the aliases' substrings, so no text is compared with all aliases, however
+    many they are. Every candidate is verified. A null text has no name.
+    """
+    entries = aliases.select(F.lower(F.col(alias)).alias("_alias"), F.col(rank).cast("int").alias("_rank"), F.col(canonical).alias("_canonical"))
+    entries = entries.filter(F.col("_alias").isNotNull()).groupBy("_alias").agg(F.min(F.struct("_rank", "_canonical")).alias("_first"))
+    names = df.select(F.lower(F.col(col)).alias("_low")).filter(F.col("_low").isNotNull()).distinct()
+    frequency = entries.select(F.explode(_grams(F.col("_alias"))).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
+    side = lambda rows, c, name: rows.select(F.col(c).alias(name))
+    within = _contained(side(entries, "_alias", "inner"), side(names, "_low", "outer"), frequency).select(
+        F.col("outer").alias("_low"), F.col("inner").alias("_alias"))
+    around = _contained(side(names, "_low", "inner"), side(entries, "_alias", "outer"), frequency).select(
+        F.col("inner").alias("_low"), F.col("outer").alias("_alias"))
+    order = F.struct((F.col("_low") != F.col("_alias")).alias("other"), "_first._rank", "_alias", "_first._canonical")
+    found = within.unionByName(around).join(entries, "_alias").groupBy("_low").agg(F.min(order)["_canonical"].alias("_found"))
+    return df.join(found, F.lower(F.col(col)) == F.col("_low"), "left").withColumn(out, F.col("_found")).drop("_low", "_found")
 
 
 def suggest(unmapped: DataFrame, dim: DataFrame, raw: str, canonical: str) -> DataFrame:

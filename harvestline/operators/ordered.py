@@ -1,7 +1,7 @@
 """Ordered windows and positions that never need a whole large group in one task.
 
 There is one plan for every size: rows are numbered inside chunks of the order and shifted by the sizes of earlier chunks,
-and windows run over blocks of a fixed number of positions that overlap by the reach of their frames.
+and windows run over blocks of whole chunks that overlap by the reach of their frames.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Positions in a block of a window.
+# Rows from which a group is cut into blocks, and the positions in which the chunks of a block begin.
 BLOCK_ROWS = 1_000_000
 
 
@@ -41,19 +41,56 @@ def with_position(df: DataFrame, chunk: Column, order: Sequence[Column | str], b
             .withColumn(name, F.col("_before") + F.row_number().over(within) - 1).select(*cols, name))
 
 
+def _block_ranges(df: DataFrame, by: Sequence[str], chunk: Column, back: int, ahead: int, size: int) -> DataFrame:
+    """``_h`` and ``_blocks`` of the groups with over ``size`` rows: which chunks each block owns, and which its frames reach.
+
+    A block owns the chunks that begin in its ``size`` positions. There are fewer groups and blocks here than rows / size, so
+    the table may be broadcast. Only these groups are counted by chunk; chunks are structs, whose order has nulls first.
+    """
+    keyed = df.select(F.struct(*[F.col(b) for b in by]).alias("_g"), F.struct(chunk.alias("_c")).alias("_c"))
+    large = keyed.groupBy(F.col("_g").alias("_h")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > size).select("_h")
+    sizes = keyed.join(F.broadcast(large), F.col("_g") == F.col("_h")).groupBy("_h", "_c").agg(F.count(F.lit(1)).alias("_n"))
+    running = Window.partitionBy("_h").orderBy("_c")
+    chunks = sizes.withColumn("_end", F.sum("_n").over(running)).withColumn("_at", F.col("_end") - F.col("_n"))
+    chunks = chunks.withColumn("_own", F.floor(F.col("_at") / size))
+    edges = chunks.groupBy("_h", "_own").agg(F.min("_at").alias("first"), F.max("_end").alias("end"))
+    edges = edges.groupBy("_h").agg(F.collect_list(F.struct(F.col("_own").alias("block"), "first", "end")).alias("_edges"))
+    reached = F.filter("_edges", lambda b: (b["first"] < F.col("_end") + back) & (b["end"] + ahead > F.col("_at")))
+    near = chunks.join(F.broadcast(edges), "_h").withColumn("_b", F.explode(reached))
+    own = F.when(F.col("_b.block") == F.col("_own"), F.col("_c"))
+    ranges = near.groupBy("_h", "_b.block").agg(F.min("_c").alias("low"), F.max("_c").alias("high"),
+                                                F.min(own).alias("first"), F.max(own).alias("last"))
+    return ranges.groupBy("_h").agg(F.collect_list(F.struct("block", "low", "high", "first", "last")).alias("_blocks"))
+
+
 def over_rows(df: DataFrame, by: Sequence[str], day: str, order: Sequence[Column | str],
               build: Callable[[Window], dict[str, Column]], back: int, ahead: int = 0,
               block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Add window columns whose frames reach ``back`` rows back and ``ahead`` rows ahead in each group.
 
-    Rows are placed in their group by day and order. A block holds ``block_rows`` positions and the border rows that its
-    frames reach, so no task holds more of a group than a block, however large the group is.
+    Whole rows are shuffled once, by group and block. Groups with more than ``block_rows`` rows are cut into blocks of whole
+    days, and each block also gets the days that its frames reach, so no task holds more of a group than a block and its
+    borders. The cuts come from counts of the groups, and of the days of such groups only; a group of fewer rows is one block.
     """
     by = list(by)
-    placed = with_position(df, F.col(day), order, by, "_pos")
-    size = max(block_rows, back, ahead, 1)
-    reach = F.sequence(F.greatest(F.lit(0), F.floor((F.col("_pos") - ahead) / size)), F.floor((F.col("_pos") + back) / size))
-    within = Window.partitionBy(*by, "_blk").orderBy("_pos")
-    blocks = (placed.withColumn("_own", F.floor(F.col("_pos") / size)).withColumn("_blk", F.explode(reach))
-              .withColumns(build(within)))
-    return blocks.filter(F.col("_own") == F.col("_blk")).drop("_pos", "_own", "_blk")
+    size = max(block_rows, 1)
+    ranges = _block_ranges(df, by, F.col(day), back, ahead, size)
+    own_day = F.struct(F.col(day))
+    reached = F.filter("_blocks", lambda b: (b["low"] <= own_day) & (own_day <= b["high"]))
+    placed = (df.withColumn("_g", F.struct(*[F.col(b) for b in by]))
+              .join(F.broadcast(ranges), F.col("_g") == F.col("_h"), "left").withColumn("_b", F.explode_outer(reached))
+              .withColumn("_blk", F.coalesce("_b.block", F.lit(0)))
+              .withColumn("_own", F.col("_b").isNull() | ((F.col("_b.first") <= own_day) & (own_day <= F.col("_b.last")))))
+    within = Window.partitionBy(*by, "_blk").orderBy(F.col(day).asc_nulls_first(), *order)
+    out = placed.drop("_g", "_h", "_blocks", "_b").withColumns(build(within))
+    return out.filter("_own").drop("_own", "_blk")
+
+
+def with_blocks(df: DataFrame, by: Sequence[str], chunk: Column, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``_blk`` numbers runs of whole chunks of about ``block_rows`` rows in groups that have more, in the order of ``chunk``;
+    rows of other groups have no number. Only keys are counted; whole rows stay where they are."""
+    ranges = _block_ranges(df, by, chunk, 0, 0, max(block_rows, 1))
+    own = F.struct(chunk)
+    of = F.filter("_blocks", lambda b: (b["first"] <= own) & (own <= b["last"]))
+    return (df.withColumn("_g", F.struct(*[F.col(b) for b in by])).join(F.broadcast(ranges), F.col("_g") == F.col("_h"), "left")
+            .withColumn("_blk", F.get(of, F.lit(0))["block"]).drop("_g", "_h", "_blocks"))

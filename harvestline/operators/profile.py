@@ -110,12 +110,12 @@ def calibrate(df: DataFrame, y: str, yhat: str, by: Sequence[str] = (),
     """Quantiles, mean and population deviation of the absolute residual."""
     residuals = df.withColumn("residual", F.abs(F.col(y) - F.col(yhat))).filter(F.col("residual").isNotNull())
     spread = [F.avg("residual").alias("mean_residual"), F.stddev_pop("residual").alias("std_residual"), F.count("*").alias("rows")]
+    levels = [F.max(F.when(F.col("prob") == p, F.col("value"))).alias(f"q{round(p * 100)}") for p in probs]
     if by:
-        levels = F.percentile("residual", F.array(*[F.lit(float(p)) for p in probs]))
-        found = residuals.groupBy(*by).agg(*spread, levels.alias("_at"))
-        return found.select("*", *[F.get("_at", F.lit(i)).alias(f"q{round(p * 100)}") for i, p in enumerate(probs)]).drop("_at")
-    cells = quantile_table(residuals, ["residual"], probs)
-    wide = cells.agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(f"q{round(p * 100)}") for p in probs])
+        at = quantile_table(residuals, ["residual"], probs, by).groupBy(F.struct(*by).alias("_k")).agg(*levels)
+        found = residuals.groupBy(F.struct(*by).alias("_k")).agg(*spread).join(at, "_k")  # in a struct null equals null
+        return found.select("_k.*", *[c for c in found.columns if c != "_k"])
+    wide = quantile_table(residuals, ["residual"], probs).agg(*levels)
     one = residuals.agg(*spread)
     return wide.withColumns({c: one.select(c).scalar() for c in ("mean_residual", "std_residual", "rows")})
 

@@ -1,6 +1,6 @@
 """Exact quantiles without collecting values.
 
-Quantiles by group are one grouped aggregation. Whole-table quantiles narrow the range of each wanted rank in a fixed number
+Quantiles by group are bounded by a sketch of each group and found by one exact pass. Whole-table quantiles narrow the range of each wanted rank in a fixed number
 of passes over the table: a pass counts 4096 parts of the range map-side, and only the distinct values of the last parts are
 ordered. The plan is lazy and the same for every size; what passes hand on is a few rows for each column and probability,
 so its broadcast has a fixed bound.
@@ -14,12 +14,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BUCKETS = 4096
 PASSES = 2
+#: Size of the sketches by group, and half the share of a group's rows by which a bound is moved outward. The standard error of a
+#: rank is a seventh of it, and the other half covers the two ranks between which a quantile lies.
+SKETCH = 2048
+MARGIN = 0.004
 
 
-def _stacked(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def _stacked(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """(column, value) rows of the known values."""
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])
-    return df.select(F.explode(pairs).alias("_p")).select("_p.*").filter(F.col("value").isNotNull())
+    return df.select(*keep, F.explode(pairs).alias("_p")).select(*keep, "_p.*").filter(F.col("value").isNotNull())
 
 
 def _bucket(value: Column, lo: Column, hi: Column) -> Column:
@@ -29,13 +33,40 @@ def _bucket(value: Column, lo: Column, hi: Column) -> Column:
 
 
 def _by_group(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
-    shares = F.array(*[F.lit(float(p)) for p in probs])
-    found = df.groupBy(*by).agg(*[F.struct(F.lit(c).alias("column"), F.count(c).alias("n"),
-                                           F.percentile(F.col(c).cast("double"), shares).alias("at")).alias(f"_q{i}")
-                                  for i, c in enumerate(cols)])
-    rows = found.select(*by, F.explode(F.array(*[f"_q{i}" for i in range(len(cols))])).alias("_q")).filter("_q.n > 0")
-    each = F.arrays_zip(shares.alias("prob"), F.col("_q.at").alias("value"))
-    return rows.select(*by, "_q.column", "_q.n", F.explode(each).alias("_v")).select(*by, "column", "n", "_v.prob", "_v.value")
+    """Quantiles of every group, for groups of any size and number; null is a group.
+
+    A KLL sketch of each group bounds the values where a wanted rank can lie. One exact pass then counts, map-side, the rows
+    below the bounds and those of each value within; only these values are ordered. A rank outside its bounds, which needs an
+    error of the sketch seven times its deviation, ends the query with an error instead of a wrong value.
+    """
+    group = ["_k", "column"]
+    values = _stacked(df.withColumn("_k", F.struct(*[F.col(b) for b in by])), cols, ["_k"])
+    sketches = values.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"),
+                                          F.kll_sketch_agg_double("value", F.lit(SKETCH)).alias("sketch"))
+
+    few = F.col("n") * MARGIN <= 2  # where a step of one rank is wide, and all values are counted
+
+    def span(prob: float) -> Column:
+        rank = F.lit(float(prob)) * (F.col("n") - 1)
+        at = lambda share: F.kll_sketch_get_quantile_double("sketch", F.lit(share))
+        low = F.col("lo") if prob <= 2 * MARGIN else F.when(few, F.col("lo")).otherwise(at(prob - 2 * MARGIN))
+        high = F.col("hi") if prob >= 1 - 2 * MARGIN else F.when(few, F.col("hi")).otherwise(at(prob + 2 * MARGIN))
+        wanted = F.struct(F.lit(float(prob)).alias("prob"), "n", rank.alias("rank"), F.floor(rank).alias("down"), F.ceil(rank).alias("up"))
+        return F.struct(wanted.alias("w"), low.alias("low"), high.alias("high"))
+
+    spans = sketches.select(*group, F.array(*[span(p) for p in probs]).alias("spans"))
+    place = lambda x: F.struct(x["w"].alias("w"), F.when(F.col("value") >= x["low"], F.col("value")).alias("at"))
+    met = values.join(spans, group).select(*group, F.explode(F.transform(
+        F.filter("spans", lambda x: F.col("value") <= x["high"]), place)).alias("p")).select(*group, "p.*")
+    tallied = met.groupBy(*group, "w", "at").agg(F.count(F.lit(1)).alias("rows"))
+    running = Window.partitionBy(*group, "w").orderBy(F.col("at").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    placed = tallied.withColumn("end", F.sum("rows").over(running)).filter(F.col("at").isNotNull() & (F.col("end") > F.col("w.down")))
+    holds = lambda rank: F.max(F.when((F.col("end") - F.col("rows") <= rank) & (rank < F.col("end")), F.col("at")))
+    found = placed.groupBy(*group, "w").agg(holds(F.col("w.down")).alias("below"), holds(F.col("w.up")).alias("above"))
+    lost = F.raise_error(F.lit("a quantile lies outside the bounds of its sketch"))
+    value = F.col("below") + (F.col("w.rank") - F.col("w.down")) * (F.col("above") - F.col("below"))
+    checked = F.when(F.col("below").isNull() | F.col("above").isNull(), lost.cast("double")).otherwise(value)
+    return found.select(*[F.col(f"_k.{b}").alias(b) for b in by], "column", "w.n", "w.prob", checked.alias("value"))
 
 
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:

@@ -11,6 +11,7 @@ from harvestline.functions import dates as D, measures as M, text as T
 from harvestline.operators import dedup, impute as I, joins as J, quality as Q, shape as S, windows as W
 from harvestline.operators.encode import fit_codes
 from harvestline.operators.quantiles import trim_quantiles
+from harvestline.sources import sinks
 
 
 def standardize_prices(raw: DataFrame, source: str, scope: str, ingested_at: str) -> DataFrame:
@@ -101,6 +102,19 @@ def training_table(model_rows: DataFrame, order: Sequence[Column | str], feature
     return S.max_null_fraction(coded, [f for f in features if f in coded.columns], max_null), codes
 
 
+def colocated(prices: DataFrame, weather: DataFrame, prices_path: str, weather_path: str, buckets: int,
+              rename: dict[str, str] = vocab.JOINED_WEATHER) -> DataFrame:
+    """Prices with their daily observation, from two tables that are bucketed by district and day: written once, joined (also
+    again and again) without moving a row of either."""
+    keys = ["district", "_day"]
+    p = sinks.write_bucketed(prices.withColumn("_day", F.to_date("arrival_date")), prices_path, keys, buckets)
+    measures = [F.col(c).alias(f"_w_{n}") for c, n in rename.items() if c in weather.columns]
+    w = sinks.write_bucketed(weather.select("district", F.to_date("date").alias("_day"), *measures, F.lit(1).alias("has_weather")), weather_path, keys, buckets)
+    found = p.join(w.hint("merge"), keys, "left")
+    return found.select(*prices.columns, *[F.col(f"_w_{n}").alias(n) for c, n in rename.items() if c in weather.columns],
+                        F.coalesce("has_weather", F.lit(0)).alias("has_weather"))
+
+
 STEPS = ["prices", "weather", "joined", "model"]
 
 

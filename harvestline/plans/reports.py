@@ -33,9 +33,10 @@ def weather_report(df: DataFrame, measures: Sequence[str] = vocab.WEATHER_MEASUR
 
 
 def _long(profile: DataFrame) -> DataFrame:
+    """One row per figure, as text that keeps every digit; who shows it rounds once."""
     stats = [c for c in profile.columns if c != "column"]
     pairs = F.array(*[F.struct(F.concat_ws("_", "column", F.lit(s)).alias("metric"),
-                               F.round(F.col(s), 4).cast("string").alias("value")) for s in stats])
+                               F.col(s).cast("string").alias("value")) for s in stats])
     return profile.select(F.explode(pairs).alias("p")).select("p.*")
 
 
@@ -59,7 +60,7 @@ def training_report(predictions: DataFrame, calibration: DataFrame) -> DataFrame
     """Metrics per horizon and the calibration as rows."""
     metrics = P.regression_metrics(predictions, "y", "yhat", ["horizon"])
     names = ["mae", "rmse", "r2", "mape", "n"]
-    pairs = F.array(*[F.struct(F.lit(n).alias("metric"), F.round(F.col(n).cast("double"), 4).cast("string").alias("value"))
+    pairs = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").cast("string").alias("value"))
                       for n in names])
     by_h = metrics.select(F.concat(F.lit("horizon_"), F.col("horizon")).alias("section"), F.explode(pairs).alias("p"))
     return S.union_all(by_h.select("section", "p.*"), P.to_metrics(calibration, "calibration"))

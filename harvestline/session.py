@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import functools
+import os
 import shutil
 import tempfile
 import uuid
@@ -33,6 +34,17 @@ def get_spark(app: str = "harvestline", master: str | None = None, shuffle_parti
     return builder.getOrCreate()
 
 
+def reachable(spark: SparkSession) -> None:
+    """Python workers look for the package where the driver found it, also when they start in another folder.
+
+    A cluster whose machines do not share that path gets the package by ``--py-files`` or has it installed.
+    """
+    env, root = spark.sparkContext.environment, os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([*known, root])
+
+
 _made: list[tuple[SparkSession, str]] = []
 
 

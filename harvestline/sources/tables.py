@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import csv
-import io
-import itertools
-import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from harvestline.operators.shape import rename_by_alias
 from harvestline.operators.profile import scope_share, value_counts
+from harvestline.sources.archives import read_zip_members
 from harvestline.sources.paths import exists
 
 CORRUPT = "_corrupt_record"
@@ -48,27 +46,35 @@ def read_messy_csv(spark: SparkSession, path: str | list[str], columns: Sequence
     return rows.filter(~bad).drop(CORRUPT), rows.filter(bad).select("file", F.col(CORRUPT).alias("line"))
 
 
-def _zip_rows(columns: Sequence[str]):
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for content in batch["content"]:
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    for member in archive.namelist():
-                        if member.lower().endswith(".csv"):
-                            with archive.open(member) as raw:
-                                text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline="")
-                                records = csv.DictReader(text)
-                                while chunk := list(itertools.islice(records, 10_000)):
-                                    frame = pd.DataFrame.from_records(chunk).reindex(columns=list(columns))
-                                    yield frame.assign(file=member)
-    return rows
+def file_encodings(spark: SparkSession, path: str | list[str], fallback: str = "ISO-8859-1") -> DataFrame:
+    """``file, encoding, lines, odd_lines``: files (plain, gzip or bzip2) of which every line is valid UTF-8 are UTF-8, others are
+    in the fallback encoding. Files are read as lines of bytes, in splits, whatever their size."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.is_valid_utf8("value").alias("valid"))
+    found = lines.groupBy("file").agg(F.count("*").alias("lines"), F.count_if(~F.col("valid")).alias("odd_lines"))
+    return found.select("file", F.when(F.col("odd_lines") == 0, "UTF-8").otherwise(fallback).alias("encoding"), "lines", "odd_lines")
+
+
+def read_mixed_csv(spark: SparkSession, path: str | list[str], columns: Sequence[str], header: bool = True,
+                   fallback: str = "ISO-8859-1") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows and malformed lines as by ``read_messy_csv``, of files in UTF-8 and of others in the fallback encoding, and the table
+    of the files with the encoding that each was read in. Every file is read by one reader only."""
+    names: dict[str, list[str]] = {"UTF-8": [], fallback: []}
+    listed = []  # one entry per file, as Spark's own listing has
+    for r in file_encodings(spark, path, fallback).toLocalIterator():
+        names[r["encoding"]].append(unquote(r["file"]))
+        listed.append(r)
+    manifest = spark.createDataFrame(listed, "file string, encoding string, lines long, odd_lines long")
+    read = [(e, read_messy_csv(spark, found, columns, e, header)) for e, found in names.items() if found]
+    if not read:
+        empty = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in [*columns, "file", "encoding"]))
+        return empty, spark.createDataFrame([], "file string, line string"), manifest
+    rows = [good.withColumn("encoding", F.lit(e)) for e, (good, _) in read]
+    return reduce(DataFrame.unionByName, rows), reduce(DataFrame.unionByName, [bad for _, (_, bad) in read]), manifest
 
 
 def read_zip_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """CSV members of zip archives as text columns matched by header name; one archive is one task."""
-    schema = ", ".join(f"`{c}` string" for c in columns) + ", file string"
-    return (spark.read.format("binaryFile").load(path).select("content")
-            .mapInPandas(_zip_rows(list(columns)), schema))
+    """CSV members of zip archives as text columns matched by header name; every member is a task of its own."""
+    return read_zip_members(spark, path, columns)[0].select(*columns, "file")
 
 
 def read_any(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> DataFrame:

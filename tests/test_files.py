@@ -30,6 +30,87 @@ def test_latin1(spark, tmp_path):
     assert good.first()["b"] == "Jalgão"
 
 
+@pytest.fixture
+def mixed_folder(tmp_path):
+    """Plain and compressed files, in UTF-8 and Latin-1; one is odd only in its last line."""
+    (tmp_path / "m").mkdir()
+    put = lambda name, data: (tmp_path / "m" / name).write_bytes(data)
+    put("plain utf.csv", "a,b\n1,Jalgão\n2,x,y\n".encode())
+    put("latin.csv", "a,b\n3,Jalgão\n4\n".encode("latin-1"))
+    put("late.csv", b"a,b\n" + b"5,plain\n" * 3000 + "6,é".encode("latin-1"))
+    put("u.csv.gz", gzip.compress("a,b\n7,Ωmega\n".encode()))
+    put("l.csv.gz", gzip.compress("a,b\n8,é\n".encode("latin-1")))
+    put("empty.csv", b"")
+    return str(tmp_path / "m")
+
+
+def test_every_file_is_read_once_in_its_own_encoding(spark, mixed_folder, rows):
+    good, bad, files = tables.read_mixed_csv(spark, mixed_folder, ["a", "b"])
+    got = rows(good.filter("a <> '5'"), "a", "b", "encoding")
+    assert got == [("1", "Jalgão", "UTF-8"), ("3", "Jalgão", "ISO-8859-1"), ("6", "é", "ISO-8859-1"), ("7", "Ωmega", "UTF-8"), ("8", "é", "ISO-8859-1")]
+    assert good.filter("a = '5'").count() == 3000
+    assert sorted(r["line"] for r in bad.collect()) == ["2,x,y", "4"]
+    told = {os.path.basename(r["file"]).replace("%20", " "): (r["encoding"], r["odd_lines"]) for r in files.collect()}
+    assert told == {"plain utf.csv": ("UTF-8", 0), "latin.csv": ("ISO-8859-1", 1), "late.csv": ("ISO-8859-1", 1), "u.csv.gz": ("UTF-8", 0),
+                    "l.csv.gz": ("ISO-8859-1", 1)}
+
+
+def test_no_files_give_no_rows(spark, tmp_path):
+    (tmp_path / "e.csv").write_bytes(b"")
+    good, bad, files = tables.read_mixed_csv(spark, str(tmp_path / "e.csv"), ["a", "b"])
+    assert good.columns == ["a", "b", "file", "encoding"] and (good.count(), bad.count(), files.count()) == (0, 0, 0)
+
+
+def write_archives(folder):
+    folder.mkdir()
+    with zipfile.ZipFile(folder / "x.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("one.csv", 'State,Price\nA,"1,\n200"\nB\n\n')
+        z.writestr("deep/two.CSV", "\ufeffPrice,Other,State\n3,x,C\n4,x,D,more\n".encode())
+        z.writestr("latin.csv", "State,Price\né,5\n".encode("latin-1"))
+        z.writestr("empty.csv", "")
+        z.writestr("readme.txt", "no")
+    with zipfile.ZipFile(folder / "y.zip", "w") as z:
+        z.writestr("big.csv", "State,Price\n" + "Z,9\n" * 20_000)
+    with zipfile.ZipFile(folder / "none.zip", "w") as z:
+        z.writestr("readme.txt", "no")
+
+
+ARCHIVE_ROWS = [("A", "1,\n200", "one.csv", "UTF-8"), ("B", None, "one.csv", "UTF-8"), ("C", "3", "deep/two.CSV", "UTF-8"), ("é", "5", "latin.csv", "ISO-8859-1")]
+
+
+@pytest.mark.parametrize("by_spark", [False, True])
+def test_zip_members_are_tasks(spark, tmp_path, rows, monkeypatch, by_spark):
+    from harvestline.sources import archives
+
+    write_archives(tmp_path / "z")
+    monkeypatch.setattr(archives, "openable", lambda uri: not by_spark)
+    good, bad = archives.read_zip_members(spark, f"{tmp_path}/z/*.zip", ["State", "Price"])
+    assert rows(good.filter("State <> 'Z'"), "State", "Price", "file", "encoding") == sorted(ARCHIVE_ROWS, key=lambda t: tuple((v is None, str(v)) for v in t))
+    assert good.filter("State = 'Z' and Price = '9'").count() == 20_000
+    assert [(r["file"], json.loads(r["record"])) for r in bad.collect()] == [("deep/two.CSV", ["4", "x", "D", "more"])]
+    if not by_spark:
+        assert good.rdd.getNumPartitions() == 5
+    assert archives.read_zip_members(spark, f"{tmp_path}/z/none.zip", ["State"])[0].count() == 0
+
+
+def test_a_member_is_inflated_as_a_stream(tmp_path):
+    """A member of 60 MB is read with a few MB of memory."""
+    import tracemalloc
+
+    from harvestline.sources import archives
+
+    with zipfile.ZipFile(tmp_path / "b.zip", "w", zipfile.ZIP_DEFLATED) as z, z.open("b.csv", "w") as f:
+        f.write(b"a,b\n")
+        for _ in range(600):
+            f.write(b"1234567890,abcdefgh\n" * 5000)
+    tracemalloc.start()
+    with open(tmp_path / "b.zip", "rb") as f:
+        seen = sum(b.num_rows for b in archives.member_batches(f, "b.csv", ["a", "b"]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == 3_000_000 and peak < 25 << 20
+
+
 def test_zip_of_csvs(spark, tmp_path, rows):
     with zipfile.ZipFile(tmp_path / "x.zip", "w") as z:
         z.writestr("one.csv", 'State,Price\nA,"1,200"\nB,2\n')
@@ -91,22 +172,77 @@ def test_versions_are_kept_and_complete_ones_read(spark, tmp_path):
 def test_merge_touches_only_its_partitions(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     base = spark.createDataFrame([(1, "a", 2020), (2, "a", 2021)], "k int, v string, y int")
-    sinks.merge_partitions(base, path, ["k", "y"], "y", str(tmp_path / "s1"))
-    before = os.listdir(tmp_path / "t" / "y=2020")
+    sinks.merge_partitions(base, path, ["k", "y"], "y")
+    before = os.listdir(tmp_path / "t" / "_merge=1" / "y=2020")
     new = spark.createDataFrame([(2, "b", 2021), (3, "b", 2021)], "k int, v string, y int")
-    assert sinks.merge_partitions(new, path, ["k", "y"], "y", str(tmp_path / "s2")) == 1
-    assert sinks.merge_partitions(new, path, ["k", "y"], "y", str(tmp_path / "s3")) == 1
-    assert rows(spark.read.parquet(path)) == [(1, "a", 2020), (2, "b", 2021), (3, "b", 2021)]
-    assert os.listdir(tmp_path / "t" / "y=2020") == before
+    assert sinks.merge_partitions(new, path, ["k", "y"], "y") == 1
+    assert sinks.merge_partitions(new, path, ["k", "y"], "y") == 1
+    assert sinks.merge_partitions(new.limit(0), path, ["k", "y"], "y") == 0
+    assert rows(sinks.read_merged(spark, path)) == [(1, "a", 2020), (2, "b", 2021), (3, "b", 2021)]
+    assert os.listdir(tmp_path / "t" / "_merge=1" / "y=2020") == before
+    assert not sinks.exists(spark, f"{path}/_merge=1/y=2021") and sinks.exists(spark, f"{path}/_merge=2/y=2021")
 
 
 def test_merge_keeps_the_null_partition(spark, tmp_path, rows):
     path, schema = str(tmp_path / "t"), "k int, v string, y int"
-    sinks.merge_partitions(spark.createDataFrame([(1, "a", None), (2, "a", None), (3, "a", 2020), (4, "a", 2021)], schema), path, ["k"], "y", str(tmp_path / "s1"))
+    sinks.merge_partitions(spark.createDataFrame([(1, "a", None), (2, "a", None), (3, "a", 2020), (4, "a", 2021)], schema), path, ["k"], "y")
     new = spark.createDataFrame([(2, "b", None), (5, "b", 2020)], schema)
-    assert sinks.merge_partitions(new, path, ["k"], "y", str(tmp_path / "s2")) == 2
+    assert sinks.merge_partitions(new, path, ["k"], "y") == 2
     want = [(1, "a", None), (2, "b", None), (3, "a", 2020), (4, "a", 2021), (5, "b", 2020)]
-    assert rows(spark.read.schema(schema).parquet(path)) == sorted(want, key=lambda t: tuple((v is None, str(v)) for v in t))
+    assert rows(sinks.read_merged(spark, path, schema)) == sorted(want, key=lambda t: tuple((v is None, str(v)) for v in t))
+
+
+def test_merge_goes_on_from_a_table_without_a_pointer(spark, tmp_path, rows):
+    path, schema = str(tmp_path / "t"), "k int, v string, y int"
+    spark.createDataFrame([(1, "a", 2020), (2, "a", 2021)], schema).write.partitionBy("y").parquet(path)
+    sinks.merge_partitions(spark.createDataFrame([(2, "b", 2021)], schema), path, ["k", "y"], "y")
+    assert rows(sinks.read_merged(spark, path, schema)) == [(1, "a", 2020), (2, "b", 2021)]
+
+
+class Killed(Exception):
+    pass
+
+
+def killed(*_):
+    raise Killed
+
+
+def no_negative(df):
+    return df.agg(F.every(F.col("k") >= 0).alias("no_negative_key"), (F.count("*") > 0).alias("has_rows"))
+
+
+def test_a_crash_before_the_pointer_moves_leaves_the_last_good_table(spark, tmp_path, rows, monkeypatch):
+    path, schema = str(tmp_path / "t"), "k int, v string, y int"
+    good = spark.createDataFrame([(1, "a", 2020), (2, "a", 2021)], schema)
+    new = spark.createDataFrame([(1, "b", 2020), (3, "b", 2022)], schema)
+    sinks.merge_partitions(good, path, ["k", "y"], "y")
+    assert sinks.publish(good, f"{path}-v", no_negative) == []
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "replace_text", killed)
+        with pytest.raises(Killed):
+            sinks.merge_partitions(new, path, ["k", "y"], "y")
+        with pytest.raises(Killed):
+            sinks.publish(new, f"{path}-v", no_negative)
+    assert rows(sinks.read_merged(spark, path)) == rows(good) == rows(sinks.read_version(spark, f"{path}-v"))
+    sinks.merge_partitions(new, path, ["k", "y"], "y")
+    assert rows(sinks.read_merged(spark, path)) == [(1, "b", 2020), (2, "a", 2021), (3, "b", 2022)]
+    assert sinks.publish(new, f"{path}-v", no_negative) == [] and rows(sinks.read_version(spark, f"{path}-v")) == rows(new)
+
+
+def test_a_failed_gate_publishes_nothing(spark, tmp_path, rows):
+    path, schema = str(tmp_path / "t"), "k int, v string, y int"
+    good, bad = spark.createDataFrame([(1, "a", 2020)], schema), spark.createDataFrame([(-1, "x", 2020)], schema)
+    sinks.write_versioned(good, f"{path}-v")
+    assert sinks.publish(bad, f"{path}-v", no_negative) == ["no_negative_key"]
+    assert sinks.publish(bad.limit(0), f"{path}-v", no_negative) == ["no_negative_key", "has_rows"]
+    assert rows(sinks.read_version(spark, f"{path}-v")) == rows(good) and sinks.versions(spark, f"{path}-v") == [1]
+    for k in range(2, 6):
+        assert sinks.publish(good, f"{path}-v", no_negative) == []
+    assert sinks.versions(spark, f"{path}-v") == [3, 4, 5] and sinks.current_version(spark, f"{path}-v") == 5
+    sinks.merge_partitions(good, path, ["k"], "y", gate=no_negative)
+    with pytest.raises(sinks.AuditError) as error:
+        sinks.merge_partitions(bad, path, ["k"], "y", gate=no_negative)
+    assert error.value.failed == ["no_negative_key"] and rows(sinks.read_merged(spark, path)) == rows(good)
 
 
 def test_work_folders_are_shared_and_removed(spark, tmp_path, monkeypatch):

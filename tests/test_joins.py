@@ -79,6 +79,39 @@ def test_synonyms(spark, raw, expected):
     assert J.resolve_synonym(df, "name", aliases).first()["crop"] == expected
 
 
+def test_synonyms_equal_a_scan_of_all_aliases(spark):
+    """Short, long and repeated texts against many aliases; the first by rank counts, an equal one before all."""
+    import random
+
+    rng = random.Random(2)
+    word = lambda n: "".join(rng.choice("abcde") for _ in range(n))
+    aliases = [(word(rng.choice([1, 2, 3, 4, 5, 8])) if i > 40 else word(12), f"c{i % 7}", rng.randrange(2000)) for i in range(400)]
+    names = [*{word(rng.randrange(1, 10)).upper() for _ in range(300)}, "", None, "zz", "z"]
+    df = spark.createDataFrame([(n,) for n in names] * 2, "name string")
+    out = J.resolve_synonym(df, "name", spark.createDataFrame(aliases, "alias string, crop string, rank int"))
+
+    def scan(name):
+        low = name.lower()
+        hits = [(a != low, r, a, c) for a, c, r in aliases if a in low or low in a]
+        return min(hits)[3] if hits else None
+
+    got = [(r["name"], r["crop"]) for r in out.collect()]
+    assert len(got) == 2 * len(names)
+    assert dict(got) == {n: None if n is None else scan(n) for n in names}
+
+
+def test_many_aliases_are_looked_up_not_scanned(spark):
+    aliases = spark.range(100_000).select(F.concat(F.lit("crop"), F.hex(F.xxhash64("id"))).alias("alias"), F.col("id").cast("string").alias("crop"),
+                                          F.col("id").cast("int").alias("rank"))
+    df = spark.range(50).select(F.concat(F.lit("Old "), F.hex(F.xxhash64(F.col("id") * 1000)), F.lit("s")).alias("name"), "id")
+    named = spark.range(50).select(F.concat(F.lit("my CROP"), F.hex(F.xxhash64(F.col("id") * 1000)), F.lit("s")).alias("name"), "id")
+    assert J.resolve_synonym(df, "name", aliases).filter("crop is not null").count() == 0
+    out = J.resolve_synonym(named, "name", aliases)
+    assert out.filter("crop = cast(id * 1000 as string)").count() == 50
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "collect_" not in plan
+
+
 def test_stage_boundaries(spark, rows):
     stages = spark.createDataFrame([("W", "a", 0, 10, True), ("W", "b", 11, 20, False)],
                                    "crop string, stage string, start_day int, end_day int, critical boolean")

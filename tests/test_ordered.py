@@ -87,3 +87,38 @@ def test_folds_match_the_definition(series):
     sizes = {r["fold"]: r["rows"] for r in folds.collect()}
     n = series.count()
     assert sizes == {0: n - 5 * (n // 6), **{i: n // 6 for i in range(1, 6)}}
+
+
+def test_whole_rows_are_shuffled_once(series):
+    """The price only leaves its partition for the window; the cuts of large groups are made from keys and counts."""
+    import re
+
+    plan = W.price_features(series, ["id"])._jdf.queryExecution().executedPlan().toString()
+    exchanges = re.findall(r"(?:hash|range)partitioning\([^)]*\)[^\n]*", plan)
+    assert sum("_blk" in e for e in exchanges) == 1
+    window = plan.index("_blk", plan.index("Exchange"))
+    before = plan[window:]
+    assert not re.search(r"SortMergeJoin", before[:before.index("BroadcastExchange")])
+
+
+@pytest.mark.parametrize("back,ahead,size", [(1, 0, 1), (5, 3, 2), (0, 4, 7), (30, 15, 3), (2, 2, 100)])
+def test_frames_across_blocks_of_uneven_days(spark, rows, back, ahead, size):
+    """Days of one to forty rows, null days and null groups; every frame equals that of a plain window."""
+    rng = random.Random(back * 100 + ahead)
+    data = [(g, None if d == 0 else d, i) for i, (g, d) in enumerate(
+        (g, d) for g in ("a", None, "b") for d in range(12) for _ in range(rng.choice([1, 1, 2, 40])))]
+    df = spark.createDataFrame(data, "g string, day int, id int").repartition(5)
+    build = lambda w: {"seen": F.collect_list("id").over(w.rowsBetween(-back, ahead))}
+    got = ordered.over_rows(df, ["g"], "day", ["id"], build, back, ahead, size)
+    plain = df.withColumns(build(Window.partitionBy("g").orderBy("day", "id")))
+    assert rows(got, "id", "seen") == rows(plain, "id", "seen")
+
+
+@pytest.mark.parametrize("block_rows", [1, 7, 100])
+def test_a_hot_day_is_filled_in_blocks(series, rows, block_rows):
+    """Half of all rows lie on one day of one district; blocks of a few rows give what one window gives."""
+    data = series.withColumnRenamed("modal_price", "x").withColumn("district", F.coalesce("commodity", F.lit("none")))
+    data = data.select("district", "arrival_date", "id", "x", F.when(F.col("id") % 3 == 0, F.col("x")).alias("y"))
+    whole = I.impute(data, ["x", "y"], order=["id"], fallback={"x": -1.0, "y": -2.0})
+    cut = I.impute(data, ["x", "y"], order=["id"], fallback={"x": -1.0, "y": -2.0}, block_rows=block_rows)
+    assert rows(cut, "id", "x", "y", "x_imputed", "has_weather") == rows(whole, "id", "x", "y", "x_imputed", "has_weather")

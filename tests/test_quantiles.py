@@ -65,3 +65,26 @@ def test_calibration_uses_population_deviation(spark):
     r = P.calibrate(df, "y", "yhat").first()
     assert (r["mean_residual"], r["rows"]) == (2.0, 3)
     assert np.isclose(r["std_residual"], np.std([1, 3, 2])) and np.isclose(r["q90"], 2.8)
+
+
+def test_one_group_of_half_the_rows_equals_numpy(spark):
+    """Far more rows than a sketch holds, ties, and small groups beside it; no group's values meet in one buffer."""
+    rng = np.random.default_rng(11)
+    hot = np.round(rng.lognormal(3, 2, 60_000), 2)
+    small = rng.normal(size=(60, 1000))
+    frame = [(None, float(v)) for v in hot] + [(int(g), float(v)) for g, part in enumerate(small) for v in part]
+    df = spark.createDataFrame(frame, "g int, x double").repartition(6, "x")
+    got = {(r["g"], r["prob"]): r["value"] for r in Q.quantile_table(df, ["x"], PROBS, ["g"]).collect()}
+    assert len(got) == 61 * len(PROBS)
+    for g, values in ((None, hot), (0, small[0]), (59, small[59])):
+        assert np.allclose([got[g, p] for p in PROBS], np.quantile(values, PROBS), rtol=1e-12, atol=1e-12)
+    plan = Q.quantile_table(df, ["x"], [0.9], ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" not in plan and "collect_" not in plan
+
+
+def test_a_rank_outside_its_bounds_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(Q, "SKETCH", 8)
+    monkeypatch.setattr(Q, "MARGIN", 1e-4)
+    df = spark.range(200_000).select(F.lit(1).alias("g"), F.rand(4).alias("x"))
+    with pytest.raises(Exception, match="outside the bounds"):
+        Q.quantile_table(df, ["x"], [0.3, 0.5, 0.7, 0.9], ["g"]).collect()

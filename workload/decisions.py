@@ -156,17 +156,22 @@ predictions AS MATERIALIZED (SELECT modal_price AS y, unnest([""" + ", ".join(f"
   FROM prices WINDOW w AS (PARTITION BY commodity, market ORDER BY """ + ORDER_SQL + """)),
 cal AS MATERIALIZED (SELECT quantile_cont(abs(y - yhat), 0.9) AS q90 FROM predictions)""" + curve_sql(14, "(SELECT q90 FROM cal)") + """
 curve AS (SELECT commodity, market, string_agg(CAST(CAST(round(price + 3e-7, 0) AS BIGINT) AS VARCHAR) || '/' || CAST(CAST(round(price - band + 3e-7, 0) AS BIGINT) AS VARCHAR), ' ' ORDER BY day) AS days FROM pr GROUP BY 1, 2),
-f AS (SELECT commodity, market, max(CASE WHEN horizon = 7 THEN price END) AS f7, max(CASE WHEN horizon = 14 THEN price END) AS f14 FROM forecasts GROUP BY 1, 2)
-SELECT commodity, market, round(current_price + 3e-7, 0) AS current_price, CASE WHEN gain > 5 THEN 'HOLD' ELSE 'SELL' END AS recommendation, best_sell_day,
+f AS (SELECT commodity, market, max(CASE WHEN horizon = 7 THEN price END) AS f7, max(CASE WHEN horizon = 14 THEN price END) AS f14 FROM forecasts GROUP BY 1, 2),
+live AS (SELECT commodity, market, current_price + CASE WHEN CAST(market AS BIGINT) % 2 = 0 THEN 10 ELSE 0 END AS now, max_forecast_price, best_sell_day FROM adv),
+told AS (SELECT *, (max_forecast_price - now) / now * 100 AS gain FROM live)
+SELECT commodity, market, round(now + 3e-7, 0) AS current_price, CASE WHEN CAST(market AS BIGINT) % 2 = 0 THEN 'live' ELSE 'historical' END AS price_source,
+  CASE WHEN gain > 5 THEN 'HOLD' ELSE 'SELL' END AS recommendation, best_sell_day,
   round(gain, 4) AS expected_gain_pct, round(f7 + 3e-7, 0) AS forecast_7d, round(f14 + 3e-7, 0) AS forecast_14d, days
-FROM adv JOIN f USING (commodity, market) JOIN curve USING (commodity, market)""")
+FROM told JOIN f USING (commodity, market) JOIN curve USING (commodity, market)""")
 def _(spark, sf):
+    """Every second market has a live price, ten above its last one; the others fall back to history."""
     last = stored(W.latest_features(prices(spark, sf), ORDER), "latest")
     f = forecasts(spark, sf, last).withColumn("price", F.col("price") + 3e-7).drop("current_price")
     newest = last.select("commodity", "market", "arrival_date", (F.col("modal_price") + 3e-7).alias("modal_price"))
     calibration = P.calibrate(predictions(spark, sf), "y", "yhat")
-    out = Ol.outlook(f, newest, newest.limit(0), calibration, 14, STEPS)
-    return out.select("commodity", "market", "current_price", "recommendation", "best_sell_day", r("expected_gain_pct").alias("expected_gain_pct"),
+    live = newest.filter(F.col("market").cast("long") % 2 == 0).withColumn("modal_price", F.col("modal_price") + 10)
+    out = Ol.outlook(f, newest, live, calibration, 14, STEPS)
+    return out.select("commodity", "market", "current_price", "price_source", "recommendation", "best_sell_day", r("expected_gain_pct").alias("expected_gain_pct"),
                       "forecast_7d", "forecast_14d",
                       F.array_join(F.transform("forecasts", lambda d: F.concat_ws("/", d["predicted_price"].cast("long"), d["lower_bound"].cast("long"))), " ").alias("days"))
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from harvestline.session import work_dir
-from harvestline.sources import feeds, paths, runlog, sinks, tables
+from harvestline.sources import archives, feeds, paths, runlog, sinks, tables
 from workload.base import PRICES_SQL, WEATHER_SQL, prices, query, r, rounded, table, weather
 from harvestline import vocab
 
@@ -64,6 +64,55 @@ def _(spark, sf):
     return bad.agg(F.count("*").alias("bad"))
 
 
+@query("s04_mixed_encodings", """
+SELECT l_orderkey, l_linenumber, 'Sé ' || l_returnflag || 'ção' AS place, CASE WHEN l_orderkey % 2 = 0 THEN 'UTF-8' ELSE 'ISO-8859-1' END AS encoding
+FROM lineitem""")
+def _(spark, sf):
+    """A folder of exports in two encodings, plain and compressed; each file is read once, in the encoding that its bytes allow."""
+    out = work_dir(spark, "mixed")
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.concat(F.lit("Sé "), "l_returnflag", F.lit("ção")).alias("place"))
+    for k, encoding in enumerate(("UTF-8", "ISO-8859-1")):
+        li.filter(F.col("l_orderkey") % 2 == k).write.mode("append").options(
+            header=True, encoding=encoding, compression=("none", "gzip")[k]).csv(out)
+    good, _, _ = tables.read_mixed_csv(spark, out, li.columns)
+    return good.select(F.col("l_orderkey").cast("long").alias("l_orderkey"), F.col("l_linenumber").cast("int").alias("l_linenumber"), "place", "encoding")
+
+
+def write_zips(df, out, column):
+    """One zip archive for each partition, with a CSV member for each value of a column."""
+    def write(frames):
+        import io
+        import uuid
+        import zipfile
+
+        from pyarrow import fs
+
+        held = io.BytesIO()
+        with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+            for k, frame in enumerate(frames):
+                for value, part in frame.groupby(column):
+                    z.writestr(f"{value}/{k}.csv", part.to_csv(index=False))
+        system, folder = fs.FileSystem.from_uri(out)
+        system.create_dir(folder)
+        with system.open_output_stream(f"{folder}/{uuid.uuid4().hex}.zip") as f:
+            f.write(held.getvalue())
+        yield from ()
+
+    df.mapInPandas(write, "done int").write.format("noop").mode("overwrite").save()
+
+
+@query("s05_zip_members", """
+SELECT l_returnflag || '/' AS folder, count(*) AS rows, sum(l_orderkey) AS orders, round(sum(l_quantity), 2) AS quantity FROM lineitem GROUP BY 1""")
+def _(spark, sf):
+    """Archives of many members; every member is a task."""
+    out = work_dir(spark, "zips")
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag").repartition(5)
+    write_zips(li.withColumn("l_quantity", F.col("l_quantity").cast("double")), out, "l_returnflag")
+    good, _ = archives.read_zip_members(spark, f"{out}/*.zip", ["l_orderkey", "l_quantity"])
+    return good.groupBy(F.regexp_extract("file", "^[^/]*/", 0).alias("folder")).agg(
+        F.count("*").alias("rows"), F.sum(F.col("l_orderkey").cast("long")).alias("orders"), r(F.sum(F.col("l_quantity").cast("double")), 2).alias("quantity"))
+
+
 @query("s05_read_any", FLAG_SQL)
 def _(spark, sf):
     out = work_dir(spark, "any") + ".csv"
@@ -221,9 +270,9 @@ def _(spark, sf):
         "l_orderkey", F.floor(F.col("l_linenumber") / 2).alias("pair"), "l_linenumber", "l_extendedprice",
         F.when(F.col("l_orderkey") % 7 > 0, F.col("l_returnflag")).alias("flag"))
     best = [F.col("l_extendedprice").desc()]
-    sinks.merge_partitions(li.filter("l_linenumber % 2 = 1"), out, key, "flag", work_dir(spark, "stage"), best)
-    sinks.merge_partitions(li.filter("l_linenumber % 2 = 0"), out, key, "flag", work_dir(spark, "stage"), best)
-    return spark.read.schema(li.schema).parquet(out).groupBy("flag").agg(F.count("*").alias("rows"), r(F.sum("l_extendedprice"), 2).alias("total"))
+    sinks.merge_partitions(li.filter("l_linenumber % 2 = 1"), out, key, "flag", best)
+    sinks.merge_partitions(li.filter("l_linenumber % 2 = 0"), out, key, "flag", best)
+    return sinks.read_merged(spark, out, li.schema).groupBy("flag").agg(F.count("*").alias("rows"), r(F.sum("l_extendedprice"), 2).alias("total"))
 
 
 @query("k05_run_metrics", "WITH " + PRICES_SQL + """

@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 
 from harvestline.operators import encode as E, joins as J, profile as P
+from harvestline.plans import datasets as Ds
+from harvestline.session import work_dir
 from workload.base import (JOINED_SQL, PRICES_SQL, RAW_DISTRICT_SQL, WEATHER_SQL, nation_aliases, nations, prices, query, r,
                            raw_names, rounded, table, weather)
 
@@ -17,6 +19,15 @@ def _(spark, sf):
         F.sum("precipitation").alias("rain"), F.max("humidity").alias("humidity")))
 
 
+@query("j01_colocated_join", "WITH " + JOINED_SQL + """
+SELECT l_orderkey, l_linenumber, market, modal_price, round(t2m_mean, 4) AS t2m_mean, humidity, precipitation, has_weather FROM joined""")
+def _(spark, sf):
+    """The same join from tables bucketed by district and day."""
+    joined = Ds.colocated(prices(spark, sf), weather(spark, sf), work_dir(spark, "price-buckets"), work_dir(spark, "weather-buckets"), 16)
+    return joined.select("l_orderkey", "l_linenumber", "market", "modal_price", r("t2m_mean").alias("t2m_mean"), "humidity",
+                         "precipitation", "has_weather")
+
+
 @query("j01_join_daily_rows", "WITH " + JOINED_SQL + """
 SELECT l_orderkey, l_linenumber, market, modal_price, round(t2m_mean, 4) AS t2m_mean, humidity, precipitation, has_weather FROM joined""")
 def _(spark, sf):
@@ -80,30 +91,41 @@ def _(spark, sf):
 
 
 @query("j07_missing_members", """
-SELECT CAST(p_partkey AS VARCHAR) AS part FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity = 50)
-UNION ALL SELECT 'unknown'""")
+WITH dim AS (SELECT CAST(p_partkey AS VARCHAR) || '/' || r_name AS part FROM part, region UNION ALL SELECT 'unknown'),
+facts AS (SELECT CAST(l_partkey AS VARCHAR) || '/' || r_name AS part FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+  JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
+SELECT part FROM dim WHERE part NOT IN (SELECT part FROM facts)""")
 def _(spark, sf):
-    """Parts without a full-size line, and a part that no line has."""
-    dim = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("part")).unionByName(spark.range(1).select(F.lit("unknown").alias("part")))
-    facts = table(spark, sf, "lineitem").filter("l_quantity = 50").select(F.col("l_partkey").cast("string").alias("part"))
+    """Parts that no line brings from a region, and a part that no line has."""
+    regions = [r[0] for r in table(spark, sf, "region").select("r_name").collect()]
+    named = lambda key: F.concat(F.col(key).cast("string"), F.lit("/"), "r_name").alias("part")
+    dim = table(spark, sf, "part").withColumn("r_name", F.explode(F.array(*map(F.lit, regions)))).select(named("p_partkey"))
+    dim = dim.unionByName(spark.range(1).select(F.lit("unknown").alias("part")))
+    li, su, na, re = (table(spark, sf, t) for t in ("lineitem", "supplier", "nation", "region"))
+    facts = (li.join(su, F.col("l_suppkey") == F.col("s_suppkey")).join(na, F.col("s_nationkey") == F.col("n_nationkey"))
+             .join(re, F.col("n_regionkey") == F.col("r_regionkey")).select(named("l_partkey")))
     return J.missing_members(dim, facts, "part")
 
 
 @query("j08_current_value", "WITH " + PRICES_SQL + """,
+all_prices AS (SELECT commodity, market, arrival_date, modal_price, source FROM prices
+  UNION ALL SELECT commodity, 'closed ' || market, arrival_date, modal_price, source FROM prices WHERE source = 'history'),
 l AS (SELECT commodity, market, arg_max(struct_pack(d := arrival_date, p := modal_price), struct_pack(d := arrival_date, p := modal_price)) AS v
-      FROM prices WHERE source = 'current' AND arrival_date >= DATE '2001-07-01' GROUP BY 1, 2),
+      FROM all_prices WHERE source = 'current' GROUP BY 1, 2),
 h AS (SELECT commodity, market, arg_max(struct_pack(d := arrival_date, p := modal_price), struct_pack(d := arrival_date, p := modal_price)) AS v
-      FROM prices WHERE source = 'history' GROUP BY 1, 2),
-k AS (SELECT DISTINCT commodity, market FROM prices)
+      FROM all_prices WHERE source = 'history' GROUP BY 1, 2),
+k AS (SELECT DISTINCT commodity, market FROM all_prices UNION ALL SELECT DISTINCT commodity, 'new ' || market FROM prices)
 SELECT commodity, market, coalesce(l.v.p, h.v.p, 0) AS current_price,
        CAST(CASE WHEN l.v IS NOT NULL THEN l.v.d ELSE h.v.d END AS VARCHAR) AS price_date,
        CASE WHEN l.v IS NOT NULL THEN 'live' WHEN h.v IS NOT NULL THEN 'historical' ELSE 'none' END AS price_source
 FROM k LEFT JOIN l USING (commodity, market) LEFT JOIN h USING (commodity, market)""")
 def _(spark, sf):
-    p = prices(spark, sf)
-    live = p.filter((F.col("source") == "current") & (F.col("arrival_date") >= "2001-07-01"))
-    history = p.filter(F.col("source") == "history")
-    return rounded(J.current_value(p, live, history, ["commodity", "market"], "arrival_date", "modal_price"), 2)
+    """All live and historical rows; every market also has a closed twin with history alone and a new one without prices."""
+    p = prices(spark, sf).select("commodity", "market", "arrival_date", "modal_price", "source")
+    twin = lambda kind: p.withColumn("market", F.concat(F.lit(f"{kind} "), "market"))
+    known = p.unionByName(twin("closed").filter("source = 'history'"))
+    live, history = (known.filter(F.col("source") == s) for s in ("current", "history"))
+    return rounded(J.current_value(known.unionByName(twin("new")), live, history, ["commodity", "market"], "arrival_date", "modal_price"), 2)
 
 
 @query("j09_compare_markets", "WITH " + PRICES_SQL + """,

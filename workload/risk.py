@@ -9,8 +9,7 @@ CASES_SQL = RULES_SQL + "," + PRICES_SQL + "," + WEATHER_SQL + """,
 cases AS (SELECT p.l_orderkey, p.l_linenumber, p.market, p.modal_price, p.commodity AS crop,
   CAST(p.arrival_date AS DATE) - CAST(o_orderdate AS DATE) AS days_since_sowing, w.precipitation AS rainfall_7d, w.t2m_max AS temp_max,
   w.t2m_min AS temp_min, w.t2m_mean AS temp_mean, w.rh2m AS humidity
-  FROM prices p JOIN orders ON l_orderkey = o_orderkey LEFT JOIN weather w ON p.arrival_date = w.date AND p.district = w.district
-  WHERE p.arrival_date >= CAST(o_orderdate AS DATE)),
+  FROM prices p JOIN orders ON l_orderkey = o_orderkey LEFT JOIN weather w ON p.arrival_date = w.date AND p.district = w.district),
 staged AS (SELECT c.*, coalesce(s.stage, 'post_harvest') AS stage, coalesce(s.critical, FALSE) AS critical
   FROM cases c LEFT JOIN stages s ON c.crop = s.crop AND days_since_sowing BETWEEN start_day AND end_day),
 hit AS (SELECT s.*, coalesce(CASE w.severity WHEN 'low' THEN 0.25e0 WHEN 'high' THEN 1e0 ELSE 0.5e0 END, 0) AS weight, w.risk_factor,
@@ -28,7 +27,7 @@ def cases(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("sown"))
     w = weather(spark, sf).select("date", "district", F.col("precipitation").alias("rainfall_7d"), F.col("t2m_max").alias("temp_max"),
                                   F.col("t2m_min").alias("temp_min"), F.col("t2m_mean").alias("temp_mean"), F.col("rh2m").alias("humidity"))
-    p = prices(spark, sf).join(o, F.col("l_orderkey") == F.col("o_orderkey")).filter(F.col("arrival_date") >= F.col("sown"))
+    p = prices(spark, sf).join(o, F.col("l_orderkey") == F.col("o_orderkey"))  # days before sowing are negative
     return (p.join(w, (F.col("arrival_date") == w["date"]) & (p["district"] == w["district"]), "left")
             .select("l_orderkey", "l_linenumber", "market", "modal_price", F.col("commodity").alias("crop"),
                     F.datediff("arrival_date", "sown").alias("days_since_sowing"), "rainfall_7d", "temp_max", "temp_min", "temp_mean", "humidity"))
