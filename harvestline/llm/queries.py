@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from harvestline.llm import (
-    bpe, chat, decontaminate, iblt, jaccard_join, line_dedup, pages, periodic, quality, simhash, substrings, toxicity,
+    bpe, chat, decontaminate, iblt, jaccard_join, line_dedup, pages, periodic, phrases, quality, simhash, substrings, toxicity,
 )
 from harvestline.llm.common import held_out, table
 
@@ -133,6 +133,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "h.item_id", "h.score", "h.question_overlap", "h.answer_overlap")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
 
@@ -159,6 +163,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_collocations": op11_collocations,
     "op12_simhash": op12_simhash,
     "op13_periodic_runs": op13_periodic_runs,
 }
