@@ -14,9 +14,9 @@ over half the XXH64 hashes of the shingles; a text without words has fingerprint
   families: halves of two segments as they are, of which one half each is free of errors, with the Golay keys of the third).
   All keys are 33 to 36 bits wide, so chance meetings stay rare in large tables.
 * Equal fingerprints are one node. The nodes of a key are compared with one of them, the hub, which takes in large groups of
-  near copies with one row each. Keys whose nodes are not in one component yet get another hub, chosen outside the component
-  of the first; when that finds little more, nodes of different components that share a key meet in a join that passes on only
-  those within 4 bits. So components are exact, and the rows made follow the nodes, not the pairs.
+  near copies with one row each. For keys whose nodes are not in one component yet, another hub is drawn, in a fixed number
+  of rounds; then the nodes of different components that still share a key meet in a join that passes on only those within 4
+  bits. So components are exact, and the rows made follow the nodes, not the pairs.
 
 Cases: a null or empty text has fingerprint zero and is linked like any other; a null ``doc_id`` counts only where a component has
 no other (its id is null then); repeated rows and ids get a row each; ``fingerprint`` and ``component_id`` replace columns of these
@@ -33,7 +33,6 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from harvestline.llm.common import blocks, buffers, reachable, stored, text_of
-from harvestline.llm.jaccard_join import components
 
 SHINGLE = 4
 SEED = 42
@@ -45,8 +44,8 @@ GENERATOR = 0xC75
 BITS, CHECK_BITS = 23, 11
 BLOCK_BYTES = 2 << 20
 BLOCK_HASHES = 1 << 17
-#: At most so many rounds of hubs before what is left meets directly.
-ROUNDS = 4
+#: Rounds of drawn hubs before what is left meets directly.
+ROUNDS = 2
 
 
 def _remainders() -> np.ndarray:
@@ -156,12 +155,30 @@ def with_fingerprint(df: DataFrame, text: str = "text", name: str = "fingerprint
     return df.withColumn(name, F.arrow_udf(_fingerprints, "bigint")(text_of(df, text)))
 
 
+def components(edges: DataFrame, label: str) -> DataFrame:
+    """``vertex, class`` of all vertices of ``a, b`` rows: the least vertex that edges lead to.
+
+    A round gives each vertex the least class among itself, its neighbours and the vertex that its class names, so paths
+    halve; it is one job that writes the next state. Groups are aggregated before the shuffle and never gathered.
+    """
+    both = stored(edges.select(F.col("a").alias("vertex"), F.col("b").alias("other")).union(edges.select("b", "a")), f"{label}-edges")
+    state = both.groupBy("vertex").agg(F.least(F.min("other"), F.first("vertex")).alias("class"))
+    state = stored(state.withColumn("old", F.col("vertex")), f"{label}-classes")
+    while not state.where("old <> class").isEmpty():
+        known = state.select(F.col("vertex").alias("other"), F.col("class").alias("near"))
+        near = both.join(known, "other").groupBy("vertex").agg(F.min("near").alias("near"))
+        up = known.select(F.col("other").alias("class"), F.col("near").alias("up"))
+        step = state.select("vertex", "class").join(near, "vertex").join(up, "class", "left")
+        state = stored(step.select("vertex", F.least("class", "near", F.coalesce("up", "class")).alias("class"), F.col("class").alias("old")), f"{label}-classes")
+    return state.select("vertex", "class")
+
+
 def _open(members: DataFrame, links: DataFrame, label: str) -> DataFrame:
-    """``key, vertex, class, low`` for the keys whose vertices lie in different components; ``low`` is the least of these."""
+    """``key, vertex, class`` for the keys whose vertices lie in different components."""
     classes = components(links, label)
     placed = stored(members.join(classes, "vertex", "left").select("key", "vertex", F.coalesce("class", "vertex").alias("class")), f"{label}-placed")
     spans = placed.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
-    return stored(placed.join(stored(spans.select("key", "low"), f"{label}-spans"), "key"), f"{label}-open")
+    return stored(placed.join(stored(spans.select("key"), f"{label}-spans"), "key"), f"{label}-open")
 
 
 def linked(nodes: DataFrame) -> DataFrame:
@@ -172,17 +189,15 @@ def linked(nodes: DataFrame) -> DataFrame:
     to_hub = lambda rows: rows.where((F.col("hub") != F.col("vertex")) & near(F.col("hub"), F.col("vertex"))).select(
         F.least("hub", "vertex").alias("a"), F.greatest("hub", "vertex").alias("b")).distinct()
     links = stored(to_hub(members), "simhash-links")
-    members = members.select("key", "vertex")
-    for _ in range(ROUNDS):
-        rest = _open(members, links, "simhash-round")
-        hubs = stored(rest.where("class > low").groupBy("key").agg(F.min("vertex").alias("hub")), "simhash-hubs")
-        found = stored(to_hub(rest.join(hubs, "key")), "simhash-found")
-        members = rest.select("key", "vertex")
+    rest = _open(members.select("key", "vertex"), links, "simhash-round")
+    for k in range(ROUNDS):
+        drawn = F.min(F.struct(F.xxhash64("vertex", "key", F.lit(k)).alias("h"), F.col("vertex").alias("hub"), F.col("class").alias("of_hub")))
+        hubs = stored(rest.groupBy("key").agg(drawn.alias("d")).select("key", "d.hub", "d.of_hub"), "simhash-hubs")
+        found = stored(to_hub(rest.join(hubs, "key").where(F.col("class") != F.col("of_hub"))), "simhash-found")
         if found.isEmpty():
             break
         links = stored(links.union(found), "simhash-links")
-    else:
-        rest = _open(members, links, "simhash-rest")
+        rest = _open(rest.select("key", "vertex"), links, "simhash-round")
     left, right = (rest.select("key", F.col("vertex").alias(f"{side}"), F.col("class").alias(f"class_{side}")) for side in "ab")
     meet = (F.col("class_a") < F.col("class_b")) & near(F.col("a"), F.col("b"))
     across = left.join(right, (left["key"] == right["key"]) & meet).select("a", "b").distinct()
