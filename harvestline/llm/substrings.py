@@ -336,6 +336,9 @@ def repeated_spans(docs: DataFrame, length: int, wide: int) -> DataFrame:
     few = few.repartition("anchor").sortWithinPartitions("anchor")
     partial = few.mapInArrow(_sorter(length), f"anchor long, c1 long, c2 long, ranges {RANGES}")
     partial = partial.union(count_apart(contexts.where(F.col("m") > wide), length))
+    # a context that occurs more often is repeated as a whole; each context has one row, so its places are met once
+    lone = stored(contexts.where("n = 1").select(*key), "bytes-lone")
+    partial = partial.join(lone, key, "left_semi").groupBy(*key).agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
     full = seen.where("n > 1").select(*key, F.array(F.struct(F.lit(0).alias("a"), (F.col("at.last") - F.col("at.first")).alias("b"))).alias("ranges"))
     marks = stored(partial.union(full), "bytes-marks")
     spans = places.join(marks, key).select("h1", "h2", F.transform("ranges", lambda r: F.struct(
