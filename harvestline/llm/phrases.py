@@ -19,7 +19,7 @@ Candidates are phrases of two or three words with ``least`` occurrences. A phras
 parts of counts l and r, scores floor(1000000 a a / (l r)); the cut with the lowest score counts, the first of equals.
 
 Cases: a null or empty text has no words; a language may be any string; repeated rows count each time; columns beside text and
-language are not read; counts may reach 10^16 (products are decimals of 38 digits); an empty table gives an empty one.
+language are not read; a very long text is counted in parts of whole pieces; counts may reach 10^16 (products are decimals of 38 digits); an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -85,6 +85,20 @@ def _gram_rows(lang: str, texts: list[bytes], common: frozenset[str]) -> pa.Reco
     return pa.record_batch([pa.array(part.astype(np.int32)), gram, pa.array(counts.astype(np.int64))], names=["part", "gram", "n"])
 
 
+def parts(text: bytes) -> Iterator[bytes]:
+    """A text cut into parts of whole pieces, of about BLOCK_BYTES unless a piece is longer."""
+    at = 0
+    while len(text) - at > BLOCK_BYTES:
+        cut = max(text.rfind(b, at, at + BLOCK_BYTES) for b in BREAKS)
+        if cut < 0:
+            cut = min((k for b in BREAKS if (k := text.find(b, at + BLOCK_BYTES)) >= 0), default=-1)
+        if cut < 0:
+            break
+        yield text[at:cut + 1]
+        at = cut + 1
+    yield text[at:]
+
+
 def _counter(common: frozenset[str]):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[bytes]] = {}
@@ -98,11 +112,11 @@ def _counter(common: frozenset[str]):
         for batch in batches:
             data, starts = buffers(batch["body"])
             for k, lang in enumerate(batch["lang"].to_pylist()):
-                text = data[starts[k]:starts[k + 1]].tobytes()
-                held.setdefault(lang, []).append(text)
-                size[lang] = size.get(lang, 0) + len(text)
-                if size[lang] >= BLOCK_BYTES:
-                    yield from flush([lang])
+                for text in parts(data[starts[k]:starts[k + 1]].tobytes()):
+                    held.setdefault(lang, []).append(text)
+                    size[lang] = size.get(lang, 0) + len(text)
+                    if size[lang] >= BLOCK_BYTES:
+                        yield from flush([lang])
             if sum(size.values()) >= MOST_BYTES:  # many languages
                 yield from flush(list(held))
         yield from flush(list(held))
@@ -132,17 +146,19 @@ def graph(texts: DataFrame, least: int) -> DataFrame:
     """``size, gram, n``: all edges (3), pairs (2) and words (1) that occur ``least`` times, and the words of each language (0)."""
     rows = texts.mapInArrow(_counter(common_prefixes(texts)), GRAMS).repartition("part")
     level = F.col("part").bitwiseAND(F.lit(3))
-    edges = rows.groupBy("part", "gram").agg(F.sum("n").alias("n")).where((F.col("n") >= least) & ~F.col("gram").endswith(SEP))
+    edges = rows.groupBy("part", "gram").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
     def flow(size: int) -> DataFrame:
         """Weight that leaves the prefixes of so many words. It is whole unless the prefix was divided."""
         return rows.groupBy("part", without_last(3 - size).alias("gram")).agg(F.sum("n").alias("n"))
 
-    pairs = flow(2).where(((level == 2) | (F.col("n") >= least)) & ~F.col("gram").endswith(SEP))
+    pairs = flow(2).where((level == 2) | (F.col("n") >= least))
+    # no condition on grams alone before this table: it would move below the shuffle and make it another one for each branch
     sized = lambda df, size: df.select(F.lit(size).alias("size"), level.alias("level"), "gram", "n")
     found = stored(sized(edges, 3).union(sized(pairs, 2)).union(sized(flow(1), 1)), "phrase-grams")
     total = found.where("size = 1").select(F.lit(0).alias("size"), without_last(1).alias("gram"), "n")
-    small = found.where((F.col("size") > 1) | (F.col("level") >= 1) | (F.col("n") >= least)).select("size", "gram", "n")
+    whole = F.when(F.col("size") == 1, (F.col("level") >= 1) | (F.col("n") >= least)).otherwise(~F.col("gram").endswith(SEP))
+    small = found.where(whole).select("size", "gram", "n")  # a shorter gram is no edge, and its first words no pair
     summed = small.union(total).groupBy("size", "gram").agg(F.sum("n").alias("n"))
     return stored(summed.where((F.col("size") == 0) | (F.col("n") >= least)), "phrase-graph")
 

@@ -68,6 +68,17 @@ def test_odd_texts_languages_and_limits(spark, texts, share, top, least):
     assert collected(phrases.collocations(df, share=share, top=top, least=least)) == plain(texts, least, share, top)
 
 
+def test_long_texts_are_cut_between_pieces(texts, monkeypatch):
+    monkeypatch.setattr(phrases, "BLOCK_BYTES", 9)
+    for _, text in texts:
+        raw = (text or "").encode()
+        cut = list(phrases.parts(raw))
+        assert b"".join(cut) == raw and all(p[-1] in phrases.BREAKS for p in cut[:-1])
+        count = lambda parts: sorted(x for p in parts for x in re.split(b"[.,;:!?\x0a-\x0d]", p) if x)
+        assert count(cut) == count([raw])
+    assert len(list(phrases.parts(b"a b, c d, e f g h i j k l m n, o"))) == 3
+
+
 def test_division_of_common_prefixes_changes_nothing(spark, texts, monkeypatch):
     df = spark.createDataFrame(texts, "lang string, text string")
     for common in ([], ["en\nthe"], ["en\nthe", "en\nthe\ncat", "de\nx", "de\nx\ny", "en\nsat", "en\nsat\n"]):
@@ -87,9 +98,18 @@ def test_counts_beyond_64_bit_products(spark):
     assert df.select(phrases._score("a", "l", "r").alias("s")).first().s == 10**6 * (4 * 10**9) ** 2 // (30 * 10**18)
 
 
-def test_rows_are_shuffled_once(spark, texts):
-    df = spark.createDataFrame(texts, "lang string, body string")
-    rows = df.mapInArrow(phrases._counter(frozenset()), phrases.GRAMS).repartition("part")
-    plan = rows.groupBy("part", "gram").agg(F.sum("n").alias("n"))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1
+def test_grams_are_made_and_shuffled_once(spark, texts, monkeypatch):
+    """The counts of edges, pairs and words read one shuffle."""
+    plans = {}
+    monkeypatch.setattr(phrases, "common_prefixes", lambda _: frozenset())
+    monkeypatch.setattr(phrases, "stored", lambda df, label: plans.update({label: df._jdf.queryExecution().executedPlan().toString()}) or df)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        phrases.graph(spark.createDataFrame(texts, "lang string, body string"), 10)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plans["phrase-grams"].count("MapInArrow") == 1 and plans["phrase-grams"].count("ReusedExchange") == 2
+
+
+def test_empty_table(spark):
     assert spark.createDataFrame([], "lang string, text string").transform(phrases.collocations).count() == 0
