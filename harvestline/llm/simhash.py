@@ -127,10 +127,10 @@ def fingerprint(text: bytes) -> int:
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words])
     size = min(SHINGLE, len(words))
-    begin, end = [0, *ends[:-size].tolist()], (ends[size - 1:] - 1).tolist()
+    begin, end = np.r_[0, ends[:-size]], ends[size - 1:] - 1
     n, ones = len(begin), np.zeros(64, np.int64)
     for k in range(0, n, BLOCK_HASHES):
-        h = [xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in zip(begin[k:k + BLOCK_HASHES], end[k:k + BLOCK_HASHES], strict=True)]
+        h = [xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in zip(begin[k:k + BLOCK_HASHES].tolist(), end[k:k + BLOCK_HASHES].tolist(), strict=True)]
         ones += np.unpackbits(np.array(h, np.uint64).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
 
@@ -178,14 +178,16 @@ def _open(members: DataFrame, links: DataFrame, label: str) -> DataFrame:
     classes = components(links, label)
     placed = stored(members.join(classes, "vertex", "left").select("key", "vertex", F.coalesce("class", "vertex").alias("class")), f"{label}-placed")
     spans = placed.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
-    return stored(placed.join(stored(spans.select("key"), f"{label}-spans"), "key"), f"{label}-open")
+    return stored(placed.join(stored(spans.select("key"), f"{label}-spans"), "key", "left_semi"), f"{label}-open")
 
 
 def linked(nodes: DataFrame) -> DataFrame:
     """``a, b`` rows that connect every component of distinct fingerprints ``vertex``; not all links within a component."""
     keyed = nodes.select("vertex", F.explode(F.arrow_udf(_keys, "array<bigint>")("vertex")).alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("vertex").alias("hub")).where("n > 1")
-    members = stored(keyed.join(stored(shared.select("key", "hub"), "simhash-shared"), "key"), "simhash-members")
+    shared = stored(shared.select("key", "hub"), "simhash-shared")
+    # the same plan at every size: the keys that chance or copies share grow with the table
+    members = stored(keyed.join(shared.hint("merge"), "key"), "simhash-members")
     to_hub = lambda rows: rows.where((F.col("hub") != F.col("vertex")) & near(F.col("hub"), F.col("vertex"))).select(
         F.least("hub", "vertex").alias("a"), F.greatest("hub", "vertex").alias("b")).distinct()
     links = stored(to_hub(members), "simhash-links")
