@@ -24,8 +24,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from harvestline.llm.common import buffers, sha256, with_struct
 
 END = "\0"
-CACHED_PIECES = 400_000
+#: Bytes that a memory of encoded pieces may take, by an estimate of ENTRY_BYTES for an entry beside its texts.
+CACHED_BYTES, ENTRY_BYTES = 12 << 20, 200
 CACHED_LENGTH = 48
+CACHED_PAIRS = 100_000
+PAIR = 1 << 32
 NEVER = 1 << 60
 
 
@@ -41,13 +44,15 @@ class Memory(dict):
     """Encoded pieces by their text: a bounded memory that starts anew when it is full."""
 
     def __init__(self, encode):
-        self.encode = encode
+        self.encode, self.size = encode, 0
 
     def __missing__(self, piece: str) -> bytes:
         got = self.encode(piece)
         if len(piece) <= CACHED_LENGTH:
-            if len(self) >= CACHED_PIECES:
+            if self.size >= CACHED_BYTES:
                 self.clear()
+                self.size = 0
+            self.size += ENTRY_BYTES + len(piece) + len(got)
             self[piece] = got
         return got
 
@@ -94,7 +99,7 @@ class Vocabulary:
         self.shorter = {i: next((known[text[i][:k]] for k in range(len(text[i]) - 1, 0, -1) if text[i][:k] in known), None)
                         for i in usable}
         self.alphabet = byte_alphabet()
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}  # by left * PAIR + right
         self.known_words = Memory(self.encode_word)
         self.runs = Memory(self.encode_piece)
         whole = {**{i: t for t, i in vocab.items()}, **{i: t for t, i in self.specials.items()}}
@@ -128,9 +133,9 @@ class Vocabulary:
                 i += 1
             else:
                 k += 1
-        if len(self.fits) > 2_000_000:
+        if len(self.fits) >= CACHED_PAIRS:
             self.fits.clear()
-        self.fits[left, right] = ok
+        self.fits[left * PAIR + right] = ok
         return ok
 
     def encode_word(self, word: str) -> bytes:
@@ -150,7 +155,7 @@ class Vocabulary:
                 if alive[at + length[token]]:
                     if last is None:
                         break
-                    ok = fits.get((last, token))
+                    ok = fits.get(last * PAIR + token)
                     if self.pair_fits(last, token) if ok is None else ok:
                         break
                 token = shorter[token]
