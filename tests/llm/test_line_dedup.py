@@ -38,6 +38,17 @@ def test_edge_cases(docs, spark):
     assert dedup_lines(docs([])).count() == 0
 
 
+def test_many_separate_runs_take_linear_time(docs):
+    """A document with 20,000 runs that repeat between lines of its own; folding them one by one took minutes."""
+    import time
+
+    rows = [(0, "\n".join(f"a{k}\nb{k}" for k in range(20_000))), (1, "\n".join(f"a{k}\nb{k}\nown {k}" for k in range(20_000)))]
+    began = time.time()
+    got = {r.doc_id: (r.text, r.n_removed) for r in dedup_lines(docs(rows)).collect()}
+    assert got == {0: (rows[0][1], 0), 1: ("\n".join(f"own {k}" for k in range(20_000)), 40_000)}
+    assert time.time() - began < 60
+
+
 def test_no_python_in_the_plan(docs):
     df = dedup_lines(docs(["a\nb", "a\nb"]))
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()

@@ -34,7 +34,7 @@ def test_each_stage_against_a_plain_version(stages, spark):
     kept = labels[labels.doc_id.isin(good.doc_id)]
     assert (kept.quality == 1).mean() > 0.9 and kept.quality.sum() >= 0.95 * labels.quality.sum()
 
-    want = lines.brute([(r.doc_id, r.text) for r in good.itertuples()], 2)
+    want = lines.brute_long([(r.doc_id, r.text) for r in good.itertuples()], 2, 50)
     assert {r.doc_id: r.text for r in short.itertuples()} == {k: v[0] for k, v in want.items()}
     assert (short.n_chars == short.text.str.len()).all()
 
