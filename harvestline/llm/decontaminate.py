@@ -14,8 +14,9 @@ What is retrieved is verified: the share of the item's five-word runs that the p
 both for the question (the item without its last sentence) and for the answer (its last sentence; the second half of an
 item with one sentence; runs are shorter where a part is).
 
-The index has a bounded size: items beyond ``shard_items`` or ``shard_chars`` go to further shards, built one at a time,
-each with its own statistics, and every passage queries all shards.
+The index has a bounded size: items beyond ``shard_items`` or ``shard_chars`` go to further shards, which are built and queried
+with every passage one at a time; their hits are a table of the texts that have any. The number of items, their mean length, the
+length of passages and the document frequencies are those of all items, so shards change no score.
 
 Cases: null and empty texts hit nothing; items without words are left out; equal items are all reported; repeated rows
 get equal results; an empty table of items or documents gives no hits; columns of the input named ``hits`` are replaced.
@@ -24,12 +25,15 @@ get equal results; an empty table of items or documents gives no hits; columns o
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from harvestline.llm.common import blocks, buffers, runs, word_hashes
+from harvestline.llm.common import blocks, buffers, reachable, runs, stored, word_hashes
 
 K1, B = 1.2, 0.75
 RUN = 5
@@ -57,26 +61,40 @@ def question_and_answer(text: str) -> tuple[np.ndarray, np.ndarray]:
     return words[:len(words) // 2], words[len(words) // 2:]
 
 
+@dataclass
+class Statistics:
+    """What scores need to know of all items: their number, words of the mean and of the longest, and in how many a term occurs."""
+
+    items: int
+    mean: float
+    longest: int
+    terms: np.ndarray
+    frequency: np.ndarray
+
+
 class Index:
-    """Inverted index of a bounded number of items; scores are shares of an item's own score."""
+    """Inverted index of a bounded number of items; scores are shares of an item's own score.
+
+    ``of_all`` has the statistics of all items, where these are only some; its sorted terms are those of these items.
+    """
 
-    def __init__(self, ids: list[int], texts: list[str], least_score: float):
+    def __init__(self, ids: list[int], texts: list[str], least_score: float, of_all: Statistics | None = None):
         words = [hash_words(t) for t in texts]
         kept = [k for k, w in enumerate(words) if len(w)]
         self.ids = np.array([ids[k] for k in kept], np.int64)
         self.parts = [question_and_answer(texts[k]) for k in kept]
         words = [words[k] for k in kept]
         n = len(words)
-        self.length = max(map(len, words), default=1)
+        self.length = of_all.longest if of_all else max(map(len, words), default=1)
         self.least = least_score
         each = [np.unique(w, return_counts=True) for w in words]
         self.terms, term = np.unique(np.concatenate([t for t, _ in each] or [np.zeros(0, np.uint64)]), return_inverse=True)
         item = np.repeat(np.arange(n), [len(t) for t, _ in each])
         tf = np.concatenate([c for _, c in each] or [np.zeros(0)]).astype(float)
-        df = np.bincount(term, minlength=len(self.terms))
+        df = of_all.frequency[np.searchsorted(of_all.terms, self.terms)] if of_all else np.bincount(term, minlength=len(self.terms))
         sizes = np.array([len(w) for w in words], float)
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * sizes[item] / sizes.mean()) if n else 0
+        idf = np.log1p(((of_all.items if of_all else n) - df + 0.5) / (df + 0.5))
+        norm = K1 * (1 - B + B * sizes[item] / (of_all.mean if of_all else sizes.mean())) if n else 0
         gain = idf[term] * tf * (K1 + 1) / (tf + norm)
         gain = gain / np.bincount(item, gain, n)[item] if n else gain
         order = np.lexsort((item, term))
@@ -178,16 +196,45 @@ def _searcher(index: Index, least_overlap: float):
     return F.arrow_udf(search, HITS)
 
 
+def _item_terms(texts: pa.Array) -> pa.Array:
+    words = [hash_words(t or "") for t in texts.to_pylist()]
+    return pa.array([{"n": len(w), "terms": np.unique(w).view(np.int64).tolist()} for w in words],
+                    pa.struct([("n", pa.int64()), ("terms", pa.list_(pa.int64()))]))
+
+
+def _shards(rows: DataFrame, shards: int, least_score: float) -> Iterator[Index]:
+    """The indices of all shards, one at a time, with the statistics of all items."""
+    items = rows.withColumn("w", F.arrow_udf(_item_terms, "n long, terms array<long>")("t")).select("i", "t", "w.*")
+    items = stored(items.where("n > 0").withColumn("shard", F.pmod(F.xxhash64("i", "t"), F.lit(shards))), "items")
+    total = items.agg(F.count("*").alias("items"), F.avg("n").alias("mean"), F.max("n").alias("longest")).first()
+    postings = items.select("shard", F.explode("terms").alias("term"))
+    frequency = stored(postings.groupBy("term").agg(F.count("*").alias("df")), "item-terms")
+    for k in range(shards if total["items"] else 0):
+        held = items.where(F.col("shard") == k).orderBy("i", "t").select("i", "t").toArrow().to_pydict()
+        own = postings.where(F.col("shard") == k).select("term").distinct().join(frequency, "term").toArrow()
+        terms = own["term"].to_numpy().view(np.uint64)
+        order = np.argsort(terms)
+        yield Index(held["i"], held["t"], least_score, Statistics(total["items"], total["mean"], total["longest"], terms[order], own["df"].to_numpy()[order]))
+
+
 def find_hits(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
               least_score: float = 0.5, least_overlap: float = 0.8, shard_items: int = 20_000, shard_chars: int = 20_000_000) -> DataFrame:
     """Add ``hits``: the test items that a document contains, with score and overlaps of the best passage."""
+    reachable(docs.sparkSession)
     rows = items.select(F.col(item_id).cast("long").alias("i"), F.lower(F.coalesce(F.col(item_text), F.lit(""))).alias("t"))
     size = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("t")), F.lit(0)).alias("c")).first()
     shards = max(1, -(-size["n"] // shard_items), -(-size["c"] // shard_chars))
+    body = F.coalesce(docs[text].cast("string"), F.lit(""))
+    if shards == 1:
+        held = rows.orderBy("i", "t").toArrow().to_pydict()
+        return docs.withColumn("hits", _searcher(Index(held["i"], held["t"], least_score), least_overlap)(F.lower(body)))
+    keys = [F.xxhash64(body).alias("__h1"), F.xxhash64(F.lit(7), body).alias("__h2")]  # the hits of a document depend on its text alone
     found = []
-    lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
-    for k in range(shards):
-        part = rows if shards == 1 else rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(shards)) == k)
-        held = part.orderBy("i", "t").toArrow().to_pydict()
-        found.append(_searcher(Index(held["i"], held["t"], least_score), least_overlap)(lowered))
-    return docs.withColumn("hits", found[0] if len(found) == 1 else F.concat(*found))
+    for index in _shards(rows, shards, least_score):
+        hits = docs.select(*keys, _searcher(index, least_overlap)(F.lower(body)).alias("h")).where(F.size("h") > 0)
+        found.append(stored(hits.dropDuplicates(["__h1", "__h2"]), "item-hits"))
+    if not found:
+        return docs.withColumn("hits", F.array().cast(HITS))
+    all_hits = reduce(DataFrame.union, found).groupBy("__h1", "__h2").agg(F.array_sort(F.flatten(F.collect_list("h"))).alias("__hits"))
+    own = docs.drop("hits").withColumns({"__h1": keys[0], "__h2": keys[1]}).join(stored(all_hits, "item-found"), ["__h1", "__h2"], "left")
+    return own.withColumn("hits", F.coalesce("__hits", F.array().cast(HITS))).drop("__h1", "__h2", "__hits")

@@ -51,6 +51,23 @@ def test_equals_scoring_everything(spark, docs, shard):
     assert sum(map(len, got.values())) >= 20
 
 
+@pytest.mark.parametrize("least", [0.3, 0.8])
+def test_shards_change_no_score(spark, docs, least):
+    rows, items = corpus(3, 40)
+    items += [(100 + k, f"{t} and more of it") for k, t in items[:7]] + [(200, None), (201, "")]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    df = docs([*rows, rows[0], (500, None)])
+
+    def hits(shard):
+        out = D.find_hits(df, table, least_score=least, least_overlap=0.0, shard_items=shard).collect()
+        return sorted((r.doc_id, sorted((h.item_id, round(h.score, 9), round(h.question_overlap, 9), round(h.answer_overlap, 9)) for h in r.hits)) for r in out)
+
+    assert hits(5) == hits(20_000)
+    assert sum(len(h) for _, h in hits(5)) > 10
+    empty = spark.createDataFrame([(k, None) for k in range(30)], "item_id long, text string")
+    assert all(r.hits == [] for r in D.find_hits(df, empty, shard_items=7).collect())
+
+
 def test_block_bounds_lose_nothing():
     rows, items = corpus(5, 120)
     for least in (0.2, 0.5, 0.9):
