@@ -23,7 +23,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later repeated runs of lines leave the texts; ``n_chars`` follows."""
-    return line_dedup.dedup_lines(docs.select(*COLUMNS)).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    return line_dedup.dedup_lines(docs.select(*COLUMNS), long_words=line_dedup.LONG_WORDS).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
