@@ -41,14 +41,16 @@ def with_position(df: DataFrame, chunk: Column, order: Sequence[Column | str], b
             .withColumn(name, F.col("_before") + F.row_number().over(within) - 1).select(*cols, name))
 
 
-def _block_ranges(df: DataFrame, by: Sequence[str], chunk: Column, back: int, ahead: int, size: int) -> DataFrame:
+def block_ranges(df: DataFrame, by: Sequence[str], chunk: Column, back: int, ahead: int, size: int, large: DataFrame | None = None) -> DataFrame:
     """``_h`` and ``_blocks`` of the groups with over ``size`` rows: which chunks each block owns, and which its frames reach.
 
     A block owns the chunks that begin in its ``size`` positions. There are fewer groups and blocks here than rows / size, so
     the table may be broadcast. Only these groups are counted by chunk; chunks are structs, whose order has nulls first.
+    ``large`` holds these groups as structs ``_h``, where they are known already.
     """
     keyed = df.select(F.struct(*[F.col(b) for b in by]).alias("_g"), F.struct(chunk.alias("_c")).alias("_c"))
-    large = keyed.groupBy(F.col("_g").alias("_h")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > size).select("_h")
+    if large is None:
+        large = keyed.groupBy(F.col("_g").alias("_h")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > size).select("_h")
     sizes = keyed.join(F.broadcast(large), F.col("_g") == F.col("_h")).groupBy("_h", "_c").agg(F.count(F.lit(1)).alias("_n"))
     running = Window.partitionBy("_h").orderBy("_c")
     chunks = sizes.withColumn("_end", F.sum("_n").over(running)).withColumn("_at", F.col("_end") - F.col("_n"))
@@ -74,7 +76,7 @@ def over_rows(df: DataFrame, by: Sequence[str], day: str, order: Sequence[Column
     """
     by = list(by)
     size = max(block_rows, 1)
-    ranges = _block_ranges(df, by, F.col(day), back, ahead, size)
+    ranges = block_ranges(df, by, F.col(day), back, ahead, size)
     own_day = F.struct(F.col(day))
     reached = F.filter("_blocks", lambda b: (b["low"] <= own_day) & (own_day <= b["high"]))
     placed = (df.withColumn("_g", F.struct(*[F.col(b) for b in by]))
@@ -86,11 +88,10 @@ def over_rows(df: DataFrame, by: Sequence[str], day: str, order: Sequence[Column
     return out.filter("_own").drop("_own", "_blk")
 
 
-def with_blocks(df: DataFrame, by: Sequence[str], chunk: Column, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """``_blk`` numbers runs of whole chunks of about ``block_rows`` rows in groups that have more, in the order of ``chunk``;
-    rows of other groups have no number. Only keys are counted; whole rows stay where they are."""
-    ranges = _block_ranges(df, by, chunk, 0, 0, max(block_rows, 1))
+def with_blocks(df: DataFrame, by: Sequence[str], chunk: Column, ranges: DataFrame, how: str = "left") -> DataFrame:
+    """``_blk``, the block of ``ranges`` that owns the chunk of a row. Rows of groups that are not cut have none; an inner join
+    leaves them out. Whole rows stay where they are."""
     own = F.struct(chunk)
     of = F.filter("_blocks", lambda b: (b["first"] <= own) & (own <= b["last"]))
-    return (df.withColumn("_g", F.struct(*[F.col(b) for b in by])).join(F.broadcast(ranges), F.col("_g") == F.col("_h"), "left")
+    return (df.withColumn("_g", F.struct(*[F.col(b) for b in by])).join(F.broadcast(ranges), F.col("_g") == F.col("_h"), how)
             .withColumn("_blk", F.get(of, F.lit(0))["block"]).drop("_g", "_h", "_blocks"))

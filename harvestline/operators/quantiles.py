@@ -9,6 +9,8 @@ so its broadcast has a fixed bound.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -45,28 +47,32 @@ def _by_group(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Se
                                           F.kll_sketch_agg_double("value", F.lit(SKETCH)).alias("sketch"))
 
     few = F.col("n") * MARGIN <= 2  # where a step of one rank is wide, and all values are counted
-
-    def span(prob: float) -> Column:
-        rank = F.lit(float(prob)) * (F.col("n") - 1)
-        at = lambda share: F.kll_sketch_get_quantile_double("sketch", F.lit(share))
-        low = F.col("lo") if prob <= 2 * MARGIN else F.when(few, F.col("lo")).otherwise(at(prob - 2 * MARGIN))
-        high = F.col("hi") if prob >= 1 - 2 * MARGIN else F.when(few, F.col("hi")).otherwise(at(prob + 2 * MARGIN))
-        wanted = F.struct(F.lit(float(prob)).alias("prob"), "n", rank.alias("rank"), F.floor(rank).alias("down"), F.ceil(rank).alias("up"))
-        return F.struct(wanted.alias("w"), low.alias("low"), high.alias("high"))
-
-    spans = sketches.select(*group, F.array(*[span(p) for p in probs]).alias("spans"))
-    place = lambda x: F.struct(x["w"].alias("w"), F.when(F.col("value") >= x["low"], F.col("value")).alias("at"))
-    met = values.join(spans, group).select(*group, F.explode(F.transform(
-        F.filter("spans", lambda x: F.col("value") <= x["high"]), place)).alias("p")).select(*group, "p.*")
-    tallied = met.groupBy(*group, "w", "at").agg(F.count(F.lit(1)).alias("rows"))
-    running = Window.partitionBy(*group, "w").orderBy(F.col("at").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    placed = tallied.withColumn("end", F.sum("rows").over(running)).filter(F.col("at").isNotNull() & (F.col("end") > F.col("w.down")))
-    holds = lambda rank: F.max(F.when((F.col("end") - F.col("rows") <= rank) & (rank < F.col("end")), F.col("at")))
-    found = placed.groupBy(*group, "w").agg(holds(F.col("w.down")).alias("below"), holds(F.col("w.up")).alias("above"))
+    at = lambda share: F.kll_sketch_get_quantile_double("sketch", F.lit(share))
+    low = lambda p: F.col("lo") if p <= 2 * MARGIN else F.when(few, F.col("lo")).otherwise(at(p - 2 * MARGIN))
+    high = lambda p: F.col("hi") if p >= 1 - 2 * MARGIN else F.when(few, F.col("hi")).otherwise(at(p + 2 * MARGIN))
+    bounds = sketches.select(*group, "n", *[c.alias(f"_{name}{i}") for i, p in enumerate(probs) for name, c in (("low", low(p)), ("high", high(p)))])
+    # Sketches are drawn anew whenever they are made, also when a lost task is run again. Each row is therefore judged once, in this
+    # one aggregation: it lies below the bounds of probability i (bit i of the first mask) or within them (second mask) with
+    # its value, so the rows up to any value within all bounds are counted right, whichever bounds a task has seen.
+    under = [F.col("value") < F.col(f"_low{i}") for i in range(len(probs))]
+    within = [F.col("value").between(F.col(f"_low{i}"), F.col(f"_high{i}")) for i in range(len(probs))]
+    mask = lambda tests: reduce(add, [F.when(t, 1 << i).otherwise(0) for i, t in enumerate(tests)])
+    met = values.join(bounds, group).select(*group, "n", mask(under).alias("under"), mask(within).alias("within"),
+                                            F.when(reduce(or_, within), F.col("value")).alias("at"))
+    tallied = met.groupBy(*group, "n", "under", "within", "at").agg(F.count(F.lit(1)).alias("rows"))
+    has = lambda name, i: F.col(name).bitwiseAND(F.lit(1 << i)) != 0
+    each = F.array(*[F.when(has("under", i) | has("within", i), F.struct(F.lit(float(p)).alias("prob"), F.when(has("within", i), F.col("at")).alias("at")))
+                     for i, p in enumerate(probs)])
+    parts = tallied.select(*group, "n", "rows", F.explode(F.array_compact(each)).alias("e")).select(*group, "n", "rows", "e.*")
+    running = Window.partitionBy(*group, "prob").orderBy(F.col("at").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    rank = F.col("prob") * (F.col("n") - 1)
+    placed = parts.withColumns({"end": F.sum("rows").over(running), "rank": rank}).filter(F.col("at").isNotNull())
+    holds = lambda at: F.max(F.when((F.col("end") - F.col("rows") <= at) & (at < F.col("end")), F.col("at")))
+    found = placed.groupBy(*group, "n", "prob", "rank").agg(holds(F.floor("rank")).alias("below"), holds(F.ceil("rank")).alias("above"))
     lost = F.raise_error(F.lit("a quantile lies outside the bounds of its sketch"))
-    value = F.col("below") + (F.col("w.rank") - F.col("w.down")) * (F.col("above") - F.col("below"))
+    value = F.col("below") + (F.col("rank") - F.floor("rank")) * (F.col("above") - F.col("below"))
     checked = F.when(F.col("below").isNull() | F.col("above").isNull(), lost.cast("double")).otherwise(value)
-    return found.select(*[F.col(f"_k.{b}").alias(b) for b in by], "column", "w.n", "w.prob", checked.alias("value"))
+    return found.select(*[F.col(f"_k.{b}").alias(b) for b in by], "column", "n", "prob", checked.alias("value"))
 
 
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:

@@ -68,8 +68,10 @@ def rule_score(df: DataFrame, windows: DataFrame, crops: DataFrame) -> DataFrame
 
 
 def hash_uniform(seed: int, *cols: Column) -> Column:
-    """A number in [0, 1) fixed by its keys, so a recomputed task draws the same one."""
-    return F.pmod(F.xxhash64(F.lit(seed), *cols), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    """A number in [0, 1) fixed by its keys, so a recomputed task draws the same one: the first 52 bits of the MD5 of the seed and
+    the keys as text, which any engine can draw again."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[c.cast("string") for c in cols])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
 def hash_normal(seed: int, sd: float, *cols: Column) -> Column:

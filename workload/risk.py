@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from harvestline.operators import joins as J, risk as Rk, windows as W
+from workload.features import WEATHER_FEATURES_SQL
 from workload.base import PRICES_SQL, RULES_SQL, WEATHER_SQL, prices, query, r, rounded, rules, table, weather
 
 CASES_SQL = RULES_SQL + "," + PRICES_SQL + "," + WEATHER_SQL + """,
@@ -140,7 +141,48 @@ def samples(spark, sf, per_crop=6000):
     return Rk.training_samples(W.weather_features(weather(spark, sf)), rules(spark), per_crop)
 
 
-@query("g03_training_samples")
+def _drawn(k, *more):
+    """The number that a sample draws, as the operator states it."""
+    keys = ", ".join(["crop", "year", "sample", *more])
+    return f"(CAST('0x' || substr(md5(concat_ws('|', {42 + k}, {keys})), 1, 13) AS BIGINT) / 4503599627370496e0)"
+
+
+SAMPLES_SQL = RULES_SQL + "," + WEATHER_FEATURES_SQL + f""",
+wf AS MATERIALIZED (SELECT *, temp_max_7d - temp_min_7d AS temp_range_7d, vpd_7d / (1 + rainfall_7d / 50) AS drought_7d FROM feat
+  WHERE rainfall_7d IS NOT NULL AND temp_mean_7d IS NOT NULL),
+span AS (SELECT extract(year FROM min(date)) AS a, extract(year FROM max(date)) AS b, count(DISTINCT extract(year FROM date)) AS n,
+  list(DISTINCT district ORDER BY district) AS places FROM wf),
+draws AS (SELECT c.*, places, y.year, s.sample FROM crops c, span, unnest(range(a + 1, b)) y(year),
+  unnest(range(1, greatest(1, 6000 // greatest(1, n - 2)) + 1)) s(sample) WHERE b - a >= 2),
+sown AS (SELECT crop, year, sample, temp_optimal, places[1 + CAST(floor({_drawn(30)} * len(places)) AS INT)] AS district,
+  make_date(CAST(year AS INT), CAST(start_month + floor({_drawn(10)} * (end_month - start_month + 1)) AS INT), 1 + CAST(floor({_drawn(20)} * 27) AS INT)) AS sowing FROM draws),
+dated AS (SELECT s.*, g.stage, g.critical, sowing + CAST(start_day + floor({_drawn(40, "g.stage").replace("crop,", "s.crop,")} * (end_day - start_day + 1)) AS INT) AS day
+  FROM sown s JOIN stages g ON s.crop = g.crop),
+seen AS (SELECT d.*, w.* EXCLUDE (district, date) FROM dated d JOIN wf w ON d.district = w.district AND d.day = w.date),
+hit AS (SELECT s.*, coalesce(CASE w.severity WHEN 'low' THEN 0.25e0 WHEN 'high' THEN 1e0 ELSE 0.5e0 END, 0) AS weight,
+  CASE WHEN rainfall_7d > rain_max THEN 30 ELSE 0 END + CASE WHEN rainfall_7d < rain_min THEN 30 ELSE 0 END
+  + CASE WHEN temp_max_7d > t_max THEN 25 ELSE 0 END + CASE WHEN temp_min_7d < t_min THEN 25 ELSE 0 END + CASE WHEN humidity_7d > rh_max THEN 20 ELSE 0 END AS points,
+  CASE WHEN abs(temp_mean_7d - temp_optimal) > 8 THEN 15 WHEN abs(temp_mean_7d - temp_optimal) > 5 THEN 8 ELSE 0 END AS extra
+  FROM seen s LEFT JOIN windows w ON s.crop = w.crop AND s.stage = w.stage),
+sums AS (SELECT crop, year, sample, stage, critical, district, day, least(sum(points * weight) + max(extra), 100) AS score FROM hit
+  WHERE """ + " AND ".join(f"{c} IS NOT NULL" for c in ["rainfall_3d", "rainfall_14d", "rainfall_max_day_7d", "rainfall_days_7d", "temp_max_7d", "temp_min_7d",
+                                                         "temp_std_7d", "humidity_7d", "humidity_max_7d", "hot_days_7d", "cold_days_7d", "wet_days_7d",
+                                                         "gdd_7d", "gdd_14d", "vpd_7d", "drought_7d"]) + f""" GROUP BY ALL),
+labelled AS (SELECT *, score * CASE WHEN critical THEN 1.25e0 ELSE 1 END
+  + sqrt(-2 * ln(1 - {_drawn(50, "stage")})) * cos(2 * pi() * {_drawn(51, "stage")}) * 12 AS s FROM sums)"""
+
+
+@query("g03_samples_by_year", "WITH " + SAMPLES_SQL + """
+SELECT crop, stage, CAST(extract(year FROM day) AS INT) AS year, district, count(*) AS rows, round(sum(score), 2) AS scores, CAST(min(day) AS VARCHAR) AS first, CAST(max(day) AS VARCHAR) AS last
+FROM labelled GROUP BY ALL""")
+def _(spark, sf):
+    return samples(spark, sf).groupBy("crop", "stage", F.year("current_date").alias("year"), "district").agg(
+        F.count("*").alias("rows"), r(F.sum("rule_score"), 2).alias("scores"), F.min("current_date").cast("string").alias("first"),
+        F.max("current_date").cast("string").alias("last"))
+
+
+@query("g03_training_samples", "WITH " + SAMPLES_SQL + """
+SELECT crop, stage, CASE WHEN s < 25 THEN 0 WHEN s < 50 THEN 1 ELSE 2 END AS risk_level, count(*) AS rows FROM labelled GROUP BY 1, 2, 3""")
 def _(spark, sf):
     return samples(spark, sf).groupBy("crop", "stage", "risk_level").agg(F.count("*").alias("rows"))
 
