@@ -14,7 +14,7 @@ over half the XXH64 hashes of the shingles; a text without words has fingerprint
   families: halves of two segments as they are, of which one half each is free of errors, with the Golay keys of the third).
   All keys are 33 to 36 bits wide, so chance meetings stay rare in large tables.
 * Equal fingerprints are one node. The nodes of a key are compared with one of them, the hub, which takes in large groups of
-  near copies with one row each. For keys whose nodes are not in one component yet, another hub is drawn, in a fixed number
+  near copies with one row each; what is found joins classes, so that later rounds search only classes. For keys whose nodes are not in one component yet, another hub is drawn, in a fixed number
   of rounds; then the nodes of different components that still share a key meet in a join that passes on only those within 4
   bits. So components are exact, and the rows made follow the nodes, not the pairs.
 
@@ -173,37 +173,46 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     return state.select("vertex", "class")
 
 
-def _open(members: DataFrame, links: DataFrame, label: str) -> DataFrame:
+def merged(classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``vertex, class`` after the classes of ``a, b`` rows are joined: only these are searched for components."""
+    up = components(pairs, "simhash-merge").select(F.col("vertex").alias("class"), F.col("class").alias("up"))
+    return stored(classes.join(up, "class", "left").select("vertex", F.coalesce("up", "class").alias("class")), "simhash-merged")
+
+
+def _open(members: DataFrame, classes: DataFrame) -> DataFrame:
     """``key, vertex, class`` for the keys whose vertices lie in different components."""
-    classes = components(links, label)
-    placed = stored(members.join(classes, "vertex", "left").select("key", "vertex", F.coalesce("class", "vertex").alias("class")), f"{label}-placed")
+    placed = stored(members.join(classes, "vertex"), "simhash-placed")
     spans = placed.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
-    return stored(placed.join(stored(spans.select("key"), f"{label}-spans"), "key", "left_semi"), f"{label}-open")
+    return stored(placed.join(stored(spans.select("key"), "simhash-spans"), "key", "left_semi"), "simhash-open")
 
 
-def linked(nodes: DataFrame) -> DataFrame:
-    """``a, b`` rows that connect every component of distinct fingerprints ``vertex``; not all links within a component."""
+def connected(nodes: DataFrame) -> DataFrame:
+    """``vertex, class`` of the distinct fingerprints ``vertex`` that share a key with another: the least one of their component."""
     keyed = nodes.select("vertex", F.explode(F.arrow_udf(_keys, "array<bigint>")("vertex")).alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("vertex").alias("hub")).where("n > 1")
     shared = stored(shared.select("key", "hub"), "simhash-shared")
     # the same plan at every size: the keys that chance or copies share grow with the table
     members = stored(keyed.join(shared.hint("merge"), "key"), "simhash-members")
-    to_hub = lambda rows: rows.where((F.col("hub") != F.col("vertex")) & near(F.col("hub"), F.col("vertex"))).select(
-        F.least("hub", "vertex").alias("a"), F.greatest("hub", "vertex").alias("b")).distinct()
-    links = stored(to_hub(members), "simhash-links")
-    rest = _open(members.select("key", "vertex"), links, "simhash-round")
+    ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+    links = members.where((F.col("hub") != F.col("vertex")) & near(F.col("hub"), F.col("vertex"))).select(*ordered("hub", "vertex"))
+    first = components(links.distinct(), "simhash-first")
+    members = members.select("key", "vertex")
+    classes = members.select("vertex").distinct().join(first, "vertex", "left").select("vertex", F.coalesce("class", "vertex").alias("class"))
+    classes = stored(classes, "simhash-merged")
+    rest = _open(members, classes)
     for k in range(ROUNDS):
         drawn = F.min(F.struct(F.xxhash64("vertex", "key", F.lit(k)).alias("h"), F.col("vertex").alias("hub"), F.col("class").alias("of_hub")))
         hubs = stored(rest.groupBy("key").agg(drawn.alias("d")).select("key", "d.hub", "d.of_hub"), "simhash-hubs")
-        found = stored(to_hub(rest.join(hubs, "key").where(F.col("class") != F.col("of_hub"))), "simhash-found")
+        met = rest.join(hubs, "key").where((F.col("class") != F.col("of_hub")) & near(F.col("hub"), F.col("vertex")))
+        found = stored(met.select(*ordered("class", "of_hub")).distinct(), "simhash-found")
         if found.isEmpty():
             break
-        links = stored(links.union(found), "simhash-links")
-        rest = _open(rest.select("key", "vertex"), links, "simhash-round")
-    left, right = (rest.select("key", F.col("vertex").alias(f"{side}"), F.col("class").alias(f"class_{side}")) for side in "ab")
-    meet = (F.col("class_a") < F.col("class_b")) & near(F.col("a"), F.col("b"))
-    across = left.join(right, (left["key"] == right["key"]) & meet).select("a", "b").distinct()
-    return stored(links.union(across), "simhash-links")
+        classes = merged(classes, found)
+        rest = _open(rest.select("key", "vertex"), classes)
+    left, right = (rest.select("key", F.col("vertex").alias(side), F.col("class").alias(f"class_{side}")) for side in "xy")
+    meet = (F.col("class_x") < F.col("class_y")) & near(F.col("x"), F.col("y"))
+    across = left.join(right, (left["key"] == right["key"]) & meet).select(F.col("class_x").alias("a"), F.col("class_y").alias("b")).distinct()
+    return merged(classes, stored(across, "simhash-across"))
 
 
 def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", keep: list[str] | None = None) -> DataFrame:
@@ -215,7 +224,7 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", k
     marked = df.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(keep)], F.col(doc_id).alias("id"), text_of(df, text).alias("body"))
     marked = stored(with_fingerprint(marked, "body", "vertex").drop("body"), "simhash-rows")
     nodes = stored(marked.groupBy("vertex").agg(F.min("id").alias("least")), "simhash-nodes")
-    classes = components(linked(nodes), "simhash-all")
+    classes = connected(nodes)
     known = stored(nodes.join(classes, "vertex", "left").select("vertex", "least", F.coalesce("class", "vertex").alias("class")), "simhash-known")
     top = stored(known.groupBy("class").agg(F.min("least").alias("component_id")), "simhash-top")
     found = stored(known.join(top, "class").select("vertex", "component_id"), "simhash-found")

@@ -88,24 +88,13 @@ def test_chains_and_dense_groups_are_connected(spark):
     prints += [rng.getrandbits(64) for _ in range(300)]
     prints = sorted(set(prints))
     signed = [p - (1 << 64) if p >> 63 else p for p in prints]
-    found = simhash.linked(spark.createDataFrame([(v,) for v in signed], "vertex long"))
-    pairs = {(r.a, r.b) for r in found.collect()}
-    place = {v: i for i, v in enumerate(signed)}
-    assert all((prints[place[a]] ^ prints[place[b]]).bit_count() <= 4 for a, b in pairs)
-    parent = list(range(len(prints)))
-
-    def root(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
-
-    for a, b in pairs:
-        parent[root(place[a])] = root(place[b])
-    want = plain_components(list(range(len(prints))), prints)
-    assert [root(i) == root(j) for i, j in itertools.combinations(range(len(prints)), 2)] == [
-        x == y for x, y in itertools.combinations(want, 2)]
-    # a node brings no more rows than it has keys, however large its group is
-    assert len(pairs) < 10 * len(prints) < sum((a ^ b).bit_count() <= 4 for a, b in itertools.combinations(prints, 2))
+    found = simhash.connected(spark.createDataFrame([(v,) for v in signed], "vertex long"))
+    classes = {r.vertex: r["class"] for r in found.collect()}
+    assert len(classes) == found.count()
+    got = [classes.get(v, v) for v in signed]
+    want = plain_components(signed, prints)
+    assert [x == y for x, y in itertools.combinations(got, 2)] == [x == y for x, y in itertools.combinations(want, 2)]
+    assert set(got) <= set(signed) and len(set(want)) < len(want) - 300
 
 
 def test_cases(spark, docs):
