@@ -11,15 +11,16 @@ text of fewer words is one run), and two documents are linked if the Jaccard sim
   threshold is under ``tolerance`` divided by the number of steps, so all steps together drop no more of the pairs at 0.8.
 * The rest is verified exactly on the sets of shingle hashes.
 
-Groups of copies are not expanded into pairs. First each vertex is compared with the hub of each of its bands, the vertex
-that shares most bands with others (in a group of edited copies, the one that was edited least); verified links join
-vertices into classes. Then only bands that hold vertices of different classes are looked at again. In a fixed number of
-rounds, a vertex drawn anew for each of these bands meets its vertices of other classes. At last the vertices of different
-classes that are left meet, and the join itself passes a pair on only at the first band that the two share and if their MinHash
-values leave it a chance. A band with more than ``wide`` such vertices (a passage that many documents share) is first
-divided by a second common band. So the classes are the connected components of all links, while the links kept in a large
-group grow with its members. What is compared there still grows with the members times those that lie over 0.2 from
-the hub; no cap is set on it, since each of them may be linked to any other.
+Groups of copies are not expanded into pairs. The hub of a band is its vertex that shares most bands with others (in a group
+of edited copies, the one that was edited least). First each vertex is compared with the best hub of its bands alone; verified
+links join vertices into classes. Then only bands that hold vertices of different classes are looked at again: each band's own
+hub and, in a fixed number of rounds, a vertex drawn anew for each band meet its vertices of other classes. At last the
+vertices of different classes that are left meet, and the join itself passes a pair on only at the first band that the two
+share and if their MinHash values leave it a chance. The vertices of a band are dealt to cells of about ``wide`` by ``wide``, each
+pair to one cell, so a band of any size is spread over tasks and the result does not depend on ``wide``. So the classes are the
+connected components of all links, while the links kept in a large group grow with its members. What is compared there
+still grows with the members times those that lie over 0.2 from the hub; no cap is set on it, since each of them may be
+linked to any other.
 
 ``near_duplicates`` returns for every row its class (the least ``doc_id`` in it, with the text hash that goes with it), the
 size of the class, the copies with the same set, ``n_links``, the verified links of its vertex that the join kept, and
@@ -286,8 +287,8 @@ def links(documents: DataFrame, tolerance: float, wide: int) -> tuple[DataFrame,
     weights = members.groupBy("vertex").agg(F.sum(F.col("n") - 1).alias("weight"))
     heaviest = F.max(F.struct("weight", (-F.col("vertex")).alias("v")))
     hubs = members.join(stored(weights, "join-weights"), "vertex").groupBy("band").agg(heaviest.alias("h"))
-    members = members.join(stored(hubs.select("band", (-F.col("h.v")).alias("hub")), "join-hubs"), "band").select("band", "hub", "vertex")
-    members = stored(members, "join-hubbed")
+    hubs = stored(hubs.select("band", (-F.col("h.v")).alias("hub"), F.col("h.weight").alias("weight")), "join-hubs")
+    members = stored(members.join(hubs, "band").select("band", "hub", "vertex", "weight"), "join-hubbed")
     inside = stored(members.select("vertex").distinct(), "join-inside")
     near = stored(vertices.join(inside, "vertex", "left_semi"), "join-near")
     reps = near.select(F.col("rep.id").alias("r_id"), F.col("rep.text_hash").alias("r_hash"), "vertex")
@@ -296,32 +297,33 @@ def links(documents: DataFrame, tolerance: float, wide: int) -> tuple[DataFrame,
     sets, signatures = stored(sets, "join-sets"), near.select("vertex", "sig")
 
     pair = (F.least("hub", "vertex").alias("a"), F.greatest("hub", "vertex").alias("b"))
-    first = verified(members.where("hub <> vertex").select(*pair), signatures, sets, tolerance, "join-first")
-    members = members.select("band", "vertex")
-    open_rows = still_open(members, first)
-    for k in range(ROUNDS):
+    best = members.groupBy("vertex").agg(F.max(F.struct("weight", (-F.col("hub")).alias("v"))).alias("h")).select("vertex", (-F.col("h.v")).alias("hub"))
+    first = verified(best.where("hub <> vertex").select(*pair), signatures, sets, tolerance, "join-first")
+    open_rows = still_open(members.select("band", "vertex"), first)
+    for k in range(-1, ROUNDS):
         # one vertex of each band, drawn anew, meets those of other classes: a vertex that is linked to many is soon in their class
-        drawn = F.min(F.struct(F.xxhash64("vertex", "band", F.lit(k)).alias("h"), F.col("vertex").alias("hub"), F.col("class").alias("of_hub")))
-        hubs = stored(open_rows.groupBy("band").agg(drawn.alias("d")).select("band", "d.hub", "d.of_hub"), "join-drawn")
-        pairs = open_rows.join(hubs, "band").where(F.col("class") != F.col("of_hub")).select(*pair)
+        # (in the first of these rounds it is the band's own hub)
+        if k < 0:
+            drawn = open_rows.join(hubs.select("band", F.col("hub").alias("vertex")), ["band", "vertex"]).select("band", F.col("vertex").alias("hub"), F.col("class").alias("of_hub"))
+        else:
+            least = F.min(F.struct(F.xxhash64("vertex", "band", F.lit(k)).alias("h"), F.col("vertex").alias("hub"), F.col("class").alias("of_hub")))
+            drawn = open_rows.groupBy("band").agg(least.alias("d")).select("band", "d.hub", "d.of_hub")
+        pairs = open_rows.join(stored(drawn, "join-drawn"), "band").where(F.col("class") != F.col("of_hub")).select(*pair)
         found = verified(pairs, signatures, sets, tolerance, "join-round")
         if found.isEmpty():
-            break
+            continue
         first = stored(first.union(found).distinct(), "join-linked")
         open_rows = still_open(open_rows.select("band", "vertex"), first)
-    narrow = open_rows.where(F.col("n") <= wide).select("band", "vertex", "class")
-    broad = open_rows.where(F.col("n") > wide).select("band", "vertex", "class")
-    second = members.select(F.col("band").alias("band2"), "vertex")
-    divided = broad.join(second, "vertex").where("band <> band2")
-    divided = divided.select(F.xxhash64(F.least("band", "band2"), F.greatest("band", "band2")).alias("band"), "vertex", "class").distinct()
-    # every row brings its values; a pair passes at the first key that both have, so it passes once
-    rows = narrow.union(divided).withColumnRenamed("band", "key").join(near.select("vertex", "sig", "bands"), "vertex")
+    # every row brings its values; a pair meets in one cell of each common band and passes at the first of these, so it passes once
+    rows = open_rows.withColumnRenamed("band", "key").join(near.select("vertex", "sig", "bands"), "vertex")
+    rows = rows.withColumn("parts", F.ceil(F.col("n") / wide)).withColumn("part", F.pmod(F.xxhash64("vertex", "key"), F.col("parts")))
     rows = stored(rows.withColumn("sig", F.arrow_udf(_values, "array<int>")("sig")), "join-across")
-    left = rows.select("key", *[F.col(c).alias(f"{c}_x") for c in ("vertex", "class", "sig", "bands")])
-    right = rows.select("key", *[F.col(c).alias(f"{c}_y") for c in ("vertex", "class", "sig", "bands")])
-    common = F.get(F.array_intersect("bands_x", "bands_y"), F.lit(0))  # in the order of the bands
-    first_key = (common == left["key"]) | ~F.array_contains("bands_x", left["key"])
-    meet = (left["key"] == right["key"]) & (F.col("class_x") < F.col("class_y")) & first_key & may_be_linked(F.col("sig_x"), F.col("sig_y"), tolerance)
+    each_part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    side = lambda s, own, other: rows.select("key", F.col("part").alias(own), each_part.alias(other), *[F.col(c).alias(f"{c}_{s}") for c in ("vertex", "class", "sig", "bands")])
+    left, right = side("x", "i", "j"), side("y", "j", "i")
+    first_key = F.get(F.array_intersect("bands_x", "bands_y"), F.lit(0)) == left["key"]  # in the order of the bands
+    cell = (left["key"] == right["key"]) & (left["i"] == right["i"]) & (left["j"] == right["j"])
+    meet = cell & (F.col("class_x") < F.col("class_y")) & first_key & may_be_linked(F.col("sig_x"), F.col("sig_y"), tolerance)
     across = left.join(right, meet).select(F.least("vertex_x", "vertex_y").alias("a"), F.greatest("vertex_x", "vertex_y").alias("b"))
     later = verified(across, signatures, sets, tolerance, "join-across")
     return sketch, stored(first.union(later), "join-links"), sets

@@ -130,3 +130,35 @@ def test_all_pruning_steps_together_keep_the_bound():
             lost += p[:need].sum()
             p[:need] = 0
     assert 0 < lost <= 1e-5
+
+
+def test_result_does_not_depend_on_wide(docs):
+    """Pairs near the threshold that share one band alone: with a small ``wide`` they were lost."""
+    random.seed(11)
+    base = [f"w{random.randrange(4000)}" for _ in range(90)]
+    rows = []
+    for k in range(40):
+        copy = list(base)
+        for e in range(2):
+            copy[(k * 7 + e * 41) % 90] = f"x{k}_{e}"
+        rows.append((k, " ".join(copy)))
+    assert {r.id: r.class_id for r in J.near_duplicates(docs(rows), wide=3, count_all=False).collect()} == brute(rows)
+
+
+def test_each_vertex_first_meets_one_hub(docs, monkeypatch):
+    """In a group of edited copies the pairs that are compared grow with the members, not with members times bands."""
+    random.seed(4)
+    base = [f"w{random.randrange(1000)}" for _ in range(150)]
+    rows, asked, real = [], [], J.verified
+    for k in range(150):
+        copy = list(base)
+        copy[random.randrange(150)] = f"x{k}"
+        rows.append((k, " ".join(copy)))
+
+    def counted(pairs, *rest):
+        asked.append(pairs.distinct().count())
+        return real(pairs, *rest)
+
+    monkeypatch.setattr(J, "verified", counted)
+    assert {r.class_id for r in J.near_duplicates(docs(rows), count_all=False).collect()} == {0}
+    assert sum(asked) < 2 * 150
