@@ -32,8 +32,6 @@ from pyspark.sql import DataFrame, functions as F
 from harvestline.llm.common import sample_keys, with_struct
 
 NAMES, WORDS, NAME_DIM, WORD_DIM, HIDDEN = 2048, 2048, 16, 6, 20
-MAX_WORDS = 48  # words of a block that are looked at evenly over its whole length; the text itself is never cut
-PATH_NAMES = 24
 BATCH = 64
 OUTPUTS = ("text", "n_chars")
 
@@ -123,7 +121,7 @@ def parse(page: str) -> list[Block]:
             names = [tag]
             if "=" in m.group(3):
                 for kind, *values in ATTRIBUTE.findall(m.group(3)):
-                    names += [f".{w.lower()}" for w in NAME.findall("".join(values))][:8]
+                    names += [f".{w.lower()}" for w in NAME.findall("".join(values))]
             stack.append((tag, tuple(names)))
     flush()
     return blocks
@@ -142,17 +140,14 @@ def hashed(name: str, size: int) -> int:
     return zlib.crc32(name.encode()) % size
 
 
-def features(blocks: list[Block]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashed path names (-1: none), hashed words (-1: none) and numbers for each block."""
-    names = np.full((len(blocks), PATH_NAMES), -1, np.int32)
-    words = np.full((len(blocks), MAX_WORDS), -1, np.int32)
+def features(blocks: list[Block]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """All hashed path names, all hashed words and numbers for each block."""
+    names, words = [], []
     numbers = np.zeros((len(blocks), 3), np.float32)
     for k, b in enumerate(blocks):
-        path = [hashed(n, NAMES) for n in b.path[-(PATH_NAMES - 1):]] + [hashed(f"leaf:{b.path[-1] if b.path else ''}", NAMES)]
-        names[k, :len(path)] = path
         w = b.text.lower().split()
-        picked = w if len(w) <= MAX_WORDS else [w[i * len(w) // MAX_WORDS] for i in range(MAX_WORDS)]
-        words[k, :len(picked)] = [hashed(x, WORDS) for x in picked]
+        names.append(np.array([hashed(n, NAMES) for n in (*b.path, f"leaf:{b.path[-1] if b.path else ''}")], np.int32))
+        words.append(np.array([hashed(x, WORDS) for x in w], np.int32))
         numbers[k] = np.log1p(len(b.text)) / 8, b.link_share, 1 / (1 + len(w))
     return names, words, numbers
 
@@ -190,27 +185,38 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def padded(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[list[np.ndarray], np.ndarray]:
+Ids = tuple[np.ndarray, np.ndarray]  # the ids of all places one after another, and how many each place has
+
+
+def padded(rows: list[tuple[list[np.ndarray], list[np.ndarray], np.ndarray]]) -> tuple[tuple[Ids, Ids, np.ndarray], np.ndarray]:
     """Sequences side by side: time x page; and which places are filled."""
-    longest = max(len(r[0]) for r in rows)
-    parts = []
-    for k, fill in enumerate((-1, -1, 0)):
-        out = np.full((longest, len(rows), rows[0][k].shape[1]), fill, rows[0][k].dtype)
-        for j, r in enumerate(rows):
-            out[:len(r[k]), j] = r[k]
-        parts.append(out)
+    longest, none = max(len(r[2]) for r in rows), np.zeros(0, np.int32)
+    ids = []
+    for k in (0, 1):
+        own = [r[k][t] if t < len(r[k]) else none for t in range(longest) for r in rows]
+        ids.append((np.concatenate(own), np.array([len(x) for x in own])))
+    numbers = np.zeros((longest, len(rows), 3), np.float32)
     mask = np.zeros((longest, len(rows), 1), np.float32)
     for j, r in enumerate(rows):
-        mask[:len(r[0]), j] = 1
-    return parts, mask
+        numbers[:len(r[2]), j] = r[2]
+        mask[:len(r[2]), j] = 1
+    return (*ids, numbers), mask
+
+
+def summed(table: np.ndarray, ids: Ids) -> np.ndarray:
+    """The sum of the vectors of each place."""
+    flat, sizes = ids
+    out, filled = np.zeros((len(sizes), table.shape[1]), np.float32), np.flatnonzero(sizes)
+    if len(filled):
+        out[filled] = np.add.reduceat(table[flat], np.r_[0, np.cumsum(sizes[filled])[:-1]])
+    return out
 
 
-def embed(net: Labeller, parts: list[np.ndarray]) -> np.ndarray:
+def embed(net: Labeller, parts: tuple[Ids, Ids, np.ndarray]) -> np.ndarray:
     names, words, numbers = parts
-    has_name, has_word = (names >= 0)[..., None], (words >= 0)[..., None]
-    n = (net.names[names] * has_name).sum(2)
-    w = (net.words[words] * has_word).sum(2) / np.maximum(1, has_word.sum(2))
-    return np.concatenate([n, w, numbers], axis=2).astype(np.float32)
+    n, w = summed(net.names, names), summed(net.words, words) / np.maximum(1, words[1])[:, None]
+    at = lambda v: v.reshape(*numbers.shape[:2], -1)
+    return np.concatenate([at(n), at(w), numbers], axis=2).astype(np.float32)
 
 
 def lstm(x: np.ndarray, mask: np.ndarray, wx: np.ndarray, wh: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, list]:
@@ -248,7 +254,7 @@ def lstm_back(d_states: np.ndarray, x: np.ndarray, mask: np.ndarray, wx: np.ndar
     return dz @ wx.T, x.reshape(-1, x.shape[2]).T @ flat, d_wh, flat.sum(0)
 
 
-def run(net: Labeller, parts: list[np.ndarray], mask: np.ndarray) -> tuple[np.ndarray, tuple]:
+def run(net: Labeller, parts: tuple[Ids, Ids, np.ndarray], mask: np.ndarray) -> tuple[np.ndarray, tuple]:
     """Logits of the blocks. The backward direction reads the padding first, which leaves its state as it is."""
     x = embed(net, parts)
     ahead, tape_a = lstm(x, mask, net.forward_x, net.forward_h, net.forward_b)
@@ -369,11 +375,10 @@ def train(pages: list[str], seed: int = 3, frames: int = 4, passes: int = 5, bat
             dx = da + db[::-1]
             names, words, _ = parts
             d_names, d_words = np.zeros_like(net.names), np.zeros_like(net.words)
-            at = names >= 0
-            np.add.at(d_names, names[at], np.broadcast_to(dx[:, :, None, :NAME_DIM], (*names.shape, NAME_DIM))[at])
-            at = words >= 0
-            share = dx[..., NAME_DIM:NAME_DIM + WORD_DIM] / np.maximum(1, at.sum(2))[..., None]
-            np.add.at(d_words, words[at], np.broadcast_to(share[:, :, None], (*words.shape, WORD_DIM))[at])
+            rows_of = lambda v, ids: np.repeat(v.reshape(len(ids[1]), -1), ids[1], axis=0)
+            np.add.at(d_names, names[0], rows_of(dx[..., :NAME_DIM], names))
+            share = dx[..., NAME_DIM:NAME_DIM + WORD_DIM].reshape(-1, WORD_DIM) / np.maximum(1, words[1])[:, None]
+            np.add.at(d_words, words[0], rows_of(share, words))
             grads = [d_names, d_words, *ga, *gb, np.einsum("tb,tbh->h", d, both), np.array([d.sum()], np.float32)]
             step += 1
             now = rate * min(1.0, 2 * (1 - step / (total + 1)))

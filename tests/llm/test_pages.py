@@ -79,3 +79,19 @@ def test_open_quotes_take_linear_time():
     assert P.parse("<a \"'" * 30_000) is not None
     assert time.time() - began < 5
     assert [b.text for b in P.parse("<p class='x>one</p><p title=\"a>b\">two</p>")] == ["one", "two"]
+
+
+def test_every_word_and_name_counts():
+    words = [f"w{k}" for k in range(200)]
+    one = P.Block(tuple(f"n{k}" for k in range(60)), " ".join(words), 0.0)
+    names, found, _ = P.features([one])
+    assert len(found[0]) == 200 and len(names[0]) == 61
+    net = P.new_labeller(np.random.default_rng(0))
+    at = lambda b: P.embed(net, P.padded([P.features([b])])[0])[0, 0]
+    for k in range(0, 200, 13):  # any word moves the mean, any name the sum
+        assert (at(P.Block(one.path, " ".join([*words[:k], "other", *words[k + 1:]]), 0.0)) != at(one)).any()
+    assert (at(P.Block(("other", *one.path[1:]), one.text, 0.0)) != at(one)).any()
+    assert "." + "k" in P.parse("<div class='a b c d e f g h i j k'><p>t")[0].path
+    two = P.padded([P.features([one, P.Block((), "a b", 0.0)]), P.features([one])])
+    x = P.embed(net, two[0])
+    assert np.allclose(x[0, 0], at(one)) and np.allclose(x[0, 1], at(one)) and (x[1, 1] == 0).all() and two[1][1, 1] == 0
