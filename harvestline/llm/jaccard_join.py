@@ -15,9 +15,9 @@ Groups of copies are not expanded into pairs. The hub of a band is its vertex th
 of edited copies, the one that was edited least). First each vertex is compared with the best hub of its bands alone; verified
 links join vertices into classes. Then only bands that hold vertices of different classes are looked at again: each band's own
 hub and, in a fixed number of rounds, a vertex drawn anew for each band meet its vertices of other classes. At last the
-vertices of different classes that are left meet, and the join itself passes a pair on only at the first band that the two
-share and if their MinHash values leave it a chance. The vertices of a band are dealt to cells of about ``wide`` by ``wide``, each
-pair to one cell, so a band of any size is spread over tasks and the result does not depend on ``wide``. So the classes are the
+vertices of different classes that are left meet, and a pair is passed on only at the first band that the two share and if
+their MinHash values leave it a chance. The vertices of a band are dealt to cells of ``wide`` by ``wide`` at most, each pair to
+one cell, so a band of any size is spread over tasks and the result does not depend on ``wide``. So the classes are the
 connected components of all links, while the links kept in a large group grow with its members. What is compared there
 still grows with the members times those that lie over 0.2 from the hub; no cap is set on it, since each of them may be
 linked to any other.
@@ -50,6 +50,7 @@ CHECKS = (64, 160, 400, VALUES)  # after so many values a pair is given up withi
 STEP = 8
 BLOCK_BYTES = 1 << 20
 LEAST_BLOCK, MOST_BLOCK = 64, 512  # vertices on a side of a block of comparisons
+LEAST_PART = 256  # vertices of a band that meet others together
 ROUNDS = 2  # of drawn hubs, before what is left meets pair by pair
 _RNG = np.random.default_rng(20_240_501)
 FACTORS = _RNG.integers(1, 1 << 63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -110,12 +111,6 @@ def _sketch(texts: pa.Array) -> pa.Array:
                                       ["vertex", "n_shingles", "sig", "bands"])
 
 
-def _values(sig: pa.Array) -> pa.Array:
-    """Signatures as lists of their values, each with its place, so that lists agree in as many elements as signatures."""
-    flat = np.frombuffer(b"".join(sig.to_pylist()), np.uint8).reshape(-1, VALUES) + (np.arange(VALUES, dtype=np.int32) << 8)
-    return pa.ListArray.from_arrays(pa.array(np.arange(len(sig) + 1) * VALUES, pa.int32()), pa.array(flat.astype(np.int32).ravel()))
-
-
 def _shingles(texts: pa.Array) -> pa.Array:
     data, starts = buffers(texts)
     out: list[bytes] = []
@@ -224,14 +219,63 @@ def all_links(found: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFram
     return stored(known.union(more).groupBy("vertex").agg(F.sum("n").alias("n_similar")), "join-similar")
 
 
-def may_be_linked(a: Column, b: Column, tolerance: float) -> Column:
-    """The posterior test within a join, on lists of placed values: more of them are compared while the pair has a chance."""
-    least, test = least_matches(tolerance), None
-    for high in CHECKS:
-        part = lambda v: F.slice(v, 1, high)  # noqa: B023, E731
-        step = F.size(F.array_intersect(part(a), part(b))) >= int(least[high // STEP - 1])
-        test = step if test is None else test & step
-    return test
+def _meet(tolerance: float):
+    """Pairs of a cell that may be linked: of different classes, at the first band they share, pruned by their values."""
+    least = least_matches(tolerance)
+
+    def meet(key: tuple, rows: pa.Table) -> pa.Table:
+        band, n = key[0].as_py(), rows.num_rows
+        vertex, cls, side = (rows[c].to_numpy() for c in ("vertex", "class", "side"))
+        flat = lambda c: b"".join(rows[c].combine_chunks().to_pylist())
+        sig = np.frombuffer(flat("sig"), np.uint8).reshape(n, VALUES)
+        bands = rows["bands"].combine_chunks().flatten().to_numpy().reshape(n, BANDS)
+        earlier = bands[:, :int(np.argmax(bands[0] == band))]
+        out = []
+        for x in np.flatnonzero(side < 2):  # sides 0 and 2 meet, and rows of side 1 meet each other
+            ys = np.flatnonzero(side == 2) if side[x] == 0 else x + 1 + np.flatnonzero(side[x + 1:] == 1)
+            ys = ys[cls[ys] != cls[x]]
+            ys = ys[~(earlier[ys] == earlier[x]).any(axis=1)]
+            low, matches = 0, np.zeros(len(ys), np.int64)
+            for high in CHECKS:
+                matches += (sig[ys, low:high] == sig[x, low:high]).sum(axis=1)
+                alive = matches >= least[high // STEP - 1]
+                ys, matches, low = ys[alive], matches[alive], high
+                if not len(ys):
+                    break
+            if len(ys):
+                out.append((np.minimum(vertex[x], vertex[ys]), np.maximum(vertex[x], vertex[ys])))
+        ends = [np.concatenate(e) for e in zip(*out)] if out else [np.zeros(0, np.int64)] * 2
+        return pa.table({"a": pa.array(ends[0], pa.int64()), "b": pa.array(ends[1], pa.int64())})
+
+    return meet
+
+
+def dealt(open_rows: DataFrame, wide: int) -> DataFrame:
+    """``band, vertex, class`` with the cells ``i, j`` where a vertex meets others, and its ``side`` there.
+
+    The largest class of a band needs no pairs of its own, so it is one side and the other vertices are the other; both are dealt
+    to parts of an eighth of the band, LEAST_PART at least and ``wide`` at most. A part of the one meets each part of the other,
+    and the others' parts meet each other, so two vertices of different classes meet in one cell of each band they share.
+    """
+    sizes = open_rows.groupBy("band", "class").agg(F.count("*").alias("m"))
+    largest = sizes.groupBy("band").agg(F.max(F.struct("m", "class")).alias("l"))
+    width = F.least(F.lit(wide), F.greatest(F.lit(LEAST_PART), F.ceil(F.col("n") / 8)))
+    rows = open_rows.join(stored(largest, "join-largest"), "band").select(
+        "band", "vertex", "class", (F.col("class") == F.col("l.class")).alias("inner"), F.ceil(F.col("l.m") / width).alias("inners"),
+        F.ceil((F.col("n") - F.col("l.m")) / width).alias("outers"))
+    part = F.pmod(F.xxhash64("vertex", "band"), F.when(F.col("inner"), F.col("inners")).otherwise(F.col("outers")))
+    each = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    cell = lambda i, j, side: F.struct(i.alias("i"), j.alias("j"), F.lit(side).alias("side"))
+    among = F.transform(each("outers"), lambda k: F.when(k == F.col("part"), cell(k, -k - 1, 1)).otherwise(
+        cell(F.least("part", k), -F.greatest("part", k) - 1, 0).withField("side", F.when(F.col("part") < k, 0).otherwise(2))))
+    cells = F.when(F.col("inner"), F.transform(each("outers"), lambda k: cell(k, F.col("part"), 2))).otherwise(
+        F.concat(F.transform(each("inners"), lambda k: cell(F.col("part"), k, 0)), among))
+    return rows.withColumn("part", part).select("band", "vertex", "class", F.inline(cells))
+
+
+def left_to_meet(open_rows: DataFrame, near: DataFrame, tolerance: float, wide: int) -> DataFrame:
+    """``a, b`` of vertices of different classes that share a band and may be linked; each pair passes once."""
+    return dealt(open_rows, wide).join(near.select("vertex", "sig", "bands"), "vertex").groupBy("band", "i", "j").applyInArrow(_meet(tolerance), "a long, b long")
 
 
 def components(edges: DataFrame, label: str) -> DataFrame:
@@ -314,17 +358,7 @@ def links(documents: DataFrame, tolerance: float, wide: int) -> tuple[DataFrame,
             continue
         first = stored(first.union(found).distinct(), "join-linked")
         open_rows = still_open(open_rows.select("band", "vertex"), first)
-    # every row brings its values; a pair meets in one cell of each common band and passes at the first of these, so it passes once
-    rows = open_rows.withColumnRenamed("band", "key").join(near.select("vertex", "sig", "bands"), "vertex")
-    rows = rows.withColumn("parts", F.ceil(F.col("n") / wide)).withColumn("part", F.pmod(F.xxhash64("vertex", "key"), F.col("parts")))
-    rows = stored(rows.withColumn("sig", F.arrow_udf(_values, "array<int>")("sig")), "join-across")
-    each_part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
-    side = lambda s, own, other: rows.select("key", F.col("part").alias(own), each_part.alias(other), *[F.col(c).alias(f"{c}_{s}") for c in ("vertex", "class", "sig", "bands")])
-    left, right = side("x", "i", "j"), side("y", "j", "i")
-    first_key = F.get(F.array_intersect("bands_x", "bands_y"), F.lit(0)) == left["key"]  # in the order of the bands
-    cell = (left["key"] == right["key"]) & (left["i"] == right["i"]) & (left["j"] == right["j"])
-    meet = cell & (F.col("class_x") < F.col("class_y")) & first_key & may_be_linked(F.col("sig_x"), F.col("sig_y"), tolerance)
-    across = left.join(right, meet).select(F.least("vertex_x", "vertex_y").alias("a"), F.greatest("vertex_x", "vertex_y").alias("b"))
+    across = left_to_meet(open_rows, near, tolerance, wide)
     later = verified(across, signatures, sets, tolerance, "join-across")
     return sketch, stored(first.union(later), "join-links"), sets
 

@@ -162,3 +162,14 @@ def test_each_vertex_first_meets_one_hub(docs, monkeypatch):
     monkeypatch.setattr(J, "verified", counted)
     assert {r.class_id for r in J.near_duplicates(docs(rows), count_all=False).collect()} == {0}
     assert sum(asked) < 2 * 150
+
+
+def test_cells_hold_each_pair_of_different_classes_once(spark):
+    """The largest class of a band is sent once for each part of the others, however many parts it has itself."""
+    for inner, outer, wide in ((60, 3, 4), (5, 30, 4), (7, 1, 4096)):
+        band = [(1, v, 0 if v < inner else v, inner + outer) for v in range(inner + outer)]
+        cells = J.dealt(spark.createDataFrame(band, "band long, vertex long, class long, n long"), wide).collect()
+        met = [tuple(sorted((x.vertex, y.vertex))) for k, x in enumerate(cells) for y in cells[:k]
+               if (x.i, x.j) == (y.i, y.j) and {x.side, y.side} in ({0, 2}, {1}) and x["class"] != y["class"]]
+        assert len(met) == len(set(met)) == inner * outer + outer * (outer - 1) // 2
+        assert sum(c.vertex < inner for c in cells) == inner * -(-outer // wide)
