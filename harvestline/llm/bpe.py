@@ -25,7 +25,7 @@ from harvestline.llm.common import buffers, sha256, with_struct
 
 END = "\0"
 #: Bytes that a memory of encoded pieces may take, by an estimate of ENTRY_BYTES for an entry beside its texts.
-CACHED_BYTES, ENTRY_BYTES = 12 << 20, 200
+CACHED_BYTES, ENTRY_BYTES = 32 << 20, 200
 CACHED_LENGTH = 48
 CACHED_PAIRS = 100_000
 PAIR = 1 << 32
@@ -41,15 +41,22 @@ def byte_alphabet() -> list[str]:
 
 
 class Memory(dict):
-    """Encoded pieces by their text: a bounded memory that starts anew when it is full."""
+    """Encoded pieces by their text: a bounded memory in two halves.
+
+    When the newer half is full it becomes the older one, and what is asked for again comes over from there; pieces that are
+    met once go, and frequent ones stay.
+    """
 
     def __init__(self, encode):
-        self.encode, self.size = encode, 0
+        self.encode, self.size, self.before = encode, 0, {}
 
     def __missing__(self, piece: str) -> bytes:
-        got = self.encode(piece)
+        got = self.before.get(piece)
+        if got is None:
+            got = self.encode(piece)
         if len(piece) <= CACHED_LENGTH:
-            if self.size >= CACHED_BYTES:
+            if 2 * self.size >= CACHED_BYTES:
+                self.before = dict(self)
                 self.clear()
                 self.size = 0
             self.size += ENTRY_BYTES + len(piece) + len(got)
@@ -140,8 +147,11 @@ class Vocabulary:
 
     def encode_word(self, word: str) -> bytes:
         """Ids of one word, given without its end mark."""
-        alphabet = self.alphabet
-        text = "".join([alphabet[b] for b in word.encode()]) + END
+        if word.isascii() and word.isprintable() and " " not in word:  # these bytes stand for themselves
+            text = word + END
+        else:
+            alphabet = self.alphabet
+            text = "".join([alphabet[b] for b in word.encode()]) + END
         n = len(text)
         longest: list[int | None] = [None] * n
         length, shorter = self.length, self.shorter
@@ -175,11 +185,16 @@ class Vocabulary:
 
     def encode_piece(self, piece: str) -> bytes:
         """Ids of a piece of text that holds no special token."""
-        if not piece.isascii() and not unicodedata.is_normalized("NFC", piece):
-            piece = unicodedata.normalize("NFC", piece)
-        piece = piece.replace("Σ", "σ").lower()  # one character at a time: no final sigma
-        if piece.isascii() and piece.isalpha():
-            return self.known_words[piece]
+        if piece.isascii():
+            piece = piece.lower()
+            if piece.isalpha():
+                return self.known_words[piece]
+        else:
+            if not unicodedata.is_normalized("NFC", piece):
+                piece = unicodedata.normalize("NFC", piece)
+            piece = piece.replace("Σ", "σ").lower()  # one character at a time: no final sigma
+            if piece.isascii() and piece.isalpha():
+                return self.known_words[piece]
         return b"".join([self.known_words[w] for w in self.words.findall(piece)])
 
     def encode(self, text: str) -> bytes:

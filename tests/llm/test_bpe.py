@@ -53,3 +53,14 @@ def test_memory_starts_anew_when_full(monkeypatch):
     assert v.encode(text) == bpe.vocabulary(bpe.read_spec()).encode(text)
     assert len(v.runs) <= 3
     assert len(v.fits) <= 2
+
+
+def test_frequent_pieces_stay_when_the_memory_is_full(monkeypatch):
+    """A piece that comes again and again is encoded once, however many others are met once in between."""
+    monkeypatch.setattr(bpe, "CACHED_BYTES", 8 * (bpe.ENTRY_BYTES + 16))
+    asked = []
+    memory = bpe.Memory(lambda piece: asked.append(piece) or piece.encode())
+    for k in range(60):
+        assert memory["the"] == b"the" and memory[f"once{k}"] == f"once{k}".encode()
+        assert len(memory) + len(memory.before) <= 2 * 6
+    assert asked.count("the") == 1 and len(asked) == 61
