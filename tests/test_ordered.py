@@ -122,3 +122,28 @@ def test_a_hot_day_is_filled_in_blocks(series, rows, block_rows):
     whole = I.impute(data, ["x", "y"], order=["id"], fallback={"x": -1.0, "y": -2.0})
     cut = I.impute(data, ["x", "y"], order=["id"], fallback={"x": -1.0, "y": -2.0}, block_rows=block_rows)
     assert rows(cut, "id", "x", "y", "x_imputed", "has_weather") == rows(whole, "id", "x", "y", "x_imputed", "has_weather")
+
+
+def test_rolling_statistics_come_from_shorter_frames_and_equal_whole_frames(spark):
+    """No frame of 30 rows is passed over for each row; gaps, short series, equal values and lengths off the chain count right."""
+    values = [None, 5.0, 0.1, 0.1, 0.1, 0.1, 0.1, 0.1, 0.1, 0.1, 1e5, None, 7.25] * 4
+    rows = [(s, i, v) for s, n in (("a", 52), ("b", 3), ("c", 1)) for i, v in enumerate(values[:n])]
+    df = spark.createDataFrame(rows, "s string, i int, v double")
+    w, ns = Window.partitionBy("s").orderBy("i"), [1, 2, 3, 7, 14, 30, 45]
+    frames = {}
+    for n in ns:
+        frame = w.rowsBetween(-n, -1)
+        frames |= {f"x_{n}_mean": F.avg("v").over(frame), f"x_{n}_std": F.stddev_samp("v").over(frame),
+                   f"x_{n}_min": F.min("v").over(frame), f"x_{n}_max": F.max("v").over(frame)}
+    got = ordered.with_stages(df.withColumns(frames), W.rolling_stages(w, "v", ns))
+    assert not [c for c in got.columns if c.startswith("_")]
+    for row in got.collect():
+        for n in ns:
+            for fn in ("mean", "std", "min", "max"):
+                want, have = row[f"x_{n}_{fn}"], row[f"price_rolling_{fn}_{n}d"]
+                assert have == want if want is None or fn in ("min", "max") else have == pytest.approx(want, rel=1e-12, abs=1e-12), (row["s"], row["i"], n, fn)
+    equal = got.filter("s = 'a' and i = 9").first()
+    assert equal["price_rolling_std_7d"] == 0.0
+    plan = W.price_features(df.withColumnsRenamed({"s": "commodity", "v": "modal_price"}).withColumns(
+        {"market": F.lit("m"), "arrival_date": F.date_add(F.lit("2024-01-01").cast("date"), F.col("i"))}), ["i"])
+    assert "-30, -1" not in plan._jdf.queryExecution().analyzed().toString()

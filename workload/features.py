@@ -30,7 +30,7 @@ SELECT commodity, market, l_orderkey, l_linenumber, round(modal_price + 3e-7, 3)
                          for n in vocab.ROLLING for fn, name in (("avg", "mean"), ("stddev_samp", "std"), ("min", "min"), ("max", "max")))}
 FROM prices""")
 def _(spark, sf):
-    out = over_rows(prices(spark, sf), W.SERIES, "arrival_date", ORDER, lambda w: W.rolling_columns(w, "modal_price"), back=30)
+    out = over_rows(prices(spark, sf), W.SERIES, "arrival_date", ORDER, lambda w: W.rolling_stages(w, "modal_price"), back=30)
     return rounded(out.select(*ID, *[c for c in out.columns if c.startswith("price_rolling")]), 3, 3e-7)
 
 
@@ -40,8 +40,9 @@ SELECT {IDS}, {", ".join(f"round(lag(modal_price, 1) OVER w - lag(modal_price, {
   {", ".join(f"round((modal_price - lag(modal_price, {n}) OVER w) / lag(modal_price, {n}) OVER w, 5) AS price_pct_change_{n}d" for n in vocab.CHANGES)}
 FROM prices {WIN}""")
 def _(spark, sf):
-    out = over_rows(prices(spark, sf), W.SERIES, "arrival_date", ORDER, lambda w: {
-        **W.momentum_columns(w, "modal_price"), **W.volatility_columns(w, "modal_price"), **W.change_columns(w, "modal_price")}, back=30)
+    out = over_rows(prices(spark, sf), W.SERIES, "arrival_date", ORDER, lambda w: [
+        {**W.momentum_columns(w, "modal_price"), **W.change_columns(w, "modal_price")}, *W.frame_stages(w, "modal_price", vocab.VOLATILITY),
+        W.volatility_columns()], back=30)
     return out.select(*ID, *[r(c, 4 if "momentum" in c else 5).alias(c) for c in out.columns
                              if c.startswith(("price_momentum", "price_volatility", "price_pct"))])
 
