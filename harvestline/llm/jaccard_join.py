@@ -14,9 +14,9 @@ text of fewer words is one run), and two documents are linked if the Jaccard sim
 Groups of copies are not expanded into pairs. The hub of a band is its vertex that shares most bands with others (in a group
 of edited copies, the one that was edited least). First each vertex is compared with the best hub of its bands alone; verified
 links join vertices into classes. Then only bands that hold vertices of different classes are looked at again: each band's own
-hub and, in a fixed number of rounds, a vertex drawn anew for each band meet its vertices of other classes. At last the
-vertices of different classes that are left meet, and a pair is passed on only at the first band that the two share and if
-their MinHash values leave it a chance. The vertices of a band are dealt to cells of ``wide`` by ``wide`` at most, each pair to
+hub meets its vertices of other classes. At last the vertices of different classes that are left meet: a pair is looked at only
+at the first band that the two share, compared exactly there if their MinHash values leave it a chance, and passed on if it is a
+link between vertices that the links of its cell do not connect yet. The vertices of a band are dealt to cells of ``wide`` by ``wide`` at most, each pair to
 one cell, so a band of any size is spread over tasks and the result does not depend on ``wide``. So the classes are the
 connected components of all links, while the links kept in a large group grow with its members. What is compared there
 still grows with the members times those that lie over 0.2 from the hub; no cap is set on it, since each of them may be
@@ -51,7 +51,6 @@ STEP = 8
 BLOCK_BYTES = 1 << 20
 LEAST_BLOCK, MOST_BLOCK = 64, 512  # vertices on a side of a block of comparisons
 LEAST_PART = 256  # vertices of a band that meet others together
-ROUNDS = 2  # of drawn hubs, before what is left meets pair by pair
 _RNG = np.random.default_rng(20_240_501)
 FACTORS = _RNG.integers(1, 1 << 63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFTS = _RNG.integers(0, 1 << 63, VALUES, dtype=np.uint64)
@@ -154,19 +153,19 @@ def _pruner(tolerance: float):
     return F.arrow_udf(may_reach, "boolean")
 
 
-def _linked(a: pa.Array, b: pa.Array) -> pa.Array:
-    """2 for pairs within half the distance of the threshold, 1 for other links, 0 for the rest."""
+def _near(s: pa.Scalar, t: pa.Scalar) -> int:
+    """2 for sets within half the distance of the threshold, 1 for other links, 0 for the rest."""
     up, down = THRESHOLD
-    out = []
-    for s, t in zip(a, b, strict=True):
-        x, y = np.frombuffer(s.as_buffer(), np.uint64), np.frombuffer(t.as_buffer(), np.uint64)
-        if min(len(x), len(y)) * down < up * max(len(x), len(y)):
-            out.append(0)
-            continue
-        common = len(x) + len(y) - len(np.unique(np.concatenate((x, y))))
-        union = len(x) + len(y) - common
-        out.append(int(common * down >= up * union) + int(2 * common * down >= (up + down) * union))
-    return pa.array(out, pa.int32())
+    x, y = np.frombuffer(s.as_buffer(), np.uint64), np.frombuffer(t.as_buffer(), np.uint64)
+    if min(len(x), len(y)) * down < up * max(len(x), len(y)):
+        return 0
+    common = len(x) + len(y) - len(np.unique(np.concatenate((x, y))))
+    union = len(x) + len(y) - common
+    return int(common * down >= up * union) + int(2 * common * down >= (up + down) * union)
+
+
+def _linked(a: pa.Array, b: pa.Array) -> pa.Array:
+    return pa.array([_near(s, t) for s, t in zip(a, b, strict=True)], pa.int32())
 
 
 def _count_block(rows: pa.Table) -> pa.Table:
@@ -220,7 +219,8 @@ def all_links(found: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFram
 
 
 def _meet(tolerance: float):
-    """Pairs of a cell that may be linked: of different classes, at the first band they share, pruned by their values."""
+    """The vertices of a cell that may be linked to others there, one row each with its ``others``: of different classes, at the
+    first band they share, pruned by their values. A pair is named by one of its ends."""
     least = least_matches(tolerance)
 
     def meet(key: tuple, rows: pa.Table) -> pa.Table:
@@ -230,7 +230,7 @@ def _meet(tolerance: float):
         sig = np.frombuffer(flat("sig"), np.uint8).reshape(n, VALUES)
         bands = rows["bands"].combine_chunks().flatten().to_numpy().reshape(n, BANDS)
         earlier = bands[:, :int(np.argmax(bands[0] == band))]
-        out = []
+        others: dict[int, list[int]] = {}
         for x in np.flatnonzero(side < 2):  # sides 0 and 2 meet, and rows of side 1 meet each other
             ys = np.flatnonzero(side == 2) if side[x] == 0 else x + 1 + np.flatnonzero(side[x + 1:] == 1)
             ys = ys[cls[ys] != cls[x]]
@@ -243,13 +243,40 @@ def _meet(tolerance: float):
                 if not len(ys):
                     break
             if len(ys):
-                out.append((np.minimum(vertex[x], vertex[ys]), np.maximum(vertex[x], vertex[ys])))
-        ends = [np.concatenate(e) for e in zip(*out)] if out else [np.zeros(0, np.int64)] * 2
-        return pa.table({"a": pa.array(ends[0], pa.int64()), "b": pa.array(ends[1], pa.int64())})
+                others.setdefault(int(vertex[x]), []).extend(vertex[ys].tolist())
+                for y in vertex[ys].tolist():
+                    others.setdefault(y, [])
+        cell = [pa.array([k.as_py()] * len(others), pa.int64()) for k in key]
+        return pa.table([*cell, pa.array(list(others), pa.int64()), pa.array(list(others.values()), pa.list_(pa.int64()))],
+                        ["band", "i", "j", "vertex", "others"])
 
     return meet
 
 
+def _link_cell(rows: pa.Table) -> pa.Table:
+    """Links ``a, b, near`` among the named pairs of a cell that connect what they connect; pairs that links connect already
+    are not compared, so a cell returns fewer links than it has vertices."""
+    vertex = rows["vertex"].to_pylist()
+    sets = dict(zip(vertex, rows["shingles"].combine_chunks(), strict=True))
+    up = {v: v for v in vertex}
+
+    def top(v: int) -> int:
+        while up[v] != v:
+            up[v] = v = up[up[v]]
+        return v
+
+    out: list[tuple[int, int, int]] = []
+    for x, others in sorted(zip(vertex, rows["others"].to_pylist(), strict=True)):
+        for y in sorted(others):
+            if top(x) == top(y):
+                continue
+            near = _near(sets[x], sets[y])
+            if near:
+                up[top(y)] = top(x)
+                out.append((min(x, y), max(x, y), near))
+    return pa.table([pa.array([o[k] for o in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int32()))], ["a", "b", "near"])
+
+
 def dealt(open_rows: DataFrame, wide: int) -> DataFrame:
     """``band, vertex, class`` with the cells ``i, j`` where a vertex meets others, and its ``side`` there.
 
@@ -273,9 +300,15 @@ def dealt(open_rows: DataFrame, wide: int) -> DataFrame:
     return rows.withColumn("part", part).select("band", "vertex", "class", F.inline(cells))
 
 
-def left_to_meet(open_rows: DataFrame, near: DataFrame, tolerance: float, wide: int) -> DataFrame:
-    """``a, b`` of vertices of different classes that share a band and may be linked; each pair passes once."""
-    return dealt(open_rows, wide).join(near.select("vertex", "sig", "bands"), "vertex").groupBy("band", "i", "j").applyInArrow(_meet(tolerance), "a long, b long")
+def left_to_meet(open_rows: DataFrame, near: DataFrame, sets: DataFrame, tolerance: float, wide: int) -> DataFrame:
+    """``a, b, near``: links that connect the vertices of different classes that share a band; each pair is looked at once.
+
+    Pairs stay in their cell. Most of those that the MinHash values leave a chance lie just under the threshold, and in a large
+    group they grow with the square of its size; what is shuffled is one row for each vertex of a cell, with its set.
+    """
+    cells = dealt(open_rows, wide).join(near.select("vertex", "sig", "bands"), "vertex").groupBy("band", "i", "j")
+    likely = stored(cells.applyInArrow(_meet(tolerance), "band long, i long, j long, vertex long, others array<long>"), "join-likely")
+    return likely.join(sets, "vertex").groupBy("band", "i", "j").applyInArrow(_link_cell, "a long, b long, near int")
 
 
 def components(edges: DataFrame, label: str) -> DataFrame:
@@ -344,22 +377,14 @@ def links(documents: DataFrame, tolerance: float, wide: int) -> tuple[DataFrame,
     best = members.groupBy("vertex").agg(F.max(F.struct("weight", (-F.col("hub")).alias("v"))).alias("h")).select("vertex", (-F.col("h.v")).alias("hub"))
     first = verified(best.where("hub <> vertex").select(*pair), signatures, sets, tolerance, "join-first")
     open_rows = still_open(members.select("band", "vertex"), first)
-    for k in range(-1, ROUNDS):
-        # one vertex of each band, drawn anew, meets those of other classes: a vertex that is linked to many is soon in their class
-        # (in the first of these rounds it is the band's own hub)
-        if k < 0:
-            drawn = open_rows.join(hubs.select("band", F.col("hub").alias("vertex")), ["band", "vertex"]).select("band", F.col("vertex").alias("hub"), F.col("class").alias("of_hub"))
-        else:
-            least = F.min(F.struct(F.xxhash64("vertex", "band", F.lit(k)).alias("h"), F.col("vertex").alias("hub"), F.col("class").alias("of_hub")))
-            drawn = open_rows.groupBy("band").agg(least.alias("d")).select("band", "d.hub", "d.of_hub")
-        pairs = open_rows.join(stored(drawn, "join-drawn"), "band").where(F.col("class") != F.col("of_hub")).select(*pair)
-        found = verified(pairs, signatures, sets, tolerance, "join-round")
-        if found.isEmpty():
-            continue
+    # each band's own hub meets the vertices of other classes
+    drawn = open_rows.join(hubs.select("band", F.col("hub").alias("vertex")), ["band", "vertex"]).select("band", F.col("vertex").alias("hub"), F.col("class").alias("of_hub"))
+    pairs = open_rows.join(stored(drawn, "join-drawn"), "band").where(F.col("class") != F.col("of_hub")).select(*pair)
+    found = verified(pairs, signatures, sets, tolerance, "join-round")
+    if not found.isEmpty():
         first = stored(first.union(found).distinct(), "join-linked")
         open_rows = still_open(open_rows.select("band", "vertex"), first)
-    across = left_to_meet(open_rows, near, tolerance, wide)
-    later = verified(across, signatures, sets, tolerance, "join-across")
+    later = left_to_meet(open_rows, near, sets, tolerance, wide)
     return sketch, stored(first.union(later), "join-links"), sets
 
 

@@ -173,3 +173,34 @@ def test_cells_hold_each_pair_of_different_classes_once(spark):
                if (x.i, x.j) == (y.i, y.j) and {x.side, y.side} in ({0, 2}, {1}) and x["class"] != y["class"]]
         assert len(met) == len(set(met)) == inner * outer + outer * (outer - 1) // 2
         assert sum(c.vertex < inner for c in cells) == inner * -(-outer // wide)
+
+
+def test_pairs_just_under_the_threshold_stay_in_their_cells(docs, monkeypatch):
+    """All pairs of the group are at 0.76, so most share a band and pass the pruning: they are not joined one by one."""
+    random.seed(5)
+    base = [f"w{k}" for k in range(150)]
+    rows, asked, real = [], [], J.verified
+    for k in range(120):
+        copy = list(base)
+        for e, at in enumerate(random.sample(range(5, 145), 2)):
+            copy[at] = f"x{k}_{e}"
+        rows.append((k, " ".join(copy)))
+
+    def counted(pairs, *rest):
+        asked.append(pairs.distinct().count())
+        return real(pairs, *rest)
+
+    monkeypatch.setattr(J, "verified", counted)
+    assert {r.id: r.class_id for r in J.near_duplicates(docs(rows), count_all=False).collect()} == brute(rows)
+    assert sum(asked) < 120 * 25
+
+
+def test_a_cell_returns_links_that_connect():
+    import pyarrow as pa
+
+    sets = [np.array([*range(100), 1000 + v], np.uint64).tobytes() for v in range(6)] + [np.arange(5000, 5100, dtype=np.uint64).tobytes()]
+    table = pa.table({"vertex": pa.array(range(7), pa.int64()), "others": pa.array([list(range(v + 1, 7)) for v in range(7)], pa.list_(pa.int64())),
+                      "shingles": pa.array(sets, pa.binary())})
+    links = J._link_cell(table).to_pylist()
+    assert len(links) == 5 and {v for x in links for v in (x["a"], x["b"])} == set(range(6)) and {x["near"] for x in links} == {2}
+    assert J._link_cell(table.slice(0, 0)).num_rows == 0
