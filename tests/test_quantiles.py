@@ -82,6 +82,27 @@ def test_one_group_of_half_the_rows_equals_numpy(spark):
     assert "percentile" not in plan and "collect_" not in plan
 
 
+def test_large_groups_are_not_joined_by_shuffle(spark, monkeypatch):
+    """The bounds of a large group go to its rows; small groups and null are joined as before, with equal results."""
+    monkeypatch.setattr(Q, "LARGE_ROWS", 5000)
+    rng = np.random.default_rng(5)
+    groups = {None: rng.lognormal(3, 2, 20_000), 1: rng.normal(size=8000), 2: rng.normal(size=5000), 3: rng.normal(size=7)}
+    df = spark.createDataFrame([(g, float(v)) for g, part in groups.items() for v in part], "g int, x double").repartition(4, "x")
+    found = Q.quantile_table(df, ["x"], PROBS, ["g"])
+    got = {(r["g"], r["prob"]): (r["value"], r["n"]) for r in found.collect()}
+    assert len(got) == 4 * len(PROBS)
+    for g, values in groups.items():
+        assert np.allclose([got[g, p][0] for p in PROBS], np.quantile(values, PROBS), rtol=1e-12, atol=1e-12)
+        assert {got[g, p][1] for p in PROBS} == {len(values)}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = Q.quantile_table(df, ["x"], [0.9], ["g"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("BroadcastHashJoin") == 2 and plan.count("SortMergeJoin") == 1
+
+
 def test_a_rank_outside_its_bounds_is_an_error(spark, monkeypatch):
     monkeypatch.setattr(Q, "SKETCH", 8)
     monkeypatch.setattr(Q, "MARGIN", 1e-4)
