@@ -93,6 +93,29 @@ def test_zip_members_are_tasks(spark, tmp_path, rows, monkeypatch, by_spark):
     assert archives.read_zip_members(spark, f"{tmp_path}/z/none.zip", ["State"])[0].count() == 0
 
 
+def test_many_small_members_share_tasks(spark, tmp_path):
+    """1300 members are far fewer tasks, each opens an archive once, and no row is lost."""
+    from harvestline.sources import archives
+
+    for k in range(2):
+        with zipfile.ZipFile(tmp_path / f"{k}.zip", "w") as z:
+            for m in range(650):
+                z.writestr(f"{m}.csv", f"a\n{k * 650 + m}\n")
+    good, _ = archives.read_zip_members(spark, f"{tmp_path}/*.zip", ["a"])
+    assert 256 <= good.rdd.getNumPartitions() <= 2 * archives.SINGLE_TASKS
+    assert sorted(int(r["a"]) for r in good.collect()) == list(range(1300))
+
+
+def test_members_are_put_together_by_bytes():
+    from harvestline.sources.archives import SINGLE_TASKS, TASK_BYTES, tasks
+
+    assert tasks([("x", "a", 5), ("x", "b", 5)]) == [[("x", ["a"])], [("x", ["b"])]]
+    large = [("x" if k < 900 else "y", f"m{k}", TASK_BYTES // 4) for k in range(4 * SINGLE_TASKS)]
+    got = tasks(large)
+    assert [(u, m) for t in got for u, names in t for m in names] == [row[:2] for row in large]
+    assert len(got) == SINGLE_TASKS and max(sum(len(names) for _, names in t) for t in got) == 4
+
+
 def test_a_member_is_inflated_as_a_stream(tmp_path):
     """A member of 60 MB is read with a few MB of memory."""
     import tracemalloc

@@ -104,9 +104,10 @@ def write_zips(df, out, column):
 @query("s05_zip_members", """
 SELECT l_returnflag || '/' AS folder, count(*) AS rows, sum(l_orderkey) AS orders, round(sum(l_quantity), 2) AS quantity FROM lineitem GROUP BY 1""")
 def _(spark, sf):
-    """Archives of many members; every member is a task."""
+    """Archives of many members, as many as the table has splits (five at least)."""
     out = work_dir(spark, "zips")
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag").repartition(5)
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag")
+    li = li.repartition(max(5, li.rdd.getNumPartitions()))
     write_zips(li.withColumn("l_quantity", F.col("l_quantity").cast("double")), out, "l_returnflag")
     good, _ = archives.read_zip_members(spark, f"{out}/*.zip", ["l_orderkey", "l_quantity"])
     return good.groupBy(F.regexp_extract("file", "^[^/]*/", 0).alias("folder")).agg(
