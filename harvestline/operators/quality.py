@@ -163,6 +163,8 @@ def normalize_raw_prices(df: DataFrame, scope: str, strict: bool = False) -> tup
         value = M.number(F.col(c)) if c in cased.columns else F.lit(None).cast("double")
         prices[c] = F.when(value >= 0, value)
     clean = cased.withColumns(prices)
+    # as one row of a generator: the rules' filters would else clean each column again for every mention of it
+    clean = clean.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in clean.columns]))))
     rules = raw_price_contract(scope)
     valid, rejects = split_valid(clean, rules)
     if strict:

@@ -87,3 +87,14 @@ def test_numbers(spark):
     assert one(spark, 0.0, lambda c: M.spread_pct(c, c, c), "double") is None
     assert one(spark, None, lambda c: M.clamp(c, F.lit(1.0), F.lit(2.0)), "double") is None
     assert abs(one(spark, 25.0, lambda c: M.vapour_pressure_deficit(c, F.lit(50.0)), "double") - 1.5839) < 1e-3
+
+
+def test_title_words_needs_marks_only_inside_words(spark):
+    """Equal to the marked form for every text, and plain texts take the short way."""
+    texts = ["NEW DELHI", "o'neil-smith", "a1b", " 12 ", "x.", "(rural) east", "a. b", "ÉCOLE d'été", "ßtraße", "ΑΣ. ΑΣ'α", "tab\tnext", "", None, "e\u0301a b"]
+    marked = F.regexp_replace("t", r"(\P{L}+)", "$1\u0001 ")
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.replace(F.initcap(marked), F.lit("\u0001 "), F.lit("")).alias("old"), T.title_words(F.col("t")).alias("new"))
+    got = df.collect()
+    assert [r["new"] for r in got] == [r["old"] for r in got]
+    plan = df.select("new")._jdf.queryExecution().executedPlan().toString()
+    assert "RLIKE" in plan.upper()

@@ -118,3 +118,13 @@ def test_a_listed_file_without_rows_is_invalid(spark):
     got = {r["file"]: (r["rows"], r["code"], r["status"]) for r in Q.file_report(df, "prices", files=files).collect()}
     assert got == {"f": (1, 0, "valid"), "empty": (0, 2, "invalid")}
     assert [r["code"] for r in Q.file_report(df.limit(0), "prices", files=files.limit(1)).collect()] == [2]
+
+
+def test_raw_prices_are_cleaned_once(spark):
+    """No rule and no filter holds the expressions that clean a column: they are computed in one place."""
+    df = spark.createDataFrame([("home", " east side ", "m1", "rice", "1/2/2024", "5"), ("home", " ", "m2", "rice", "2/2/2024", "5")],
+                               "State string, District string, Market string, Commodity string, Arrival_Date string, Modal_Price string")
+    valid, rejects = Q.normalize_raw_prices(df, "Home")
+    assert [r["district"] for r in valid.collect()] == ["East Side"] and rejects.count() == 1
+    plan = valid._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.split("\n") if "Filter" in line and "initcap" in line]
