@@ -147,3 +147,18 @@ def test_rolling_statistics_come_from_shorter_frames_and_equal_whole_frames(spar
     plan = W.price_features(df.withColumnsRenamed({"s": "commodity", "v": "modal_price"}).withColumns(
         {"market": F.lit("m"), "arrival_date": F.date_add(F.lit("2024-01-01").cast("date"), F.col("i"))}), ["i"])
     assert "-30, -1" not in plan._jdf.queryExecution().analyzed().toString()
+
+
+def test_newest_rows_sort_by_a_number_first(spark):
+    """A hash stands before the texts of the key; short series are dropped before the features of the newest row are made."""
+    import re
+
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int"))
+    one = spark.range(40).select(F.when(F.col("id") < 35, "long").otherwise("short").alias("commodity"), F.lit(None).cast("string").alias("market"),
+                                 day.alias("arrival_date"), F.col("id").cast("double").alias("modal_price"))
+    newest = W.latest_features(one, ["modal_price"])
+    got = newest.collect()
+    assert [(r["commodity"], r["modal_price"], r["price_lag_1d"]) for r in got] == [("long", 34.0, 33.0)] and "_s" not in newest.columns
+    plan = newest._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("price_lag_1d") < plan.index("(_rows")
+    assert re.search(r"Window \[.*\], \[_s#\d+, commodity#\d+", plan)
