@@ -162,3 +162,50 @@ def test_newest_rows_sort_by_a_number_first(spark):
     plan = newest._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("price_lag_1d") < plan.index("(_rows")
     assert re.search(r"Window \[.*\], \[_s#\d+, commodity#\d+", plan)
+
+
+def test_folds_number_only_the_days_in_which_one_begins(spark, rows):
+    """Rows of other days are not shuffled: their fold comes with a small table. Null days, hot days and equal rows count right."""
+    rng = random.Random(5)
+    days = [None] * 7 + [3] * 40 + [rng.randrange(0, 30) for _ in range(90)]
+    data = [(d, i // 3, f"p{i}") for i, d in enumerate(days)]
+    for size in (1, 4, 11, len(data)):
+        df = spark.createDataFrame(data[:size], "day int, id int, payload string").repartition(3)
+        folds = encode.time_folds(df, "day", ["id", "payload"], 5)
+        first, each = size - size // 6 * 5, max(1, size // 6)
+        place = ordered.with_position(df, F.col("day"), ["id", "payload"])
+        fold = F.when(F.col("position") < first, 0).otherwise(F.floor((F.col("position") - first) / each) + 1).cast("int")
+        assert rows(folds, "day", "id", "payload", "fold") == rows(place.withColumn("fold", fold), "day", "id", "payload", "fold")
+        same = encode.time_folds(df.select("day", F.lit(1).alias("id")), "day", ["id"], 5).groupBy("fold").count()  # all rows of a day alike
+        assert rows(same) == rows(folds.groupBy("fold").count())
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = folds._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and "_cut" in plan
+
+
+def test_impute_shuffles_the_rows_once(spark, tmp_path):
+    """Both branches, days of one kind and mixed days, read the same shuffle."""
+    import re
+
+    spark.range(500).selectExpr("concat('d', id % 3) AS district", "cast(id % 9 AS int) AS day", "id", "if(id % 5 > 0, id / 2, null) AS x").write.parquet(str(tmp_path / "t"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = I.impute(spark.read.parquet(str(tmp_path / "t")), ["x"], day="day", order=["id"], fallback={"x": -1.0})
+        assert len(out.collect()) == 500
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert re.search(r"ReusedExchange \[district#\d+, day#\d+, id#\d+L, x#\d+\], Exchange hashpartitioning\(district#\d+, day#\d+", plan.split("== Initial Plan ==")[0])
+
+
+def test_impute_keeps_rows_without_a_group_or_a_day(spark, rows):
+    data = [("a", 1, 2.0), ("a", 1, None), ("a", 2, None), ("a", None, None), ("a", None, 7.0), (None, 1, None), (None, None, 5.0), ("b", 3, None)]
+    df = spark.createDataFrame(data, "district string, day int, x double")
+    out = I.impute(df, ["x"], day="day", order=["x"], fallback={"x": -1.0})
+    want = [("a", 1, 2.0, 0), ("a", 1, 7.0, 1), ("a", 2, 2.0, 1), ("a", None, -1.0, 1), ("a", None, 7.0, 0), (None, 1, -1.0, 1), (None, None, 5.0, 0), ("b", 3, -1.0, 1)]
+    assert rows(out, "district", "day", "x", "x_imputed") == sorted(want, key=lambda t: tuple((v is None, str(v)) for v in t))
