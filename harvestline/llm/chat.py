@@ -13,7 +13,9 @@ turn (null first), then role, then text, and repeated rows stay; further columns
 
 from __future__ import annotations
 
+import json
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -30,6 +32,12 @@ ESCAPED = re.compile(r"\\(.)", re.S)
 OPENING = re.compile(r"<s>\[SYS\] |\[INST\] |\[ROLE:((?:\\.|[^\]\\])*)\] | ", re.S)
 CLOSING = re.compile(r"(?:\\.|[^\\])*?( \[/SYS\]| \[/INST\]| </s>| \[/ROLE\])", re.S)
 FORMATTED = ("conv_id", "n_turns", "formatted", "token_ids", "loss_mask", "loss_spans")
+#: Characters encoded at once: the encoder holds over a hundred bytes for each, and its time grows faster than a text's length.
+PIECE = 1 << 16
+#: Characters of the conversations that are put out as one array.
+OUTPUT = 1 << 21
+#: A pre-tokenizer that splits by the default expression never joins white space to a character before it that is none.
+CUT = re.compile(r"(?<=[^\s\u180e])[ \n]")
 
 
 def escape(text: str) -> str:
@@ -74,8 +82,10 @@ def align(starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int]]) ->
     the tokens that overlap it.
     """
     mask, covered = np.zeros(len(starts), bool), []
-    for a, b in spans:
-        first, last = np.searchsorted(ends, a, "right"), np.searchsorted(starts, b, "left")
+    low, high = np.asarray(spans, np.int32).reshape(-1, 2).T
+    # All spans in one call: each call may copy the tokens, which takes quadratic time in a long conversation.
+    firsts, lasts = np.searchsorted(ends, low, "right"), np.searchsorted(starts, high, "left")
+    for (a, b), first, last in zip(spans, firsts, lasts, strict=True):
         mask[first:last] = True
         lows, highs = np.maximum(starts[first:last], a), np.minimum(ends[first:last], b)
         if not len(lows):
@@ -98,23 +108,58 @@ def _tokenizer(spec: str):
     return t
 
 
+@lru_cache(maxsize=2)
+def _cuttable(spec: str) -> bool:
+    """Whether a text may be encoded in pieces: nothing in the tokenizer looks beyond the words of its pre-tokenizer."""
+    t = json.loads(spec)
+    before = t.get("pre_tokenizer") or {}
+    plain = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+    return plain and not (t.get("normalizer") or t.get("post_processor")) and all(x["special"] for x in t.get("added_tokens") or [])
+
+
+def pieces(text: str, size: int = PIECE) -> Iterator[tuple[int, str]]:
+    """Parts of ``size`` characters or a little more, with their offsets, cut before white space that follows something else."""
+    low = 0
+    while low < len(text):
+        cut = CUT.search(text, low + size)
+        high = cut.start() if cut else len(text)
+        yield low, text[low:high]
+        low = high
+
+
+def encode(spec: str, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids and the offsets (start, end) of the tokens, as one encoding of the whole text gives them."""
+    tokenizer, ids, offsets = _tokenizer(spec), [np.zeros(0, np.int32)], [np.zeros((0, 2), np.int32)]
+    for at, part in pieces(text) if _cuttable(spec) else [(0, text)]:
+        encoded = tokenizer.encode(part, add_special_tokens=False)
+        ids.append(np.asarray(encoded.ids, np.int32))
+        offsets.append(np.asarray(encoded.offsets, np.int32).reshape(-1, 2) + np.int32(at))
+    return np.concatenate(ids), np.concatenate(offsets)
+
+
 def _formatter(spec: str):
     schema = "n_turns long, formatted string, token_ids array<int>, loss_mask array<boolean>, loss_spans array<struct<start:int,end:int>>"
 
-    def run(conversations: pa.Array) -> pa.Array:
-        tokenizer = _tokenizer(spec)
-        count, texts, ids, masks, spans_of = [], [], [], [], []
-        for turns in conversations:
-            turns = turns.as_py()
-            text, spans = render([(t["role"] or "", t["text"] or "") for t in turns])
-            encoded = tokenizer.encode(text, add_special_tokens=False)
-            offsets = np.asarray(encoded.offsets, np.int32).reshape(-1, 2)
-            mask, covered = align(offsets[:, 0], offsets[:, 1], spans)
-            count.append(len(turns))
-            texts.append(text)
-            ids.append(np.asarray(encoded.ids, np.int32))
-            masks.append(mask)
-            spans_of.append(np.asarray(covered, np.int32).reshape(-1, 2))
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for conversations in batches:
+            count, texts, ids, masks, spans_of, size = [], [], [], [], [], 0
+            for turns in conversations:
+                turns = turns.as_py()
+                text, spans = render([(t["role"] or "", t["text"] or "") for t in turns])
+                tokens, offsets = encode(spec, text)
+                mask, covered = align(offsets[:, 0], offsets[:, 1], spans)
+                count.append(len(turns))
+                texts.append(text)
+                ids.append(tokens)
+                masks.append(mask)
+                spans_of.append(np.asarray(covered, np.int32).reshape(-1, 2))
+                size += len(text)
+                if size >= OUTPUT:
+                    yield arrays(count, texts, ids, masks, spans_of)
+                    count, texts, ids, masks, spans_of, size = [], [], [], [], [], 0
+            yield arrays(count, texts, ids, masks, spans_of)
+
+    def arrays(count: list, texts: list, ids: list, masks: list, spans_of: list) -> pa.Array:
         joined = lambda parts, empty: np.concatenate(parts) if parts else empty
         ends = lambda parts: pa.array(np.cumsum([0, *map(len, parts)]), pa.int32())
         pairs = joined(spans_of, np.zeros((0, 2), np.int32))
@@ -148,9 +193,10 @@ def format_conversations(turns: DataFrame, tokenizer: str | None = None) -> Data
 
 
 def _read_digests(formatted: pa.Array, spans: pa.Array) -> pa.Array:
-    """Digests of what a formatted conversation and its loss spans say when they are read back."""
+    """Digests of what a formatted conversation and its loss spans say when they are read back, one conversation at a time."""
     out = []
-    for text, parts in zip(formatted.to_pylist(), spans.to_pylist(), strict=True):
+    for text, parts in zip(formatted, spans, strict=True):
+        text, parts = text.as_py(), parts.as_py()
         turns = read_back(text)
         loss = "".join(unescape(text[s["start"]:s["end"]]) for s in parts)
         out.append({"turns_sha256": sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()), "loss_chars": len(loss),

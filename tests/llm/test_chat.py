@@ -52,3 +52,53 @@ def test_empty_table_null_ids_and_repeated_rows(spark):
     got = {r.conv_id: r for r in chat.format_conversations(spark.createDataFrame(rows, schema)).collect()}
     assert got[None].n_turns == 1 and got[1].n_turns == 3
     assert chat.read_back(got[1].formatted)[2][1] == "long " * 5000
+
+
+def _spec():
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        return f.read()
+
+
+def test_pieces_give_the_tokens_of_the_whole_text(monkeypatch):
+    """Cuts fall before white space only, wherever runs of it, other spaces, contractions and control strings lie."""
+    random.seed(5)
+    pool = [" ", "  ", "\n", "\n\n ", "\t", "\r\n", " ", "　", "​", "᠎", "\x1c", "\x85", "é", "́", "it's", "'ll", "</s>", "<|endoftext|>", "123", "日本", "😀", "-", "word", "\\"]
+    spec = _spec()
+    for size in (1, 2, 7, 40):
+        for _ in range(150):
+            text = "".join(random.choice(pool) for _ in range(random.randint(0, 60)))
+            assert "".join(part for _, part in chat.pieces(text, size)) == text
+            monkeypatch.setattr(chat.pieces, "__defaults__", (size,))
+            whole = chat._tokenizer(spec).encode(text, add_special_tokens=False)
+            ids, offsets = chat.encode(spec, text)
+            assert ids.tolist() == whole.ids and offsets.tolist() == [list(x) for x in whole.offsets]
+
+
+def test_a_long_conversation_is_not_encoded_at_once(monkeypatch):
+    """Memory of the encoder and calls of the span search do not grow with a conversation."""
+    spec, sizes, searches = _spec(), [], []
+    real, search = chat._tokenizer(spec), np.searchsorted
+
+    class Noted:
+        def encode(self, text, **options):
+            sizes.append(len(text))
+            return real.encode(text, **options)
+
+    monkeypatch.setattr(chat, "_tokenizer", lambda spec: Noted())
+    monkeypatch.setattr(chat.np, "searchsorted", lambda *a: searches.append(1) or search(*a))
+    text, spans = chat.render([("user" if k % 2 else "assistant", f"turn {k} of many words " * 9) for k in range(3000)])
+    ids, offsets = chat.encode(spec, text)
+    mask, covered = chat.align(offsets[:, 0], offsets[:, 1], spans)
+    assert len(text) > 5 * chat.PIECE and max(sizes) < chat.PIECE + 100 and len(searches) == 2
+    assert covered == spans and mask.sum() > len(ids) / 3
+
+
+def test_other_tokenizers_encode_whole_texts():
+    """A tokenizer that puts a space before each text would change the pieces."""
+    import json
+
+    spec = json.loads(_spec())
+    spec["pre_tokenizer"]["add_prefix_space"] = True
+    assert not chat._cuttable(json.dumps(spec)) and chat._cuttable(_spec())
