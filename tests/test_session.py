@@ -61,3 +61,11 @@ def test_features_are_not_written_as_a_wide_table(spark, tmp_path, monkeypatch):
     rows = learning.training_table(spark, str(tmp_path))
     assert rows.count() == 120 and len(rows.columns) > 80
     assert widths and max(widths.values()) < 40
+
+
+def test_a_table_goes_by_what_was_made_of_it(spark):
+    """Scored rows lead to the vectors that they were made of."""
+    out = session.written(spark.range(10).toDF("x"), "probe")
+    folder = os.path.dirname(out.inputFiles()[0])
+    session.discard(out.filter("x < 3").unionByName(out.filter("x > 7")))
+    assert not paths.exists(spark, folder)
